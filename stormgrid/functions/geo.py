@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 # WGS84 ellipsoid, and the sphere radius of Web Mercator (EPSG:3857)
 WGS84_A = 6378137.0
 WGS84_F = 1 / 298.257223563
@@ -80,6 +82,10 @@ def parse_center(text: str) -> tuple[float, float]:
 
 def area(ring: Column) -> Column:
     """Unsigned shoelace area, taken relative to the first vertex."""
+    return let(ring, _area)
+
+
+def _area(ring: Column) -> Column:
     o = _at(ring, F.lit(1))
     return F.abs(F.aggregate(_edges(ring), F.lit(0.0), lambda s, i: s + _side(
         o, _at(ring, i), F.get(ring, i)["x"], F.get(ring, i)["y"]))) / 2
@@ -87,6 +93,10 @@ def area(ring: Column) -> Column:
 
 def centroid(ring: Column) -> Column:
     """Area-weighted centroid; the vertex mean when the area is 0."""
+    return let(ring, _centroid)
+
+
+def _centroid(ring: Column) -> Column:
     o = _at(ring, F.lit(1))
 
     def step(acc, i):
@@ -97,12 +107,37 @@ def centroid(ring: Column) -> Column:
                         (acc["y"] + w * (a["y"] + b["y"] - 2 * o["y"])).alias("y"))
 
     zero = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-    s = F.aggregate(_edges(ring), zero, step)
     n = F.greatest(F.size(ring) - 1, F.lit(1))
     open_ring = F.slice(ring, F.lit(1), n)
     mean = lambda f: F.aggregate(open_ring, F.lit(0.0), lambda t, p: t + p[f]) / n
-    return F.when(s["w"] != 0, vertex(o["x"] + s["x"] / (3 * s["w"]), o["y"] + s["y"] / (3 * s["w"]))) \
-            .otherwise(vertex(mean("x"), mean("y")))
+    return let(F.aggregate(_edges(ring), zero, step), lambda s: F.when(
+        s["w"] != 0, vertex(o["x"] + s["x"] / (3 * s["w"]), o["y"] + s["y"] / (3 * s["w"])))
+        .otherwise(vertex(mean("x"), mean("y"))))
+
+
+def rings_centroid(polygons: Column) -> Column:
+    """Centroid of a (multi)polygon given as ``array<polygon<ring<[x, y]>>>``: holes count against it."""
+    rings = F.flatten(F.transform(polygons, lambda poly: F.transform(poly, lambda ring, i: let(
+        F.transform(ring, lambda p: vertex(p[0], p[1])),
+        lambda r: F.struct((F.when(i == 0, 1.0).otherwise(-1.0) * area(r)).alias("w"), centroid(r).alias("c"))))))
+    return let(rings, lambda parts: _weighted(parts))
+
+
+def lines_centroid(lines: Column) -> Column:
+    """Length-weighted centroid of lines given as ``array<line<[x, y]>>``."""
+    legs = F.flatten(F.transform(lines, lambda ln: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(ln) - 1, F.lit(1))), lambda i: let(
+            F.struct(F.get(ln, i - 1).alias("a"), F.coalesce(F.get(ln, i), F.get(ln, i - 1)).alias("b")),
+            lambda e: F.struct(F.hypot(e["b"][0] - e["a"][0], e["b"][1] - e["a"][1]).alias("w"),
+                               vertex((e["a"][0] + e["b"][0]) / 2, (e["a"][1] + e["b"][1]) / 2).alias("c"))))))
+    return let(legs, lambda parts: _weighted(parts))
+
+
+def _weighted(parts: Column) -> Column:
+    total = lambda f: F.aggregate(parts, F.lit(0.0), lambda s, p: s + f(p))
+    return let(total(lambda p: p["w"]), lambda w: F.when(w > 0, vertex(
+        total(lambda p: p["w"] * p["c"]["x"]) / w, total(lambda p: p["w"] * p["c"]["y"]) / w))
+        .otherwise(F.get(parts, F.lit(0))["c"]))
 
 
 # ---- point in polygon --------------------------------------------------------------------------
@@ -222,35 +257,52 @@ def metres_per_degree(lat) -> tuple[Column, Column]:
 
 def distance_to_ring(ring: Column, x, y) -> Column:
     """Metres from a point to a convex polygon, 0 inside; local plane at the point (within 1 m)."""
-    x, y = _c(x), _c(y)
     kx, ky = metres_per_degree(y)
+    at = F.struct(ring.alias("ring"), _c(x).alias("x"), _c(y).alias("y"), kx.alias("kx"), ky.alias("ky"))
+    return let(at, _distance)
+
+
+def _distance(at: Column) -> Column:
+    ring, x, y, kx, ky = (at[k] for k in ("ring", "x", "y", "kx", "ky"))
 
     def to_edge(i):
+        """Squared distance to one edge: |w - t u| with t clamped to the edge."""
         a, b = _at(ring, i), F.get(ring, i)
-        ux, uy = (b["x"] - a["x"]) * kx, (b["y"] - a["y"]) * ky
-        wx, wy = (x - a["x"]) * kx, (y - a["y"]) * ky
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(
-            F.try_divide(wx * ux + wy * uy, ux * ux + uy * uy), F.lit(0.0))))
-        dx, dy = wx - t * ux, wy - t * uy
-        return F.sqrt(dx * dx + dy * dy)
+        legs = F.struct(((b["x"] - a["x"]) * kx).alias("ux"), ((b["y"] - a["y"]) * ky).alias("uy"),
+                        ((x - a["x"]) * kx).alias("wx"), ((y - a["y"]) * ky).alias("wy"))
+
+        def clamp(v):
+            t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(
+                v["wx"] * v["ux"] + v["wy"] * v["uy"], v["ux"] * v["ux"] + v["uy"] * v["uy"]), F.lit(0.0))))
+            return let(F.struct((v["wx"] - t * v["ux"]).alias("dx"), (v["wy"] - t * v["uy"]).alias("dy")),
+                       lambda d: d["dx"] * d["dx"] + d["dy"] * d["dy"])
+        return let(legs, clamp)
 
     inside = in_convex(ring, x, y, strict=False) & (F.size(ring) > 3)
-    return F.when(inside, 0.0).otherwise(F.array_min(F.transform(_edges(ring), to_edge)))
+    return F.when(inside, 0.0).otherwise(F.sqrt(F.array_min(F.transform(_edges(ring), to_edge))))
 
 
 def geodesic(lon1, lat1, lon2, lat2) -> Column:
     """Ellipsoidal distance in metres (Andoyer-Lambert closed form)."""
     p1, p2 = F.radians(_c(lat1)), F.radians(_c(lat2))
-    f, g = (p1 + p2) / 2, (p1 - p2) / 2
-    l = (F.radians(_c(lon1)) - F.radians(_c(lon2))) / 2
-    sq = lambda c: c * c
-    s = sq(F.sin(g)) * sq(F.cos(l)) + sq(F.cos(f)) * sq(F.sin(l))
-    c = sq(F.cos(g)) * sq(F.cos(l)) + sq(F.sin(f)) * sq(F.sin(l))
-    w = F.atan(F.sqrt(s / c))
-    r = F.sqrt(s * c) / w
-    h1, h2 = (3 * r - 1) / (2 * c), (3 * r + 1) / (2 * s)
-    d = 2 * w * WGS84_A * (1 + WGS84_F * (h1 * sq(F.sin(f)) * sq(F.cos(g)) - h2 * sq(F.cos(f)) * sq(F.sin(g))))
-    return F.when(s == 0, 0.0).otherwise(d)
+    half = lambda c: F.pow(F.sin(c), 2)
+    return let(F.struct(half((p1 + p2) / 2).alias("f"), half((p1 - p2) / 2).alias("g"),
+                        half((F.radians(_c(lon1)) - F.radians(_c(lon2))) / 2).alias("l")), _lambert)
+
+
+def _lambert(h: Column) -> Column:
+    """From the squared sines of mean latitude, half latitude difference, half longitude difference."""
+    sf, sg, sl = h["f"], h["g"], h["l"]
+    cf, cg, cl = 1 - sf, 1 - sg, 1 - sl
+    sc = F.struct((sg * cl + cf * sl).alias("s"), (cg * cl + sf * sl).alias("c"))
+
+    def arc(v):
+        w = F.atan(F.sqrt(v["s"] / v["c"]))
+        return F.when(v["s"] == 0, 0.0).otherwise(let(
+            F.struct(w.alias("w"), (F.sqrt(v["s"] * v["c"]) / w).alias("r")),
+            lambda a: 2 * a["w"] * WGS84_A * (1 + WGS84_F * ((3 * a["r"] - 1) / (2 * v["c"]) * sf * cg
+                                                             - (3 * a["r"] + 1) / (2 * v["s"]) * cf * sg))))
+    return let(sc, arc)
 
 
 def geodesic_box(lon: float, lat: float, metres: float) -> tuple[float, float, float, float]:

@@ -36,11 +36,12 @@ def recent(df: DataFrame, ts: str, as_of: str, days: int) -> DataFrame:
 
 def date_chunks(spark: SparkSession, start: str, end: str, span: int) -> DataFrame:
     """``[start, end)`` cut into chunks of ``span`` days, the last one short."""
-    return spark.range(1).select(F.explode(F.expr(
-        f"sequence(DATE '{start}', date_sub(DATE '{end}', 1), INTERVAL {int(span)} DAYS)")).alias("chunk_start")) \
-        .where(f"DATE '{start}' < DATE '{end}'") \
-        .select(F.expr(f"cast(datediff(chunk_start, DATE '{start}') / {int(span)} as int)").alias("chunk"),
-                "chunk_start", F.expr(f"least(date_add(chunk_start, {int(span)}), DATE '{end}')").alias("chunk_end"))
+    return spark.sql(f"""
+        select cast(datediff(d, DATE '{start}') / {int(span)} as int) as chunk, d as chunk_start,
+               least(date_add(d, {int(span)}), DATE '{end}') as chunk_end
+        from (select explode(case when DATE '{start}' < DATE '{end}'
+              then sequence(DATE '{start}', date_sub(DATE '{end}', 1), INTERVAL {int(span)} DAYS)
+              else array() end) as d)""")
 
 
 def in_chunks(df: DataFrame, ts: str, start: str, end: str, span: int) -> DataFrame:

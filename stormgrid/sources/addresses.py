@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import geo
+from ..functions.binding import let
 from ..functions.text import blank, compose_address, first_filled
 
 # Property names tried in order
@@ -43,29 +44,42 @@ def read_geojson_collections(spark: SparkSession, folders: list[str]) -> DataFra
     return parts[0].unionByName(parts[1])
 
 
-def _props(names) -> Column:
-    return first_filled(*[F.col("f.properties")[n] for n in names])
+def _address_of(f: Column) -> Column:
+    """Address columns of one parsed feature."""
+    props, kind, coords = f["properties"], f["geometry"]["type"], f["geometry"]["coordinates"]
+    num, street, city, region, zip_ = (first_filled(*[props[n] for n in names])
+                                       for names in (NUMBER, STREET, CITY, REGION, POSTCODE))
+    parts = F.struct(num.alias("number"), street.alias("street"), city.alias("city"), region.alias("state"), zip_.alias("zip"),
+                     _center(kind, coords).alias("at"))
+    return let(parts, lambda p: F.struct(
+        compose_address(p["number"], p["street"], p["city"], p["state"], p["zip"]).alias("address"),
+        *[p[c].alias(c) for c in ("number", "street", "city", "state", "zip")],
+        p["at"]["x"].alias("lon"), p["at"]["y"].alias("lat")))
+
+
+def _center(kind: Column, coords: Column) -> Column:
+    """The point itself, or the centroid of any other geometry."""
+    point, line, poly = "array<double>", "array<array<double>>", "array<array<array<double>>>"
+    parse = lambda t: F.from_json(coords, t)
+    return (F.when(kind == "Point", let(parse(point), lambda c: geo.vertex(F.get(c, F.lit(0)), F.get(c, F.lit(1)))))
+            .when(kind == "Polygon", geo.rings_centroid(F.array(parse(poly))))
+            .when(kind == "MultiPolygon", geo.rings_centroid(parse(f"array<{poly}>")))
+            .when(kind == "LineString", geo.lines_centroid(F.array(parse(line))))
+            .when(kind == "MultiLineString", geo.lines_centroid(parse(poly)))
+            .when(kind == "MultiPoint", let(parse(line), lambda ps: geo.vertex(
+                F.aggregate(ps, F.lit(0.0), lambda s, p: s + p[0]) / F.size(ps),
+                F.aggregate(ps, F.lit(0.0), lambda s, p: s + p[1]) / F.size(ps)))))
 
 
 def normalize_features(features: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
     """Feature text -> address, number, street, city, state, zip, lon, lat.
 
-    A polygon becomes the centroid of its outer ring. Features without number and street, without
-    geometry, or that do not parse are dropped.
+    Other geometries than points become their centroid. Features without number and street, without
+    geometry, or that do not parse are dropped. The body is parsed once per row.
     """
-    parsed = features.withColumn("f", F.from_json(body, schemas.FEATURE, {"mode": "PERMISSIVE"}))
-    kind, coords = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
-    point = F.from_json(coords, "array<double>")
-    ring = F.when(kind == "Polygon", F.from_json(coords, "array<array<array<double>>>")[0]) \
-            .when(kind == "MultiPolygon", F.from_json(coords, "array<array<array<array<double>>>>")[0][0]) \
-            .when(kind == "LineString", F.from_json(coords, "array<array<double>>"))
-    center = geo.centroid(F.transform(ring, lambda p: geo.vertex(p[0], p[1])))
-    num, street, city, region, zip_ = (_props(n) for n in (NUMBER, STREET, CITY, REGION, POSTCODE))
-    return (parsed.select(*keep, compose_address(num, street, city, region, zip_).alias("address"),
-                          num.alias("number"), street.alias("street"), city.alias("city"),
-                          region.alias("state"), zip_.alias("zip"),
-                          F.when(kind == "Point", F.get(point, F.lit(0))).otherwise(center["x"]).alias("lon"),
-                          F.when(kind == "Point", F.get(point, F.lit(1))).otherwise(center["y"]).alias("lat"))
+    parsed = let(F.from_json(body, schemas.FEATURE, {"mode": "PERMISSIVE"}), _address_of)
+    # inline over a one-element array: a generator is a barrier to merging projects
+    return (features.select(*keep, F.inline(F.array(parsed)))
             .where("address is not null and lon is not null and lat is not null"))
 
 
