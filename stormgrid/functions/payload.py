@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 JOB_KEYS = ("jobId", "job_id", "id")
 
 
@@ -25,8 +27,8 @@ def _text(v: Column, path: str) -> Column:
 
 def _scalar(v: Column, path: str) -> Column:
     """Text of a text or whole-number value, else null."""
-    t = _type(v, path)
-    return F.when((t == "STRING") | (t == "BIGINT") | t.rlike(r"^DECIMAL\(\d+,0\)$"), _text(v, path))
+    return let(_type(v, path), lambda t: F.when(
+        (t == "STRING") | (t == "BIGINT") | t.rlike(r"^DECIMAL\(\d+,0\)$"), _text(v, path)))
 
 
 def _string(v: Column, path: str) -> Column:
@@ -43,8 +45,8 @@ def _first(v: Column, prefix: str, keys) -> Column:
 
 def job_id(v: Column, keys=JOB_KEYS) -> Column:
     """Id at the top, or inside ``data`` when the top has none or an empty one."""
-    top = _first(v, "$", keys)
-    return F.coalesce(F.nullif(top, F.lit("")), _first(v, "$.data", keys), top)
+    return let(_first(v, "$", keys), lambda top: F.coalesce(
+        F.nullif(top, F.lit("")), _first(v, "$.data", keys), top))
 
 
 def driver_job_id(v: Column) -> Column:
@@ -77,7 +79,7 @@ def at_path(v: Column, path: str, kind: str = "string", default=None) -> Column:
     return got if default is None else F.coalesce(got, F.lit(default))
 
 
-def kept(body) -> Column:
-    """The body itself when it is JSON, else ``{"raw": body}``."""
+def kept(v: Column, body) -> Column:
+    """The body itself when it parsed (``v``), else ``{"raw": body}``."""
     b = F.col(body) if isinstance(body, str) else body
-    return F.when(parse(b).isNotNull(), b).otherwise(F.to_json(F.struct(b.alias("raw"))))
+    return F.when(v.isNotNull(), b).otherwise(F.to_json(F.struct(b.alias("raw"))))

@@ -22,8 +22,8 @@ def connected_components(edges: DataFrame, by: list[str]) -> DataFrame:
     while not graph.isEmpty():
         hop = graph.groupBy(*by, F.col("a").alias("node")).agg(
             F.least(F.col("node"), F.min("b")).alias("to"))
-        for _ in range(2):
-            hop = durable(_follow(hop, hop, by))
+        near = _follow(hop, hop, by)
+        hop = durable(_follow(near, near, by))
         rounds.append(hop)
         ends = hop.select(*by, F.col("node").alias("a"), F.col("to").alias("ta"))
         oths = hop.select(*by, F.col("node").alias("b"), F.col("to").alias("tb"))
@@ -34,8 +34,8 @@ def connected_components(edges: DataFrame, by: list[str]) -> DataFrame:
         return graph.select(*by, F.col("a").alias("node"), F.col("b").alias("root"))
     labels = rounds.pop()
     while rounds:
-        labels = _follow(rounds.pop(), labels, by)
-    return durable(labels.select(*by, "node", F.col("to").alias("root")))
+        labels = durable(_follow(rounds.pop(), labels, by))
+    return labels.select(*by, "node", F.col("to").alias("root"))
 
 
 def _follow(first: DataFrame, then: DataFrame, by: list[str]) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
@@ -28,8 +28,9 @@ from .numbering import index_within
 
 _BITS = 3           # 2**3 sub-cells per cell side
 _SIDE = 0.7071      # cell side / eps, under 1/sqrt(2)
-_AROUND = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if (dx, dy) != (0, 0)]
-_HALF = [o for o in _AROUND if o > (0, 0)]
+_REACH = 2          # neighbours within eps lie at most this many cells away
+_AROUND = "_dx <> 0 or _dy <> 0"
+_HALF = "_dx > 0 or (_dx = 0 and _dy > 0)"
 
 
 def dbscan(points: DataFrame, eps: float, min_samples: int, *, id_col: str = "id", x: str = "lon",
@@ -41,7 +42,7 @@ def dbscan(points: DataFrame, eps: float, min_samples: int, *, id_col: str = "id
     """
     by = list(by or [])
     located = _locate(points, x, y, eps)
-    table = _cell_labels(located.select(*by, F.col(id_col).alias("pid"), F.col(x).alias("px"),
+    table, hot_rows = _cell_labels(located.select(*by, F.col(id_col).alias("pid"), F.col(x).alias("px"),
                                         F.col(y).alias("py"), "_fx", "_fy", "_cx", "_cy")
                          .where("px is not null and py is not null"),
                          eps, min_samples, by, hot_rows)
@@ -57,27 +58,36 @@ def _locate(df: DataFrame, x: str, y: str, eps: float) -> DataFrame:
     return df.withColumns({"_cx": F.shiftright("_fx", _BITS), "_cy": F.shiftright("_fy", _BITS)})
 
 
-def _d2(p: Column, q: Column) -> Column:
-    dx, dy = p["px"] - q["px"], p["py"] - q["py"]
-    return dx * dx + dy * dy
+# Distances as SQL text: ``p``, ``q`` name points (px, py), ``a``, ``b`` boxes (x0, x1, y0, y1)
 
+def _sum2(dx: str, dy: str) -> str:
+    return f"({dx}) * ({dx}) + ({dy}) * ({dy})"
 
-def _near2(a: Column, b: Column) -> Column:
+
+def _d2(p: str, q: str) -> str:
+    return _sum2(f"{p}.px - {q}.px", f"{p}.py - {q}.py")
+
+
+def _near2(a: str, b: str) -> str:
     """Squared distance of two boxes (0 where they overlap)."""
-    dx = F.greatest(a["x0"] - b["x1"], b["x0"] - a["x1"], F.lit(0.0))
-    dy = F.greatest(a["y0"] - b["y1"], b["y0"] - a["y1"], F.lit(0.0))
-    return dx * dx + dy * dy
+    return _sum2(*[f"greatest({a}.{v}0 - {b}.{v}1, {b}.{v}0 - {a}.{v}1, 0D)" for v in "xy"])
 
 
-def _far2(a: Column, b: Column) -> Column:
+def _far2(a: str, b: str) -> str:
     """Squared distance of the farthest points of two boxes."""
-    dx = F.greatest(F.abs(a["x1"] - b["x0"]), F.abs(b["x1"] - a["x0"]))
-    dy = F.greatest(F.abs(a["y1"] - b["y0"]), F.abs(b["y1"] - a["y0"]))
-    return dx * dx + dy * dy
+    return _sum2(*[f"greatest(abs({a}.{v}1 - {b}.{v}0), abs({b}.{v}1 - {a}.{v}0))" for v in "xy"])
+
+
+def _point_near2(p: str, b: str) -> str:
+    return _sum2(*[f"greatest({p}.p{v} - {b}.{v}1, {b}.{v}0 - {p}.p{v}, 0D)" for v in "xy"])
 
 
-def _point_box(p: Column) -> dict[str, Column]:
-    return {"x0": p["px"], "x1": p["px"], "y0": p["py"], "y1": p["py"]}
+def _point_far2(p: str, b: str) -> str:
+    return _sum2(*[f"greatest(abs({p}.p{v} - {b}.{v}0), abs({b}.{v}1 - {p}.p{v}))" for v in "xy"])
+
+
+def _linked(a: str, b: str, e2: float) -> str:
+    return f"exists({a}, a -> exists({b}, b -> {_far2('a', 'b')} <= {e2!r}D))"
 
 
 def _boxes(pts: DataFrame, keys: list[str], fx: str, fy: str) -> DataFrame:
@@ -87,16 +97,19 @@ def _boxes(pts: DataFrame, keys: list[str], fx: str, fy: str) -> DataFrame:
         F.min("py").alias("y0"), F.max("py").alias("y1"))
 
 
-def _shifted(df: DataFrame, offsets: list[tuple[int, int]]) -> DataFrame:
-    """One row per cell and offset, keyed by the cell it looks at."""
-    o = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in offsets]))
-    return (df.withColumn("_o", o)
-            .withColumns({"tx": F.col("_cx") + F.col("_o.dx"), "ty": F.col("_cy") + F.col("_o.dy")})
-            .drop("_o"))
+def _shifted(df: DataFrame, offsets: str) -> DataFrame:
+    """One row per cell and neighbouring cell it looks at (``tx``, ``ty``)."""
+    step = f"explode(sequence({-_REACH}, {_REACH}))"
+    return (df.selectExpr("*", f"{step} as _dx").selectExpr("*", f"{step} as _dy").where(offsets)
+            .selectExpr("* except (_dx, _dy)", "_cx + _dx as tx", "_cy + _dy as ty"))
 
 
-def _cell_labels(pts: DataFrame, eps: float, m: int, by: list[str], hot_rows: int) -> DataFrame:
-    """Per cell: size ``n``, ``_cell`` label of a dense cell or ``_each`` labels of a thin cell's points."""
+def _cell_labels(pts: DataFrame, eps: float, m: int, by: list[str], hot_rows: int) -> tuple[DataFrame, int | None]:
+    """Per cell: size ``n``, ``_cell`` label of a dense cell or ``_each`` labels of a thin cell's points.
+
+    Also the threshold to go on with: None once it is known that no cell is hot, which spares later
+    joins their hot branch.
+    """
     e2 = eps * eps
     cell = [*by, "_cx", "_cy"]
     look = [*by, "tx", "ty"]
@@ -110,99 +123,86 @@ def _cell_labels(pts: DataFrame, eps: float, m: int, by: list[str], hot_rows: in
 
     # thin cells with their points; points of hot cells never enter the shuffle
     hot = skew.hottest(cells, cell, "n", hot_rows).select(*cell)
+    cool = pts.join(F.broadcast(hot), cell, "left_anti")
+    if hot.isEmpty():
+        cool, hot_rows = pts, None
     listed = durable(
-        pts.join(F.broadcast(hot), cell, "left_anti").join(thin.select(*cell), cell, "left_semi")
+        cool.join(thin.select(*cell), cell, "left_semi")
         .groupBy(*cell).agg(F.collect_list(F.struct("pid", "px", "py")).alias("pts")))
 
     probes = _shifted(listed, _AROUND)
-    by_thin = (probes.join(listed.select(*by, F.col("_cx").alias("tx"), F.col("_cy").alias("ty"),
-                                         F.col("pts").alias("tpts")), look)
-               .select(*by, F.explode("pts").alias("p"), "tpts")
-               .select(*by, F.col("p.pid").alias("pid"), F.lit(None).cast("long").alias("tnode"),
-                       F.size(F.filter("tpts", lambda q: _d2(F.col("p"), q) <= e2)).cast("long").alias("hits"))
+    by_thin = (probes.join(listed.selectExpr(*by, "_cx as tx", "_cy as ty", "pts as tpts"), look)
+               .selectExpr(*by, "explode(pts) as p", "tpts")
+               .selectExpr(*by, "p.pid as pid", "cast(null as bigint) as tnode",
+                           f"cast(size(filter(tpts, q -> {_d2('p', 'q')} <= {e2!r}D)) as bigint) as hits")
                .where("hits > 0"))
-    box = _point_box(F.col("p"))
-    open_box = lambda b: (_near2(box, b) <= e2) & (_far2(box, b) > e2)
     seen = durable(
-        probes.join(dense.select(*by, F.col("_cx").alias("tx"), F.col("_cy").alias("ty"),
-                                 F.col("node").alias("tnode"), "boxes"), look)
-        .select(*by, F.explode("pts").alias("p"), "tnode", "boxes")
-        .select(*by, "p", "tnode",
-                F.aggregate(F.filter("boxes", lambda b: _far2(box, b) <= e2), F.lit(0).cast("long"),
-                            lambda acc, b: acc + b["n"]).alias("sure"),
-                F.filter("boxes", open_box).alias("maybe"))
-        .where("sure > 0 or size(maybe) > 0"))
+        probes.join(dense.selectExpr(*by, "_cx as tx", "_cy as ty", "node as tnode", "boxes"), look)
+        .selectExpr(*by, "explode(pts) as p", "tnode", "boxes")
+        .selectExpr(*by, "p", "tnode", f"filter(boxes, b -> {_point_near2('p', 'b')} <= {e2!r}D) as met")
+        .where("size(met) > 0")
+        .selectExpr(*by, "p", "tnode",
+                    f"aggregate(filter(met, b -> {_point_far2('p', 'b')} <= {e2!r}D), 0L, (s, b) -> s + b.n) as sure",
+                    f"filter(met, b -> {_point_far2('p', 'b')} > {e2!r}D) as maybe"))
     by_dense = _settle_counts(seen, pts, e2, m, by, hot_rows)
 
     # core test of thin points
     tally = by_thin.unionByName(by_dense).groupBy(*by, "pid").agg(
         F.sum("hits").alias("hits"), F.collect_set("tnode").alias("near"))
-    flags = (listed.select(*cell, F.size("pts").alias("own"), F.explode("pts").alias("p"))
-             .select(*cell, "own", "p.*").join(tally, [*by, "pid"], "left")
-             .withColumn("core", F.col("own") + F.coalesce("hits", F.lit(0)) >= m))
+    flags = (listed.selectExpr(*cell, "size(pts) as own", "inline(pts)").join(tally, [*by, "pid"], "left")
+             .selectExpr(*cell, "pid", "px", "py", f"own + coalesce(hits, 0) >= {m} as core", "near"))
     known = durable(flags.groupBy(*cell).agg(
-        F.min(F.when(F.col("core"), F.col("pid"))).alias("node"),
-        F.collect_list(F.struct("pid", "px", "py", "core", "near")).alias("pts")))
+        F.expr("min(pid) filter (where core)").alias("node"),
+        F.expr("collect_list(struct(pid, px, py, core, near))").alias("pts")))
 
     # what links cells
     wide = durable(_dense_pairs(dense, e2, by))
     thin_links = (_shifted(known, _AROUND)
-                  .join(known.where("node is not null").select(
-                      *by, F.col("_cx").alias("tx"), F.col("_cy").alias("ty"), F.col("node").alias("tnode"),
-                      F.filter("pts", lambda q: q["core"]).alias("tpts")), look)
-                  .withColumn("touch", F.filter(
-                      "pts", lambda p: F.exists("tpts", lambda q: _d2(p, q) <= e2)))
-                  .where("size(touch) > 0").select(*by, "node", "tnode", "touch"))
-    each = known.select(*by, "node", F.explode("pts").alias("p"))
-    edges = [wide.where("linked").select(*by, F.col("na").alias("a"), F.col("nb").alias("b")),
-             thin_links.where(F.exists("touch", lambda p: p["core"]))
-             .select(*by, F.col("node").alias("a"), F.col("tnode").alias("b")),
-             each.where("p.core").select(*by, F.col("node").alias("a"), F.explode("p.near").alias("b"))]
+                  .join(known.where("node is not null").selectExpr(
+                      *by, "_cx as tx", "_cy as ty", "node as tnode", "filter(pts, q -> q.core) as tpts"), look)
+                  .selectExpr(*by, "node", "tnode",
+                              f"filter(pts, p -> exists(tpts, q -> {_d2('p', 'q')} <= {e2!r}D)) as touch")
+                  .where("size(touch) > 0"))
+    each = known.selectExpr(*by, "node", "explode(pts) as p")
+    edges = [wide.where("linked").selectExpr(*by, "na as a", "nb as b"),
+             thin_links.where("exists(touch, p -> p.core)").selectExpr(*by, "node as a", "tnode as b"),
+             each.where("p.core").selectExpr(*by, "node as a", "explode(p.near) as b")]
     comp = connected_components(reduce(DataFrame.unionByName, edges), by)
     comp = _settle_links(wide.where("not linked"), dense, pts, comp, e2, by, hot_rows)
 
     nodes = dense.select(*by, "node").unionByName(known.where("node is not null").select(*by, "node"))
-    rooted = nodes.join(comp, [*by, "node"], "left").select(
-        *by, "node", F.coalesce("root", "node").alias("root"))
+    rooted = nodes.join(comp, [*by, "node"], "left").selectExpr(*by, "node", "coalesce(root, node) as root")
     numbers = index_within(rooted.select(*by, "root").distinct(), by, ["root"], "label")
-    named = durable(rooted.join(numbers, [*by, "root"])
-                    .select(*by, "node", F.col("label").cast("int").alias("label")))
+    named = rooted.join(numbers, [*by, "root"]).selectExpr(*by, "node", "cast(label as int) as label")
 
     # border points take the lowest label among the clusters they touch
     loose = each.where("not p.core")
-    reach = [loose.where("node is not null").select(*by, "p.pid", "node"),
-             loose.select(*by, F.col("p.pid").alias("pid"), F.explode("p.near").alias("node")),
-             thin_links.select(*by, F.explode(F.filter("touch", lambda p: ~p["core"])).alias("p"), "tnode")
-             .select(*by, F.col("p.pid").alias("pid"), F.col("tnode").alias("node"))]
+    reach = [loose.where("node is not null").selectExpr(*by, "p.pid as pid", "node"),
+             loose.selectExpr(*by, "p.pid as pid", "explode(p.near) as node"),
+             thin_links.selectExpr(*by, "explode(filter(touch, p -> not p.core)) as p", "tnode")
+             .selectExpr(*by, "p.pid as pid", "tnode as node")]
     border = (reduce(DataFrame.unionByName, reach).join(named, [*by, "node"])
               .groupBy(*by, "pid").agg(F.min("label").alias("border")))
-    thin_labels = (known.select(*cell, "node", F.explode("pts").alias("p"))
-                   .select(*cell, "node", F.col("p.pid").alias("pid"), F.col("p.core").alias("core"))
-                   .join(named, [*by, "node"], "left").join(border, [*by, "pid"], "left")
-                   .withColumn("label", F.when(F.col("core"), F.col("label")).otherwise(F.col("border")))
-                   .groupBy(*cell).agg(
-                       F.count("*").alias("n"),
-                       F.collect_list(F.struct("pid", "label")).alias("_each"))
-                   .withColumn("_cell", F.lit(None).cast("int")))
-    dense_labels = dense.join(named, [*by, "node"]).select(
-        *cell, "n", F.col("label").alias("_cell"))
-    return durable(thin_labels.unionByName(dense_labels, allowMissingColumns=True))
+    thin_labels = (known.selectExpr(*cell, "node", "inline(pts)").join(named, [*by, "node"], "left")
+                   .join(border, [*by, "pid"], "left")
+                   .selectExpr(*cell, "pid", "if(core, label, border) as label")
+                   .groupBy(*cell).agg(F.count("*").alias("n"),
+                                       F.expr("collect_list(struct(pid, label))").alias("_each")))
+    dense_labels = dense.join(named, [*by, "node"]).selectExpr(*cell, "n", "label as _cell")
+    return durable(thin_labels.unionByName(dense_labels, allowMissingColumns=True)), hot_rows
 
 
 def _settle_counts(seen: DataFrame, pts: DataFrame, e2: float, m: int, by: list[str],
-                   hot_rows: int) -> DataFrame:
+                   hot_rows: int | None) -> DataFrame:
     """Neighbour counts of thin points in dense cells; exact wherever the count can matter."""
     asked = (seen.where(F.col("sure") < m)
-             .select(*by, F.col("p.pid").alias("qid"), F.col("p.px").alias("qx"), F.col("p.py").alias("qy"),
-                     "tnode", F.explode("maybe").alias("b"))
-             .select(*by, F.col("b._fx").alias("_fx"), F.col("b._fy").alias("_fy"), "qid", "qx", "qy",
-                     "tnode", F.col("b.n").alias("bn")))
-    base = seen.select(*by, F.col("p.pid").alias("pid"), "tnode", F.col("sure").alias("hits"))
+             .selectExpr(*by, "p.pid as qid", "p.px as qx", "p.py as qy", "tnode", "explode(maybe) as b")
+             .selectExpr(*by, "b._fx as _fx", "b._fy as _fy", "qid", "qx", "qy", "tnode", "b.n as bn"))
+    base = seen.selectExpr(*by, "p.pid as pid", "tnode", "sure as hits")
     if asked.isEmpty():
         return base.where("hits > 0")
-    dx, dy = F.col("px") - F.col("qx"), F.col("py") - F.col("qy")
-    more = (skew.expand(pts, asked, [*by, "_fx", "_fy"], "bn", len(_AROUND) * m, hot_rows)
-            .where(dx * dx + dy * dy <= e2)
+    more = (skew.expand(pts, asked, [*by, "_fx", "_fy"], "bn", (2 * _REACH + 1) ** 2 * m, hot_rows)
+            .where(f"{_sum2('px - qx', 'py - qy')} <= {e2!r}D")
             .groupBy(*by, F.col("qid").alias("pid"), "tnode").agg(F.count("*").alias("hits")))
     return (base.unionByName(more).groupBy(*by, "pid", "tnode").agg(F.sum("hits").alias("hits"))
             .where("hits > 0"))
@@ -210,19 +210,17 @@ def _settle_counts(seen: DataFrame, pts: DataFrame, e2: float, m: int, by: list[
 
 def _dense_pairs(dense: DataFrame, e2: float, by: list[str]) -> DataFrame:
     """Pairs of nearby dense cells: certainly linked, or open (pairs certainly apart are dropped)."""
-    frame = F.struct("x0", "x1", "y0", "y1")
-    left = _shifted(dense.select(*by, "_cx", "_cy", F.col("node").alias("na"), frame.alias("fa"),
-                                 F.col("boxes").alias("ba")), _HALF)
-    right = dense.select(*by, F.col("_cx").alias("tx"), F.col("_cy").alias("ty"), F.col("node").alias("nb"),
-                         frame.alias("fb"), F.col("boxes").alias("bb"))
-    near = left.join(right, [*by, "tx", "ty"]).where(_near2(F.col("fa"), F.col("fb")) <= e2)
-    linked = F.exists("ba", lambda a: F.exists("bb", lambda b: _far2(a, b) <= e2))
-    maybe = F.exists("ba", lambda a: F.exists("bb", lambda b: _near2(a, b) <= e2))
-    return near.withColumn("linked", linked).where(F.col("linked") | maybe).select(*by, "na", "nb", "linked")
+    frame = "named_struct('x0', x0, 'x1', x1, 'y0', y0, 'y1', y1)"
+    left = _shifted(dense.selectExpr(*by, "_cx", "_cy", "node as na", f"{frame} as fa", "boxes as ba"), _HALF)
+    right = dense.selectExpr(*by, "_cx as tx", "_cy as ty", "node as nb", f"{frame} as fb", "boxes as bb")
+    near = left.join(right, [*by, "tx", "ty"]).where(f"{_near2('fa', 'fb')} <= {e2!r}D")
+    maybe = f"exists(ba, a -> exists(bb, b -> {_near2('a', 'b')} <= {e2!r}D))"
+    return (near.selectExpr(*by, "na", "nb", f"{_linked('ba', 'bb', e2)} as linked", "ba", "bb")
+            .where(f"linked or {maybe}").select(*by, "na", "nb", "linked"))
 
 
 def _settle_links(unsure: DataFrame, dense: DataFrame, pts: DataFrame, comp: DataFrame, e2: float,
-                  by: list[str], hot_rows: int) -> DataFrame:
+                  by: list[str], hot_rows: int | None) -> DataFrame:
     """Decide open pairs that would join two components, by splitting their undecided boxes again.
 
     A box with one distinct coordinate decides exactly, so the loop ends; each round looks only at
@@ -234,9 +232,10 @@ def _settle_links(unsure: DataFrame, dense: DataFrame, pts: DataFrame, comp: Dat
             df = df.join(c, [*by, n], "left").withColumn(r, F.coalesce(r, n))
         return df.where("ra <> rb")
 
-    rest = durable(rooted(unsure, comp))
+    rest = rooted(unsure, comp)
     if rest.isEmpty():
         return comp
+    rest = durable(rest)
     boxed = dense.select(*by, "node", "boxes")
     cut = (rest.join(boxed.select(*by, F.col("node").alias("na"), F.col("boxes").alias("ba")), [*by, "na"])
            .join(boxed.select(*by, F.col("node").alias("nb"), F.col("boxes").alias("bb")), [*by, "nb"]))
@@ -267,8 +266,7 @@ def _settle_links(unsure: DataFrame, dense: DataFrame, pts: DataFrame, comp: Dat
                                       F.col("k").alias("ba")), [*by, "ax", "ay"])
                .join(kids.select(*by, F.col("_fx").alias("bx"), F.col("_fy").alias("by_"),
                                  F.col("k").alias("bb")), [*by, "bx", "by_"]))
-        cut = durable(cut.withColumn("linked", F.exists(
-            "ba", lambda a: F.exists("bb", lambda b: _far2(a, b) <= e2))))
+        cut = durable(cut.withColumn("linked", F.expr(_linked("ba", "bb", e2))))
         hit = cut.where("linked").select(*by, "na", "nb", "ra", "rb").distinct()
         extra.append(hit.select(*by, F.col("ra").alias("a"), F.col("rb").alias("b")))
         pairs = durable(_open_boxes(cut.join(hit.select(*by, "na", "nb"), [*by, "na", "nb"], "left_anti"), e2, by))
@@ -281,9 +279,8 @@ def _settle_links(unsure: DataFrame, dense: DataFrame, pts: DataFrame, comp: Dat
 
 
 def _open_boxes(cut: DataFrame, e2: float, by: list[str]) -> DataFrame:
-    return (cut.select(*by, "na", "nb", "ra", "rb", F.explode("ba").alias("a"), "bb")
-            .select(*by, "na", "nb", "ra", "rb", "a", F.explode("bb").alias("b"))
-            .where((_near2(F.col("a"), F.col("b")) <= e2) & (_far2(F.col("a"), F.col("b")) > e2))
-            .select(*by, "na", "nb", "ra", "rb", F.col("a._fx").alias("ax"), F.col("a._fy").alias("ay"),
-                    F.col("a.n").alias("an"), F.col("b._fx").alias("bx"), F.col("b._fy").alias("by_"),
-                    F.col("b.n").alias("bn")))
+    """Pairs of boxes whose distances do not decide yet; at most 64 x 64 per pair by construction."""
+    pair = [*by, "na", "nb", "ra", "rb"]
+    return (cut.selectExpr(*pair, "explode(ba) as a", "bb").selectExpr(*pair, "a", "explode(bb) as b")
+            .where(f"{_near2('a', 'b')} <= {e2!r}D and {_far2('a', 'b')} > {e2!r}D")
+            .selectExpr(*pair, "a._fx as ax", "a._fy as ay", "a.n as an", "b._fx as bx", "b._fy as by_", "b.n as bn"))

@@ -25,10 +25,12 @@ def hull_points(xy: np.ndarray) -> np.ndarray:
 
     A turn that the rounding of the coordinates alone could explain counts as straight.
     """
-    xy = np.unique(xy, axis=0)
-    if len(xy) < 3:
-        return xy
-    ulp = float(np.abs(xy).max()) * 2.0 ** -52
+    if len(xy) > 256:
+        xy = np.unique(xy, axis=0)
+    pts = sorted(set(map(tuple, xy.tolist())))
+    if len(pts) < 3:
+        return np.array(pts)
+    ulp = max(-pts[0][0], pts[-1][0], *[abs(p[1]) for p in pts]) * 2.0 ** -52
 
     def chain(points):
         out: list = []
@@ -42,7 +44,6 @@ def hull_points(xy: np.ndarray) -> np.ndarray:
             out.append(p)
         return out
 
-    pts = xy.tolist()
     lower, upper = chain(pts), chain(reversed(pts))
     return np.array(lower[:-1] + upper[:-1])
 
@@ -58,7 +59,7 @@ def convex_hulls(df: DataFrame, keys: list[str], x: str = "lon", y: str = "lat")
     reduced = src.mapInArrow(_batch_reducer(keys), slim)
     salted = reduced.groupBy(*keys, "salt").agg(F.collect_list(F.struct("px", "py")).alias("pts"))
     first = salted.mapInArrow(_list_reducer, salted.schema)
-    merged = first.groupBy(*keys).agg(F.flatten(F.collect_list("pts")).alias("pts"))
+    merged = first.groupBy(*keys).agg(F.count("*").alias("parts"), F.flatten(F.collect_list("pts")).alias("pts"))
     hull = merged.mapInArrow(_list_reducer, merged.schema)
     ring = F.transform(F.concat("pts", F.slice("pts", 1, 1)), lambda p: geo.vertex(p["px"], p["py"]))
     kind = F.when(F.size("pts") == 1, "point").when(F.size("pts") == 2, "line").otherwise("polygon")
@@ -110,15 +111,19 @@ def _batch_reducer(keys: list[str]):
 
 
 def _list_reducer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hull of every row's point list; a list that is one finished part already stays as it is."""
     for b in batches:
+        if b.num_rows == 0:
+            continue
         lists = b.column("pts")
         flat = lists.flatten()
-        xy = np.column_stack([flat.field("px").to_numpy(), flat.field("py").to_numpy()]) if len(flat) else np.empty((0, 2))
+        xy = np.column_stack([flat.field("px").to_numpy(), flat.field("py").to_numpy()])
         sizes = lists.value_lengths().to_numpy()
         ends = np.cumsum(sizes)
-        out = [hull_points(xy[e - s:e]) for s, e in zip(sizes, ends)]
+        parts = b.column("parts").to_numpy() if "parts" in b.schema.names else np.full(b.num_rows, 2)
+        out = [xy[e - s:e] if k == 1 else hull_points(xy[e - s:e]) for s, e, k in zip(sizes, ends, parts)]
         offsets = np.concatenate([[0], np.cumsum([len(o) for o in out])]).astype(np.int32)
-        pts = np.concatenate(out) if out else np.empty((0, 2))
+        pts = np.concatenate(out)
         kind = lists.type.value_type
         struct = pa.StructArray.from_arrays([pa.array(pts[:, 0]), pa.array(pts[:, 1])],
                                             fields=[kind.field(0), kind.field(1)])

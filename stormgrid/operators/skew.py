@@ -18,12 +18,15 @@ def hottest(sizes: DataFrame, keys: list[str], size: str, hot_rows: int = HOT_RO
 
 
 def lookup(big: DataFrame, small: DataFrame, keys: list[str], size: str, values: list[str],
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+           hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Left join ``values`` of ``small`` (unique per key, ``size`` = matching rows in ``big``) onto ``big``.
 
     Rows of hot keys get their values from a bounded broadcast and are spread over SPREAD salts in the
-    shuffle that serves the other keys: one pass over ``big``, no hot partition.
+    shuffle that serves the other keys: one pass over ``big``, no hot partition. ``hot_rows=None`` says
+    the caller has checked that no key is hot.
     """
+    if hot_rows is None:
+        return big.join(small.select(*keys, *values), keys, "left").select(*big.columns, *values)
     hot = hottest(small, keys, size, hot_rows).select(
         *keys, F.struct(*values).alias("_hot"))
     cold = small.select(*keys, F.lit(0).alias("_salt"), F.struct(*values).alias("_cold"))
@@ -35,12 +38,15 @@ def lookup(big: DataFrame, small: DataFrame, keys: list[str], size: str, values:
 
 
 def expand(big: DataFrame, rules: DataFrame, keys: list[str], size: str, per_key: int,
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+           hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Inner join ``big`` with ``rules``, which hold at most ``per_key`` rows per key.
 
     ``size`` in ``rules`` is the number of matching rows in ``big``. Rules of hot keys are broadcast
     (at most MAX_HOT * per_key rows), the others meet ``big`` in a shuffle that hot rows never enter.
+    ``hot_rows=None`` says the caller has checked that no key is hot.
     """
+    if hot_rows is None:
+        return big.join(rules, keys)
     sizes = rules.groupBy(*keys).agg(F.max(size).alias(size))
     hot = hottest(sizes, keys, size, hot_rows).select(*keys)
     hot_rules = rules.join(F.broadcast(hot), keys, "left_semi")

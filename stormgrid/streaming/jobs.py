@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import payload
+from ..functions.binding import let
 
 # States after which a job does not change
 TERMINAL = ("complete", "failed", "Completed", "Failed", "Error")
@@ -13,10 +14,11 @@ TERMINAL = ("complete", "failed", "Completed", "Failed", "Error")
 
 def parse_events(df: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
     """``received_at, job_id, status, event_type, payload``; a body that is not JSON is kept under ``raw``."""
-    v = F.col("_v")
-    return (df.withColumn("_v", payload.parse(body))
-            .select(*keep, "received_at", payload.job_id(v).alias("job_id"), payload.status(v).alias("status"),
-                    payload.event_type(v).alias("event_type"), payload.kept(body).alias("payload")))
+    fields = let(payload.parse(body), lambda v: F.struct(
+        payload.job_id(v).alias("job_id"), payload.status(v).alias("status"),
+        payload.event_type(v).alias("event_type"), payload.kept(v, body).alias("payload")))
+    # inline over a one-element array: parsed once, and not merged into what uses it
+    return df.select(*keep, "received_at", F.inline(F.array(fields)))
 
 
 def latest_status(events: DataFrame, tie: str | None = None) -> DataFrame:
