@@ -22,15 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
-from . import skew
+from . import skew, tiles
 from .components import connected_components
 from .numbering import index_within
 
 _BITS = 3           # 2**3 sub-cells per cell side
 _SIDE = 0.7071      # cell side / eps, under 1/sqrt(2)
-_REACH = 2          # neighbours within eps lie at most this many cells away
-_AROUND = "_dx <> 0 or _dy <> 0"
-_HALF = "_dx > 0 or (_dx = 0 and _dy > 0)"
 
 
 def dbscan(points: DataFrame, eps: float, min_samples: int, *, id_col: str = "id", x: str = "lon",
@@ -58,16 +55,12 @@ def _locate(df: DataFrame, x: str, y: str, eps: float) -> DataFrame:
     return df.withColumns({"_cx": F.shiftright("_fx", _BITS), "_cy": F.shiftright("_fy", _BITS)})
 
 
-# Distances as SQL text: ``p``, ``q`` name points (px, py), ``a``, ``b`` boxes (x0, x1, y0, y1)
+# Distances as SQL text: ``a`` and ``b`` name boxes (x0, x1, y0, y1)
 
 def _sum2(dx: str, dy: str) -> str:
     return f"({dx}) * ({dx}) + ({dy}) * ({dy})"
 
 
-def _d2(p: str, q: str) -> str:
-    return _sum2(f"{p}.px - {q}.px", f"{p}.py - {q}.py")
-
-
 def _near2(a: str, b: str) -> str:
     """Squared distance of two boxes (0 where they overlap)."""
     return _sum2(*[f"greatest({a}.{v}0 - {b}.{v}1, {b}.{v}0 - {a}.{v}1, 0D)" for v in "xy"])
@@ -78,14 +71,6 @@ def _far2(a: str, b: str) -> str:
     return _sum2(*[f"greatest(abs({a}.{v}1 - {b}.{v}0), abs({b}.{v}1 - {a}.{v}0))" for v in "xy"])
 
 
-def _point_near2(p: str, b: str) -> str:
-    return _sum2(*[f"greatest({p}.p{v} - {b}.{v}1, {b}.{v}0 - {p}.p{v}, 0D)" for v in "xy"])
-
-
-def _point_far2(p: str, b: str) -> str:
-    return _sum2(*[f"greatest(abs({p}.p{v} - {b}.{v}0), abs({b}.{v}1 - {p}.p{v}))" for v in "xy"])
-
-
 def _linked(a: str, b: str, e2: float) -> str:
     return f"exists({a}, a -> exists({b}, b -> {_far2('a', 'b')} <= {e2!r}D))"
 
@@ -97,13 +82,6 @@ def _boxes(pts: DataFrame, keys: list[str], fx: str, fy: str) -> DataFrame:
         F.min("py").alias("y0"), F.max("py").alias("y1"))
 
 
-def _shifted(df: DataFrame, offsets: str) -> DataFrame:
-    """One row per cell and neighbouring cell it looks at (``tx``, ``ty``)."""
-    step = f"explode(sequence({-_REACH}, {_REACH}))"
-    return (df.selectExpr("*", f"{step} as _dx").selectExpr("*", f"{step} as _dy").where(offsets)
-            .selectExpr("* except (_dx, _dy)", "_cx + _dx as tx", "_cy + _dy as ty"))
-
-
 def _cell_labels(pts: DataFrame, eps: float, m: int, by: list[str], hot_rows: int) -> tuple[DataFrame, int | None]:
     """Per cell: size ``n``, ``_cell`` label of a dense cell or ``_each`` labels of a thin cell's points.
 
@@ -112,12 +90,9 @@ def _cell_labels(pts: DataFrame, eps: float, m: int, by: list[str], hot_rows: in
     """
     e2 = eps * eps
     cell = [*by, "_cx", "_cy"]
-    look = [*by, "tx", "ty"]
     cells = durable(
         _boxes(pts, cell, "_fx", "_fy").groupBy(*cell).agg(
             F.sum("n").alias("n"), F.min("lo").alias("node"),
-            F.min("x0").alias("x0"), F.max("x1").alias("x1"),
-            F.min("y0").alias("y0"), F.max("y1").alias("y1"),
             F.collect_list(F.struct("_fx", "_fy", "n", "x0", "x1", "y0", "y1")).alias("boxes")))
     dense, thin = cells.where(F.col("n") >= m), cells.where(F.col("n") < m)
 
@@ -130,42 +105,30 @@ def _cell_labels(pts: DataFrame, eps: float, m: int, by: list[str], hot_rows: in
         cool.join(thin.select(*cell), cell, "left_semi")
         .groupBy(*cell).agg(F.collect_list(F.struct("pid", "px", "py")).alias("pts")))
 
-    probes = _shifted(listed, _AROUND)
-    by_thin = (probes.join(listed.selectExpr(*by, "_cx as tx", "_cy as ty", "pts as tpts"), look)
-               .selectExpr(*by, "explode(pts) as p", "tpts")
-               .selectExpr(*by, "p.pid as pid", "cast(null as bigint) as tnode",
-                           f"cast(size(filter(tpts, q -> {_d2('p', 'q')} <= {e2!r}D)) as bigint) as hits")
-               .where("hits > 0"))
-    seen = durable(
-        probes.join(dense.selectExpr(*by, "_cx as tx", "_cy as ty", "node as tnode", "boxes"), look)
-        .selectExpr(*by, "explode(pts) as p", "tnode", "boxes")
-        .selectExpr(*by, "p", "tnode", f"filter(boxes, b -> {_point_near2('p', 'b')} <= {e2!r}D) as met")
-        .where("size(met) > 0")
-        .selectExpr(*by, "p", "tnode",
-                    f"aggregate(filter(met, b -> {_point_far2('p', 'b')} <= {e2!r}D), 0L, (s, b) -> s + b.n) as sure",
-                    f"filter(met, b -> {_point_far2('p', 'b')} > {e2!r}D) as maybe"))
-    by_dense = _settle_counts(seen, pts, e2, m, by, hot_rows)
+    # what tiles tell: neighbour counts of thin points, links of dense cells
+    entries = dense.select(*cell, "node", "boxes").unionByName(listed, allowMissingColumns=True)
+    told = durable(tiles.facts(tiles.tiled(entries, by, ["node", "boxes", "pts"]), by, tiles.cell_facts(e2, m)))
+    kind = lambda k: told.where(F.col("kind") == k)
+    more = _settle_counts(kind(tiles.MAYBE), pts, e2, m, by, hot_rows)
 
     # core test of thin points
-    tally = by_thin.unionByName(by_dense).groupBy(*by, "pid").agg(
-        F.sum("hits").alias("hits"), F.collect_set("tnode").alias("near"))
-    flags = (listed.selectExpr(*cell, "size(pts) as own", "inline(pts)").join(tally, [*by, "pid"], "left")
-             .selectExpr(*cell, "pid", "px", "py", f"own + coalesce(hits, 0) >= {m} as core", "near"))
+    tally = (kind(tiles.HITS).selectExpr(*by, "a as pid", "b as hits", "cast(null as bigint) as near")
+             .unionByName(kind(tiles.NEAR).selectExpr(*by, "a as pid", "0L as hits", "b as near"))
+             .unionByName(more.selectExpr(*by, "pid", "hits", "tnode as near")))
+    tally = tally.groupBy(*by, "pid").agg(F.sum("hits").alias("hits"), F.collect_set("near").alias("near"))
+    flags = (listed.selectExpr(*cell, "inline(pts)").join(tally, [*by, "pid"])
+             .selectExpr(*cell, "pid", "px", "py", f"hits >= {m} as core", "near"))
     known = durable(flags.groupBy(*cell).agg(
         F.expr("min(pid) filter (where core)").alias("node"),
         F.expr("collect_list(struct(pid, px, py, core, near))").alias("pts")))
 
     # what links cells
-    wide = durable(_dense_pairs(dense, e2, by))
-    thin_links = (_shifted(known, _AROUND)
-                  .join(known.where("node is not null").selectExpr(
-                      *by, "_cx as tx", "_cy as ty", "node as tnode", "filter(pts, q -> q.core) as tpts"), look)
-                  .selectExpr(*by, "node", "tnode",
-                              f"filter(pts, p -> exists(tpts, q -> {_d2('p', 'q')} <= {e2!r}D)) as touch")
-                  .where("size(touch) > 0"))
+    wide = kind(tiles.LINK).selectExpr(*by, "a as na", "b as nb", "c = 1 as linked")
+    slim = known.withColumn("pts", F.expr("transform(pts, p -> struct(p.pid, p.px, p.py, p.core))"))
+    thin_told = durable(tiles.facts(tiles.tiled(slim, by, ["node", "pts"]), by, tiles.core_facts(e2)))
     each = known.selectExpr(*by, "node", "explode(pts) as p")
     edges = [wide.where("linked").selectExpr(*by, "na as a", "nb as b"),
-             thin_links.where("exists(touch, p -> p.core)").selectExpr(*by, "node as a", "tnode as b"),
+             thin_told.where(F.col("kind") == tiles.EDGE).select(*by, "a", "b"),
              each.where("p.core").selectExpr(*by, "node as a", "explode(p.near) as b")]
     comp = connected_components(reduce(DataFrame.unionByName, edges), by)
     comp = _settle_links(wide.where("not linked"), dense, pts, comp, e2, by, hot_rows)
@@ -177,10 +140,8 @@ def _cell_labels(pts: DataFrame, eps: float, m: int, by: list[str], hot_rows: in
 
     # border points take the lowest label among the clusters they touch
     loose = each.where("not p.core")
-    reach = [loose.where("node is not null").selectExpr(*by, "p.pid as pid", "node"),
-             loose.selectExpr(*by, "p.pid as pid", "explode(p.near) as node"),
-             thin_links.selectExpr(*by, "explode(filter(touch, p -> not p.core)) as p", "tnode")
-             .selectExpr(*by, "p.pid as pid", "tnode as node")]
+    reach = [loose.selectExpr(*by, "p.pid as pid", "explode(p.near) as node"),
+             thin_told.where(F.col("kind") == tiles.TOUCH).selectExpr(*by, "a as pid", "b as node")]
     border = (reduce(DataFrame.unionByName, reach).join(named, [*by, "node"])
               .groupBy(*by, "pid").agg(F.min("label").alias("border")))
     thin_labels = (known.selectExpr(*cell, "node", "inline(pts)").join(named, [*by, "node"], "left")
@@ -192,31 +153,18 @@ def _cell_labels(pts: DataFrame, eps: float, m: int, by: list[str], hot_rows: in
     return durable(thin_labels.unionByName(dense_labels, allowMissingColumns=True)), hot_rows
 
 
-def _settle_counts(seen: DataFrame, pts: DataFrame, e2: float, m: int, by: list[str],
+def _settle_counts(open_boxes: DataFrame, pts: DataFrame, e2: float, m: int, by: list[str],
                    hot_rows: int | None) -> DataFrame:
-    """Neighbour counts of thin points in dense cells; exact wherever the count can matter."""
-    asked = (seen.where(F.col("sure") < m)
-             .selectExpr(*by, "p.pid as qid", "p.px as qx", "p.py as qy", "tnode", "explode(maybe) as b")
-             .selectExpr(*by, "b._fx as _fx", "b._fy as _fy", "qid", "qx", "qy", "tnode", "b.n as bn"))
-    base = seen.selectExpr(*by, "p.pid as pid", "tnode", "sure as hits")
+    """Neighbours of thin points in boxes that reach across eps, counted on the points of those boxes.
+
+    A box is asked about by at most the thin points of the cells around its own.
+    """
+    asked = open_boxes.selectExpr(*by, "c as _fx", "d as _fy", "a as qid", "x as qx", "y as qy", "b as tnode", "e as bn")
     if asked.isEmpty():
-        return base.where("hits > 0")
-    more = (skew.expand(pts, asked, [*by, "_fx", "_fy"], "bn", (2 * _REACH + 1) ** 2 * m, hot_rows)
+        return asked.selectExpr(*by, "qid as pid", "tnode", "bn as hits")
+    return (skew.expand(pts, asked, [*by, "_fx", "_fy"], "bn", (2 * tiles.RIM + 1) ** 2 * m, hot_rows)
             .where(f"{_sum2('px - qx', 'py - qy')} <= {e2!r}D")
             .groupBy(*by, F.col("qid").alias("pid"), "tnode").agg(F.count("*").alias("hits")))
-    return (base.unionByName(more).groupBy(*by, "pid", "tnode").agg(F.sum("hits").alias("hits"))
-            .where("hits > 0"))
-
-
-def _dense_pairs(dense: DataFrame, e2: float, by: list[str]) -> DataFrame:
-    """Pairs of nearby dense cells: certainly linked, or open (pairs certainly apart are dropped)."""
-    frame = "named_struct('x0', x0, 'x1', x1, 'y0', y0, 'y1', y1)"
-    left = _shifted(dense.selectExpr(*by, "_cx", "_cy", "node as na", f"{frame} as fa", "boxes as ba"), _HALF)
-    right = dense.selectExpr(*by, "_cx as tx", "_cy as ty", "node as nb", f"{frame} as fb", "boxes as bb")
-    near = left.join(right, [*by, "tx", "ty"]).where(f"{_near2('fa', 'fb')} <= {e2!r}D")
-    maybe = f"exists(ba, a -> exists(bb, b -> {_near2('a', 'b')} <= {e2!r}D))"
-    return (near.selectExpr(*by, "na", "nb", f"{_linked('ba', 'bb', e2)} as linked", "ba", "bb")
-            .where(f"linked or {maybe}").select(*by, "na", "nb", "linked"))
 
 
 def _settle_links(unsure: DataFrame, dense: DataFrame, pts: DataFrame, comp: DataFrame, e2: float,
