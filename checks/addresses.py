@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stormgrid.functions import geo
 from stormgrid.plans import addresses as plan
 from stormgrid.session import staged
+from stormgrid.sources.addresses import osm_addresses
 
 from .hail import storms
 from .inputs import ctes, fx
@@ -73,6 +74,26 @@ def hail_in_search_area(spark, sf):
     return plan.storms_in_area(storms(spark, sf), CENTER, RADIUS_KM * 1000).select("cluster_id", "num_points")
 
 
+@query("hail_in_envelope", f"""with {STORMS}, q as (select cluster_id from edge group by cluster_id having
+ not exists (select 1 from edge g where g.cluster_id = edge.cluster_id and (select max((g.bx - g.ax) * (c.y - g.ay) - (g.by_ - g.ay) * (c.x - g.ax))
+  from (values (-89.44, 30.48), (-88.66, 30.48), (-88.66, 30.86), (-89.44, 30.86)) c(x, y)) < 0))
+select s.cluster_id, s.num_points from stats s join q on q.cluster_id = s.cluster_id where xmin <= -88.66 and xmax >= -89.44 and ymin <= 30.86 and ymax >= 30.48""")
+def hail_in_envelope(spark, sf):
+    return plan.storms_in_box(storms(spark, sf), "-89.44,30.48,-88.66,30.86").select("cluster_id", "num_points")
+
+
+@query("osm_addresses_in_storm", f"""with {ctes('fx_addresses_edge')},
+{STORMS},
+{INSIDE} select a.id, a.number || ' ' || a.street || ', ' || a.city || ', ' || a.state || ' ' || a.zip as address
+from fx_addresses_edge a where a.id in (select id from inside) and a.id % 7 <> 0""")
+def osm_addresses_in_storm(spark, sf):
+    tag = lambda k, c: [F.lit(f"addr:{k}"), F.col(c)]
+    rest = F.create_map(*tag("street", "street"), *tag("city", "city"), *tag("state", "state"), *tag("postcode", "zip"))
+    tags = F.when(F.col("id") % 7 == 0, rest).otherwise(F.map_concat(rest, F.create_map(*tag("housenumber", "number"))))
+    nodes = fx(spark, sf, "fx_addresses_edge").select("id", "lat", "lon", tags.alias("tags"))
+    return osm_addresses(plan.in_any_storm(nodes, storms(spark, sf))).select("id", "address")
+
+
 @query("skiptrace_targets", f"""with {ctes('fx_addresses_edge')},
 {STORMS},
 {AREA},
@@ -121,6 +142,16 @@ def address_clusters(spark, sf):
         "hail_cluster_id", "addr_cluster_id", "num_addresses", "xmin", "ymin", "xmax", "ymax")
 
 
+@query("address_noise_per_storm", f"""with {ctes('fx_addresses')},
+{STORMS},
+{CENTROIDS},
+{dbscan_sql('al', 'around', 0.0006, 8, by='hail_cluster_id')}
+select hail_cluster_id, count(*) as num_addresses, count(*) filter (label < 0) as num_noise from al group by hail_cluster_id""")
+def address_noise_per_storm(spark, sf):
+    return (labelled_addresses(spark, sf).groupBy("hail_cluster_id")
+            .agg(F.count("*").alias("num_addresses"), F.count_if(F.col("addr_cluster_id") < 0).alias("num_noise")))
+
+
 @query("untraced_addresses", f"with {ctes('fx_addresses', 'fx_traces')} select id, address from fx_addresses a "
        "where not exists (select 1 from fx_traces t where t.address_id = a.id) order by id limit 100")
 def untraced_addresses(spark, sf):

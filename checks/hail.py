@@ -9,7 +9,7 @@ from stormgrid.plans import hail
 from stormgrid.session import staged
 
 from .inputs import ctes, fx
-from .oracle_parts import HAIL, HAIL_HULL, HAIL_STATS, STORMS, hull_sql
+from .oracle_parts import HAIL, HAIL_STATS, STORMS, dbscan_sql, hull_sql
 
 QUERIES, SQL = {}, {}
 _STORMS: dict = {}
@@ -37,6 +37,15 @@ def hail_clusters(spark, sf):
     return hail.hail_clusters(fx(spark, sf, "fx_hail"))
 
 
+@query("hail_clusters_by_state", f"""with {ctes("fx_hail")},
+{dbscan_sql("lab", "fx_hail", 0.03, 6, by="state")}
+select l.state, l.label as cluster_id, count(*) as num_points, min(h.valid) as start_time, max(h.valid) as end_time,
+ min(l.lon) as xmin, min(l.lat) as ymin, max(l.lon) as xmax, max(l.lat) as ymax
+from lab l join fx_hail h on h.id = l.id where l.label >= 0 group by l.state, l.label""")
+def hail_clusters_by_state(spark, sf):
+    return hail.hail_clusters(fx(spark, sf, "fx_hail"), by=["state"])
+
+
 @query("hail_noise_points", f"with {HAIL} select id, lon, lat from lab where label < 0")
 def hail_noise_points(spark, sf):
     return hail.label_hail(fx(spark, sf, "fx_hail")).where("cluster_id < 0").select("id", "lon", "lat")

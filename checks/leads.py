@@ -10,7 +10,6 @@ from stormgrid.plans import maps
 from stormgrid.sources import vendor
 from stormgrid.streaming import jobs
 
-from .addresses import labelled_addresses
 from .hail import storms
 from .inputs import ctes, fx
 from .oracle_parts import STORMS
@@ -267,10 +266,15 @@ def map_colors(spark, sf):
         "cluster_id", "num_points", "color", text.hex_color("cluster_id", text.SECOND_SERIES).alias("address_color"))
 
 
-@query("geojson_features")
+@query("geojson_features", f"""with {STORMS} select s.cluster_id, 'Polygon' as kind, s.num_points, min(e.ax) as start_lon, arg_min(e.ay, (e.ax, e.ay)) as start_lat,
+ 'POLYGON ((' as wkt_head from stats s join edge e on e.cluster_id = s.cluster_id group by s.cluster_id, s.num_points""")
 def geojson_features(spark, sf):
-    return storms(spark, sf).select("cluster_id", maps.feature(geo.geojson_polygon(F.col("ring")), ["cluster_id", "num_points"]).alias("feature"),
-                                    geo.wkt_polygon(F.col("ring")).alias("wkt"))
+    f = storms(spark, sf).select("cluster_id", maps.feature(geo.geojson_polygon(F.col("ring")), ["cluster_id", "num_points"]).alias("f"),
+                                 geo.wkt_polygon(F.col("ring")).alias("w"))
+    at = lambda path, kind: F.get_json_object("f", path).cast(kind)
+    return f.select("cluster_id", at("$.geometry.type", "string").alias("kind"), at("$.properties.num_points", "long").alias("num_points"),
+                    at("$.geometry.coordinates[0][0][0]", "double").alias("start_lon"),
+                    at("$.geometry.coordinates[0][0][1]", "double").alias("start_lat"), F.left("w", F.lit(10)).alias("wkt_head"))
 
 
 @query("address_point_features", f"""with {ctes('fx_addresses')} select id, cast(json_extract(f, '$.properties.zip') as varchar) as zip, json_extract_string(f, '$.geometry.type') as kind
@@ -279,9 +283,3 @@ def address_point_features(spark, sf):
     f = maps.feature(geo.geojson_point("lon", "lat"), ["id", "zip"])
     return fx(spark, sf, "fx_addresses").select("id", f.alias("f")).select(
         "id", F.get_json_object("f", "$.properties.zip").alias("zip"), F.get_json_object("f", "$.geometry.type").alias("kind"))
-
-
-@query("address_noise_per_storm")
-def address_noise_per_storm(spark, sf):
-    return (labelled_addresses(spark, sf).groupBy("hail_cluster_id")
-            .agg(F.count("*").alias("num_addresses"), F.count_if(F.col("addr_cluster_id") < 0).alias("num_noise")))

@@ -50,6 +50,15 @@ def storms_in_area(storms: DataFrame, center: tuple[float, float], radius_m: flo
             .where(geo.convex_meet(F.col("ring"), area)))
 
 
+def storms_in_box(storms: DataFrame, box: str) -> DataFrame:
+    """Polygons that meet the envelope ``"minlon,minlat,maxlon,maxlat"``: the comparison of envelopes
+    prunes in the scan, the exact test sees what is left."""
+    x0, y0, x1, y1 = geo.parse_box(box)
+    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+    return (storms.where(geo.boxes_meet("xmin", "ymin", "xmax", "ymax", (x0, y0, x1, y1)))
+            .where(geo.convex_meet(F.col("ring"), corners)))
+
+
 def points_in_area(points: DataFrame, center: tuple[float, float], radius_m: float) -> DataFrame:
     area = geo.mercator_circle(*center, radius_m)
     return (points.where(geo.in_box("lon", "lat", *_box(area)))
@@ -119,5 +128,5 @@ def address_clusters(labelled: DataFrame) -> DataFrame:
 
 def untraced(addresses: DataFrame, traces: DataFrame, n: int) -> DataFrame:
     """First ``n`` addresses without a trace."""
-    todo = addresses.join(traces.select(F.col("address_id").alias("id")), "id", "left_anti")
+    todo = addresses.join(traces.select(F.col("address_id").alias("id")).distinct(), "id", "left_anti")
     return top(todo.select("id", "address"), n, F.asc("id"))

@@ -31,31 +31,32 @@ def as_time(df: DataFrame, name: str):
         c.try_cast("timestamp_ntz") if kind == "string" else c.cast("timestamp_ntz")
 
 
-def label_hail(points: DataFrame, eps: float = 0.03, min_samples: int = 6, **cols) -> DataFrame:
-    return dbscan(points, eps, min_samples, label="cluster_id", **cols)
+def label_hail(points: DataFrame, eps: float = 0.03, min_samples: int = 6, by: list[str] | None = None, **cols) -> DataFrame:
+    """Add ``cluster_id``; with ``by`` (states, runs) every group is clustered on its own in the same jobs."""
+    return dbscan(points, eps, min_samples, by=by, label="cluster_id", **cols)
 
 
-def cluster_stats(labelled: DataFrame, x: str = "lon", y: str = "lat") -> DataFrame:
+def cluster_stats(labelled: DataFrame, by: list[str] | None = None, x: str = "lon", y: str = "lat") -> DataFrame:
     """One row per cluster: size, first start, last end, envelope. Noise is left out."""
     start, end = time_columns(labelled)
     null_time = F.lit(None).cast("timestamp_ntz")
     t0 = F.min(as_time(labelled, start)) if start else null_time
     t1 = F.max(as_time(labelled, end or start)) if start else null_time
-    return (labelled.where("cluster_id >= 0").groupBy("cluster_id").agg(
+    return (labelled.where("cluster_id >= 0").groupBy(*(by or []), "cluster_id").agg(
         F.count("*").alias("num_points"), t0.alias("start_time"), t1.alias("end_time"),
         F.min(x).alias("xmin"), F.min(y).alias("ymin"), F.max(x).alias("xmax"), F.max(y).alias("ymax")))
 
 
-def hail_clusters(points: DataFrame, eps: float = 0.03, min_samples: int = 6, **cols) -> DataFrame:
-    return cluster_stats(label_hail(points, eps, min_samples, **cols))
+def hail_clusters(points: DataFrame, eps: float = 0.03, min_samples: int = 6, by: list[str] | None = None, **cols) -> DataFrame:
+    return cluster_stats(label_hail(points, eps, min_samples, by, **cols), by)
 
 
-def hail_boundaries(points: DataFrame, eps: float = 0.03, min_samples: int = 6) -> DataFrame:
+def hail_boundaries(points: DataFrame, eps: float = 0.03, min_samples: int = 6, by: list[str] | None = None) -> DataFrame:
     """Cluster table with a polygon per cluster (points and lines are widened to a sliver)."""
-    labelled = label_hail(points, eps, min_samples)
-    hulls = convex_hulls(labelled.where("cluster_id >= 0"), ["cluster_id"])
-    stats = cluster_stats(labelled).drop("xmin", "ymin", "xmax", "ymax")
-    return (stats.join(hulls, "cluster_id").withColumn("ring", solid())
+    labelled, keys = label_hail(points, eps, min_samples, by), [*(by or []), "cluster_id"]
+    hulls = convex_hulls(labelled.where("cluster_id >= 0"), keys)
+    stats = cluster_stats(labelled, by).drop("xmin", "ymin", "xmax", "ymax")
+    return (stats.join(hulls, keys).withColumn("ring", solid())
             .withColumns(geo.bounds(F.col("ring"))))
 
 

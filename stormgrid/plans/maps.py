@@ -12,15 +12,13 @@ def hail_markers(points: DataFrame, size: str = "maxsize", severity: str = "sevp
                  fallback: float = 3.0) -> DataFrame:
     """Marker ``radius`` (largest = ``typical``; missing or zero = ``fallback``) and ``severity`` in 0..1.
 
-    The scales come from one global aggregate, a single row, so the broadcast is bounded by its schema.
+    The scales come from one global aggregate; its single row enters the projection as literals.
     """
-    scale = points.agg(F.max(size).alias("_big"), F.min(severity).alias("_lo"), F.max(severity).alias("_hi"))
-    factor = F.coalesce(F.try_divide(F.lit(typical), F.col("_big")), F.lit(1.0))
+    big, lo, hi = points.agg(F.max(size), F.min(severity), F.max(severity)).first()
+    factor = typical / big if big else 1.0
     grown = F.when(F.coalesce(F.col(size), F.lit(0)) == 0, fallback).otherwise(F.col(size) * factor)
-    spread = F.try_divide((F.col(severity) - F.col("_lo")).cast("double"), (F.col("_hi") - F.col("_lo")).cast("double"))
-    return (points.withColumn("_one", F.lit(1)).join(F.broadcast(scale.withColumn("_one", F.lit(1))), "_one")
-            .withColumns({"radius": grown, "severity": F.coalesce(spread, F.lit(0.0))})
-            .drop("_one", "_big", "_lo", "_hi"))
+    spread = (F.col(severity) - F.lit(lo)) / F.lit(float(hi - lo)) if lo is not None and hi > lo else F.lit(0.0)
+    return points.withColumns({"radius": grown, "severity": F.coalesce(spread, F.lit(0.0))})
 
 
 def total_bounds(shapes: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
+from ..functions.timing import in_chunks
 from ..operators import rows
 from ..session import staged
 
@@ -52,6 +53,18 @@ def publish(df: DataFrame, path: str, part: list[str] | None = None) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def land_product(df: DataFrame, root: str, product: str, start: str, end: str, span: int = 30) -> None:
+    """Write product rows of one run under ``dataset=/state=/chunk_start=``.
+
+    Chunks of the run replace earlier copies of themselves; other states and chunks stay. A chunk of a
+    state is spread by id, so a busy chunk does not end in one task.
+    """
+    placed = in_chunks(df, "valid", start, end, span).drop("chunk").withColumn("dataset", F.lit(product))
+    keys = ["dataset", "state", "chunk_start"]
+    spread = placed.repartition(*keys, F.pmod(F.xxhash64("id"), F.lit(16)))
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
+
+
 def upsert_into(path: str, updates: DataFrame, keys: list[str], version: Column, now: Column | None = None,
                 part: str | None = None) -> None:
     """Apply the last update of every key to the table at ``path``.

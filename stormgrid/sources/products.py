@@ -61,6 +61,16 @@ def latest_releases(files: DataFrame, path: str = "path") -> DataFrame:
                                      F.max_by("path", F.struct("release", "path")).alias("path"))
 
 
+def read_latest_details(spark: SparkSession, folder: str) -> DataFrame:
+    """Details rows of the newest release of every year found in ``folder``.
+
+    The list of names is read without contents; at most one file per four-digit year is kept, so the
+    paths are few enough to name in the read.
+    """
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "StormEvents_details*").load(folder).select("path")
+    return read_storm_details(spark, [r.path for r in latest_releases(names).select("path").collect()])
+
+
 def date_or_box(df: DataFrame, *, start: str | None = None, end: str | None = None, box: str | None = None,
                 day: str = "event_date", x: str = "lon", y: str = "lat") -> DataFrame:
     """Dates with both ends included and / or an envelope; without arguments everything."""

@@ -39,6 +39,20 @@ def test_storm_details_gzip(spark, tmp_path):
     assert (b.id, b.num_points, b.hull_kind, b.first_lat, b.begin_time.hour) == (7, 2, "line", 38.0, 10)
 
 
+def test_landing_and_latest_files(spark, tmp_path):
+    from stormgrid.sinks import tables
+    h = values(spark, "(1L, timestamp_ntz'2024-01-03 00:00:00', 1, 1D, 0D, 0D, 'GA'), (2L, timestamp_ntz'2024-02-03 00:00:00', 1, 1D, 0D, 0D, 'KY')", "id, valid, sevprob, maxsize, lon, lat, state")
+    root = str(tmp_path / "p")
+    for _ in range(2):
+        tables.land_product(h, root, "nx3hail", "2024-01-01", "2024-03-01")
+    assert products.read_product(spark, root, "nx3hail").count() == spark.read.parquet(root).count() == 2
+    (tmp_path / "d").mkdir()
+    for day, lat in (("20240101", 1), ("20240301", 2)):
+        with gzip.open(tmp_path / "d" / f"StormEvents_details-ftp_v1.0_d2024_c{day}.csv.gz", "wt") as f:
+            f.write(f"EPISODE_ID,EVENT_ID,BEGIN_DATE_TIME,BEGIN_LAT,BEGIN_LON\n1,2,2024-01-01 00:00:00,{lat},3\n")
+    assert [r.BEGIN_LAT for r in products.read_latest_details(spark, str(tmp_path / "d")).collect()] == [2.0]
+
+
 def test_latest_release(spark):
     name = "x/StormEvents_details-ftp_v1.0_d{}_c{}.csv.gz"
     f = spark.createDataFrame([(name.format(2024, 20240105),), (name.format(2024, 20240301),), (name.format(2023, 20230101),), ("junk",)], "path string")
@@ -175,6 +189,22 @@ def test_time_columns(spark):
     assert hail.time_columns(spark.sql("select 1 x")) == (None, None)
 
 
+def test_paths_names_and_views(spark):
+    from stormgrid.functions import geo
+    from stormgrid.sources import tables
+    v = payload.parse("b")
+    r = spark.createDataFrame([('{"a": {"b": 3}}',)], "b string").select(
+        payload.at_path(v, "$.a.b", "int").alias("x"), payload.at_path(v, "$.a.z.q", default="none").alias("y")).first()
+    assert tuple(r) == (3, "none")
+    ring = geo.literal_ring([(0, 1), (2, 1), (2, 3), (0, 1)])
+    assert spark.range(1).select(geo.poly_filter(ring)).first()[0] == 'poly:"1.0 0.0 1.0 2.0 3.0 2.0 1.0 0.0"'
+    assert spark.range(1).select(geo.wkt_polygon(ring)).first()[0] == "POLYGON ((0.0 1.0, 2.0 1.0, 2.0 3.0, 0.0 1.0))"
+    assert geo.parse_center("-85.7585, 38.2527") == (-85.7585, 38.2527)
+    with pytest.raises(ValueError):
+        geo.parse_center("x")
+    assert tables.alias_view(spark, spark.range(3), "newest").count() == spark.table("newest").count() == 3
+
+
 def test_first_rows_ignore_order_of_arrival(spark):
     df = values(spark, "('A', '1', 5), ('a', '1', 2), (null, '1', 9), ('A', null, 1)", "address, zip, id")
     for n in (1, 4):
