@@ -57,3 +57,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_root(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work on a scan with few splits (one row group, gzip text).
+
+    A scan that already has a split per core, as any large table does, is left alone: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -15,6 +15,9 @@ OWNER = ("OWNER_NAME", "OWNER1", "OWNERNM")
 MAILING = ("MAILING_ADDR", "MAILING_ADDRESS", "MAIL_ADDR")
 ASSESSED = ("ASSESSED_VALUE", "TOT_ASSD_VAL", "ASSESSED")
 
+# County name and source tag written with every row
+COUNTY, SOURCE = "Jefferson", "jefferson_arcgis"
+
 
 def read_parcel_pages(spark: SparkSession, path: str, box: str | None = None) -> DataFrame:
     """Landed GeoJSON pages: one row per feature, attributes as a map plus ring and envelope."""
@@ -38,7 +41,7 @@ def _first_column(df: DataFrame, names) -> F.Column | None:
     return next((F.col(have[n]) for n in names if n in have), None)
 
 
-def normalize_parcels(df: DataFrame, county: str = "Jefferson", keep: tuple[str, ...] = ()) -> DataFrame:
+def normalize_parcels(df: DataFrame, county: str = COUNTY, keep: tuple[str, ...] = ()) -> DataFrame:
     """Canonical parcel columns and a JSON snapshot of the source row.
 
     The source column is chosen once for the data set, by name. Rows without a usable key are dropped:
@@ -54,7 +57,7 @@ def normalize_parcels(df: DataFrame, county: str = "Jefferson", keep: tuple[str,
 
 
 def owners_of(parcels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    meta = F.to_json(F.struct(F.lit("jefferson_arcgis").alias("source"), F.col("owner_name").alias("raw_owner")))
+    meta = F.to_json(F.struct(F.lit(SOURCE).alias("source"), F.col("owner_name").alias("raw_owner")))
     return (parcels.where("owner_name is not null and owner_name <> ''")
             .select(*keep, "parcel_id", F.col("owner_name").alias("name"), "mailing_address", meta.alias("metadata")))
 
