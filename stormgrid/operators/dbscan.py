@@ -174,6 +174,9 @@ def _settle_links(unsure: DataFrame, dense: DataFrame, pts: DataFrame, comp: Dat
     A box with one distinct coordinate decides exactly, so the loop ends; each round looks only at
     points in boxes of pairs that are still open.
     """
+    if unsure.isEmpty():
+        return comp
+
     def rooted(df: DataFrame, comp: DataFrame) -> DataFrame:
         for n, r in (("na", "ra"), ("nb", "rb")):
             c = comp.select(*by, F.col("node").alias(n), F.col("root").alias(r))

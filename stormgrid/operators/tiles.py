@@ -100,7 +100,8 @@ def _span(a0, a1, b0, b1):
 
 def cell_facts(e2: float, m: int):
     """HITS (point, neighbours known for sure), NEAR (point, dense cell), MAYBE (point, dense cell, open box,
-    its size, point place) for thin points; LINK (dense cell, dense cell, 1 linked / 0 open)."""
+    its size, point place) for thin points; LINK (dense cell, dense cell, 1 linked / 0 open), the linked
+    ones as a star per connected part of the tile."""
 
     def find(t: dict) -> list[dict]:
         pts, box, out = t["pts"], t["boxes"], []
@@ -155,12 +156,34 @@ def _links(t: dict, bx: list, e2: float) -> list[dict]:
             na.append(t["node"][i])
             nb.append(t["node"][j])
             linked.append((fx * fx + fy * fy).min() <= e2)
-    return [{"kind": np.full(len(na), LINK), "a": np.array(na, dtype=np.int64), "b": np.array(nb, dtype=np.int64),
-             "c": np.array(linked, dtype=np.int64)}]
+    na, nb, linked = np.array(na, dtype=np.int64), np.array(nb, dtype=np.int64), np.array(linked, dtype=bool)
+    member, root = _stars(na[linked], nb[linked])
+    # an open pair matters only between cells the tile does not connect already
+    of = dict(zip(member.tolist(), root.tolist()))
+    loose = ~linked & np.array([of.get(a, a) != of.get(b, b) for a, b in zip(na.tolist(), nb.tolist())], dtype=bool)
+    far = member != root
+    return [{"kind": np.full(far.sum(), LINK), "a": member[far], "b": root[far], "c": np.ones(far.sum())},
+            {"kind": np.full(loose.sum(), LINK), "a": na[loose], "b": nb[loose]}]
+
+
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of a small graph with the smallest node they are connected to."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = at[:len(a)], at[len(a):]
+    low = np.arange(len(nodes))
+    while True:
+        new = low.copy()
+        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, j, low[i])
+        new = new[new]
+        if (new == low).all():
+            return nodes, nodes[low]
+        low = new
 
 
 def core_facts(e2: float):
-    """EDGE (cell, cell) between thin cells with core points within eps; TOUCH (border point, cell)."""
+    """EDGE (cell, cell) between thin cells with core points within eps, a star per connected part of the
+    tile; TOUCH (border point, cell)."""
 
     def find(t: dict) -> list[dict]:
         pts, out = t["pts"], []
@@ -168,6 +191,7 @@ def core_facts(e2: float):
         mine = np.flatnonzero(t["home"][pts["cell"]])
         if not len(core) or not len(mine):
             return out
+        ab = []
         qx, qy, qn = pts["px"][core], pts["py"][core], t["node"][pts["cell"][core]]
         for s in _chunks(len(mine), len(core)):
             i = mine[s]
@@ -176,10 +200,12 @@ def core_facts(e2: float):
             p, n = i[p], qn[q]
             k = pts["core"][p].astype(bool)
             own = t["node"][pts["cell"][p]]
-            ab = np.unique(np.column_stack([own, n])[k & (own != n)], axis=0)
-            out.append({"kind": np.full(len(ab), EDGE), "a": ab[:, 0], "b": ab[:, 1]})
+            ab.append(np.unique(np.column_stack([own, n])[k & (own != n)], axis=0))
             pn = np.unique(np.column_stack([pts["pid"][p], n])[~k], axis=0)
             out.append({"kind": np.full(len(pn), TOUCH), "a": pn[:, 0], "b": pn[:, 1]})
+        member, root = _stars(*np.concatenate(ab).T)
+        far = member != root
+        out.append({"kind": np.full(far.sum(), EDGE), "a": member[far], "b": root[far]})
         return [f for f in out if len(f["kind"])]
 
     return find

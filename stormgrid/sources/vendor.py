@@ -61,17 +61,20 @@ def mailing_rows(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def contacts(df: DataFrame) -> DataFrame:
-    """One row per distinct email and per phone, unique by (property, email, phone)."""
-    owner = F.col("p.owner")
-    pid = F.col("p._id").alias("property_id")
-    mails = F.array_distinct(F.filter(owner["emails"], lambda e: e.isNotNull() & (e != "")))
-    by_mail = df.select(pid, F.explode(mails).alias("email"))
-    ph = F.col("ph")
-    by_phone = df.select(pid, F.explode(owner["phoneNumbers"]).alias("ph")).select(
-        "property_id", ph["number"].alias("phone"), ph["type"].alias("phone_type"), ph["carrier"].alias("carrier"),
-        ph["score"].alias("score"), ph["dnc"].alias("dnc"), ph["reachable"].alias("reachable"),
-        ph["lastReportedDate"].try_cast("timestamp_ntz").alias("last_reported"))
-    return by_mail.unionByName(by_phone, allowMissingColumns=True)
+    """One row per distinct email and per phone; both come out of one pass over the parsed record."""
+    def one(**known):
+        kinds = {"email": "string", "phone": "string", "phone_type": "string", "carrier": "string", "score": "int",
+                 "dnc": "boolean", "reachable": "boolean", "last_reported": "timestamp_ntz"}
+        return F.struct(*[known.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()])
+
+    owner, none = F.col("p.owner"), F.array().cast("array<string>")
+    mails = F.array_distinct(F.filter(F.coalesce(owner["emails"], none), lambda e: e.isNotNull() & (e != "")))
+    phones = F.transform(owner["phoneNumbers"], lambda ph: one(
+        phone=ph["number"], phone_type=ph["type"], carrier=ph["carrier"], score=ph["score"], dnc=ph["dnc"],
+        reachable=ph["reachable"], last_reported=ph["lastReportedDate"].try_cast("timestamp_ntz")))
+    each = F.transform(mails, lambda e: one(email=e))
+    return df.select(F.col("p._id").alias("property_id"), F.inline(F.when(
+        owner["phoneNumbers"].isNull(), each).otherwise(F.concat(each, phones))))
 
 
 def contact_arrays(rows: DataFrame) -> DataFrame:
