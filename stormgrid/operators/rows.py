@@ -59,7 +59,10 @@ def absent_rows(target: DataFrame, rows: DataFrame, keys: list[str], order: Colu
 
 def coalesce_update(target: DataFrame, updates: DataFrame, key: str, fields: list[str], set_once: dict[str, Column],
                     cleared: tuple[str, ...] = ()) -> DataFrame:
-    """Update matched rows: a blank or missing new value keeps the old; ``set_once`` only fills nulls."""
+    """Update matched rows: a blank or missing new value keeps the old; ``set_once`` only fills nulls.
+
+    ``updates`` has one row per key.
+    """
     new = updates.select(F.col(key), *[F.col(f).alias(f"n_{f}") for f in fields], F.lit(True).alias("_hit"))
     both = target.join(new, key, "left")
     out = []

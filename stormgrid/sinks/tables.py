@@ -1,7 +1,8 @@
 """Table sinks on plain parquet folders.
 
-Rewrites are written beside the table first and moved in by partition, so a failed job leaves the
-old rows in place and nothing reads the files it is overwriting.
+Rewrites are computed into a staged copy in the shared checkpoint folder first. Nothing reads the files it
+is overwriting, a job that fails while computing leaves the old rows in place, and if the closing plain
+copy is cut off the staged rows are still there to copy again.
 """
 
 from __future__ import annotations

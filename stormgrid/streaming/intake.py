@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -53,21 +54,39 @@ def store_events(events: DataFrame, path: str, checkpoint: str) -> StreamingQuer
 
 
 def keep_latest_status(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Maintain the latest status per job as a table.
+    """Maintain the latest status per job as a table, read with ``current_status``.
 
     State lives in the table, not in memory: every micro-batch is reduced to one row per job and
-    merged. Repeating a batch changes nothing, so a restart is safe.
+    merged. Batches write two slots in turn, so while one is rewritten the other holds everything up to
+    the batch before, and repeating a batch after a crash changes nothing.
     """
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame, batch_id: int) -> None:
         new = jobs.latest_status(batch).drop("num_events")
-        old = tables.existing(batch.sparkSession, path)
-        both = new if old is None else rows.latest_per(new.unionByName(old), "job_id", F.col("received_at"))
-        tables.replace(tables.staged(both, "status"), path)
+        old = _slots(batch.sparkSession, path)
+        both = new if old is None else _newest(new.unionByName(old))
+        tables.replace(tables.staged(both, "status"), f"{path}/slot{batch_id % 2}")
 
     return (events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def current_status(spark: SparkSession, path: str) -> DataFrame:
+    """Latest status per job; right also while a slot is being rewritten."""
+    found = _slots(spark, path)
+    if found is None:
+        raise LookupError(f"no status table at {path}")
+    return _newest(found)
+
+
+def _slots(spark: SparkSession, path: str) -> DataFrame | None:
+    found = [t for i in (0, 1) if (t := tables.existing(spark, f"{path}/slot{i}")) is not None]
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
+def _newest(statuses: DataFrame) -> DataFrame:
+    return rows.latest_per(statuses, "job_id", F.col("received_at"))
+
+
 def overdue_stream(events: DataFrame, seconds: int = 300, delay: str = "1 minute") -> DataFrame:
     """``(job_id, first_seen)`` once for every job without a terminal state ``seconds`` after its first event.
 
