@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, simhash
+from . import langid, quality, secrets, simhash
 from .common import table
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.credential_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def text(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(text(base), 256).alias("base_sha256"), text(F.col("found")).alias("spans"))
+
+
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -23,9 +37,16 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", *quality.COUNTS, "base_failed", "kept", F.round("d2", 3).alias("distance"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secrets": op3_secrets,
     "op6_simhash_groups": op6_simhash_groups,
     "op8_language": op8_language,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {}
