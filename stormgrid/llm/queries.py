@@ -7,10 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, secrets, simhash
+from . import langid, quality, secrets, simhash, winnowing
 from .common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1_SQL = rf"""
+with d as (select doc_id, regexp_extract_all({_ASCII_LOWER.format('coalesce(text, chr(32))')},
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+b as (select item_id, regexp_extract_all({_ASCII_LOWER.format('coalesce(text, chr(32))')},
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark),
+windows as (select item_id, least(len(w), 10) n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') win
+            from b, unnest(range(1, greatest(len(w) - 8, 2))) t(i) where len(w) > 0),
+lengths as (select distinct n from windows),
+spots as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') win
+       from d, lengths, unnest(range(1, len(w) - n + 2)) t(i)),
+hits as (select doc_id, i, n, item_id from spots join windows using (n, win)),
+words as (select doc_id, count(distinct i + k) n_hit from (select distinct doc_id, i, n from hits), unnest(range(n)) t(k)
+          group by doc_id),
+items as (select doc_id, count(distinct item_id) n_items, array_to_string(list_sort(list(distinct item_id::varchar)), ',') ids
+          from hits group by doc_id)
+select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
+       sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from d left join words using (doc_id) left join items using (doc_id)"""
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.credential_spans(table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda s: s["kind"].isin("assign", "access", "hex"))
@@ -43,10 +72,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op3_secrets": op3_secrets,
     "op6_simhash_groups": op6_simhash_groups,
     "op8_language": op8_language,
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_decontamination": OP1_SQL}
