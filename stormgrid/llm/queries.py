@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, secrets, simhash, winnowing
+from . import langid, mixing, quality, secrets, simhash, winnowing
 from .common import table
 
 
@@ -54,6 +54,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(text(base), 256).alias("base_sha256"), text(F.col("found")).alias("spans"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -74,6 +79,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_secrets": op3_secrets,
+    "op4_mixing": op4_mixing,
     "op6_simhash_groups": op6_simhash_groups,
     "op8_language": op8_language,
     "op10_quality": op10_quality,
