@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, quality, secrets, simhash, winnowing
+from . import langid, lines, mixing, quality, secrets, simhash, winnowing
 from .common import table
 
 
@@ -64,6 +64,25 @@ def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+with d as (select doc_id, string_split(text, chr(10)) l from documents),
+w as (select doc_id, i pos, l[i:i + 2] win from d, unnest(range(1, len(l) - 1)) t(i)
+      where regexp_matches(array_to_string(l[i:i + 2], chr(10)), '[^\x20\x09-\x0D]')),
+ranked as (select doc_id, pos, row_number() over (partition by win order by doc_id, pos) r from w),
+gone as (select distinct doc_id, pos + k line from ranked, unnest(range(3)) t(k) where r > 1),
+lines as (select doc_id, i line, l[i] txt from d, unnest(range(1, len(l) + 1)) t(i)),
+marked as (select doc_id, line, txt, gone.line is not null out from lines left join gone using (doc_id, line)),
+runs as (select *, out and not coalesce(lag(out) over (partition by doc_id order by line), false) as begins from marked)
+select doc_id, count(*) n_lines, count(*) filter (out) n_removed, count(*) filter (begins) n_runs,
+       sha256(coalesce(string_agg(txt, chr(10) order by line) filter (not out), '')) kept_sha256
+from runs group by doc_id"""
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~langid.held_out() & F.col("doc_id").isNotNull()))
@@ -81,8 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": op3_secrets,
     "op4_mixing": op4_mixing,
     "op6_simhash_groups": op6_simhash_groups,
+    "op7_line_dedup": op7_line_dedup,
     "op8_language": op8_language,
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {"op1_decontamination": OP1_SQL}
+SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op7_line_dedup": OP7_SQL}
