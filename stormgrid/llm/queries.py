@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, lines, mixing, quality, secrets, simhash, winnowing
+from . import langid, licenses, lines, mixing, quality, secrets, simhash, winnowing
 from .common import table
 
 
@@ -59,6 +59,28 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(table(spark, sf_dir, "documents"))
+
+
+def _op5_sql() -> str:
+    """All windows of all texts against all templates, without any retrieval."""
+    rows = ", ".join("('{}', {}, [{}])".format(
+        name, licenses.size_class(len(sh)), ", ".join("'" + s + "'" for s in sh))
+        for name, text in licenses.TEMPLATES if (sh := licenses.template_shingles(text)))
+    return rf"""
+with lib(license, c, wanted) as (values {rows}),
+d as (select doc_id, regexp_extract_all({_ASCII_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
+      from documents),
+at_shingle as (select doc_id, i - 1 i, array_to_string(w[i:i + 4], ' ') s from d, unnest(range(1, len(w) - 3)) t(i)),
+found as (select distinct doc_id, license, c, len(wanted) m, s, k << c as start
+          from at_shingle join (select license, c, wanted, unnest(wanted) s from lib) using (s),
+               unnest([i >> c, (i >> c) - 1]) t(k) where k >= 0),
+wins as (select doc_id, license, start, count(*) / any_value(m) share from found group by all)
+select doc_id, license, max(share) containment, count(*) n_windows, min(start)::bigint first_window
+from wins where share >= 0.8 group by doc_id, license"""
+
+
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -99,10 +121,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_secrets": op3_secrets,
     "op4_mixing": op4_mixing,
+    "op5_licenses": op5_licenses,
     "op6_simhash_groups": op6_simhash_groups,
     "op7_line_dedup": op7_line_dedup,
     "op8_language": op8_language,
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op7_line_dedup": OP7_SQL}
+SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op5_licenses": _op5_sql(), "op7_line_dedup": OP7_SQL}
