@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, lines, mixing, quality, secrets, simhash, winnowing
+from ..session import checkpoint_root
+from . import langid, licenses, lines, mixing, quality, secrets, simhash, warc, winnowing
 from .common import table
 
 
@@ -40,6 +42,25 @@ select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesc
 from d left join words using (doc_id) left join items using (doc_id)"""
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", F.col("url").alias("uri"), F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
+    path = f"{checkpoint_root(spark).rstrip('/')}/warc/{uuid.uuid4().hex}"
+    warc.write_archives(warc.with_revisits(pages), path)
+    read = warc.stored_pages(warc.reassembled(warc.read_records(spark, path)))
+    return read.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+                       F.col("type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"), "valid")
+
+
+OP2_SQL = """
+with p as (select page_id, coalesce(html, '') html, sha1(coalesce(html, '')) sha, strlen(coalesce(html, '')) n from pages),
+last as (select sha, max(page_id) top from p where n >= 1000 group by sha having count(*) > 1)
+select page_id, n::bigint payload_bytes, p.sha payload_digest,
+       case when top <> page_id then 'revisit' else 'response' end record_type,
+       case when top <> page_id then top end refers_to, true as valid
+from p left join last on last.sha = p.sha and n >= 1000"""
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.credential_spans(table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda s: s["kind"].isin("assign", "access", "hex"))
@@ -119,6 +140,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_warc": op2_warc,
     "op3_secrets": op3_secrets,
     "op4_mixing": op4_mixing,
     "op5_licenses": op5_licenses,
@@ -128,4 +150,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op5_licenses": _op5_sql(), "op7_line_dedup": OP7_SQL}
+SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op5_licenses": _op5_sql(), "op7_line_dedup": OP7_SQL}
