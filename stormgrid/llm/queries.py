@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
-from . import langid, licenses, lines, mixing, quality, secrets, simhash, warc, winnowing
+from . import langid, licenses, lines, mixing, quality, repeats, secrets, simhash, warc, winnowing
 from .common import table
 
 
@@ -133,6 +133,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select(
         "doc_id", *quality.COUNTS, "base_failed", "kept", F.round("d2", 3).alias("distance"))
@@ -147,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash_groups": op6_simhash_groups,
     "op7_line_dedup": op7_line_dedup,
     "op8_language": op8_language,
+    "op9_repeats": op9_repeats,
     "op10_quality": op10_quality,
 }
 
