@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from ..session import checkpoint_root
 from . import langid, licenses, lines, mixing, quality, repeats, secrets, simhash, warc, winnowing
 from .common import table
@@ -153,6 +155,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_repeats": op9_repeats,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op5_licenses": _op5_sql(), "op7_line_dedup": OP7_SQL}
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
