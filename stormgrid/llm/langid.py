@@ -176,5 +176,5 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """Rows whose language is told with at least ``min_score``; letterless and null texts go."""
-    found = predict(docs, fit(docs))
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*docs.columns)
+    found = predict(docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text")), fit(docs), "_text")
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("_row.*")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
 from ..session import staged
 from .common import row_key
 
@@ -58,27 +59,26 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     at. Columns of ``docs`` with the names of the added ones are replaced.
     """
     own = ("n_lines", "n_removed", "n_runs")
-    docs = docs.drop(*own)
     found = staged(windows(docs, id_col, text_col, width), "lines")
-    runs = removed_runs(found, width).withColumnRenamed("key", "_key")
-    met = docs.withColumn("_key", row_key(id_col, text_col)).join(runs, "_key", "left")
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(F.arrays_zip(
-        F.concat(F.array(F.lit(0)), "ends").alias("lo"),
-        F.concat("starts", F.array(F.size(lines))).alias("hi")), lambda r: r["hi"] > r["lo"])
-    cut = F.array_join(F.transform(kept, lambda r: F.array_join(
-        F.slice(lines, r["lo"] + 1, r["hi"] - r["lo"]), "\n")), "\n")
+    runs = removed_runs(found, width)
+    met = docs.select(F.struct("*").alias("_row"), row_key(id_col, text_col).alias("key")).join(runs, "key", "left")
+    text = F.col("_row")[text_col]
+    cut = let(F.split(text, "\n", -1), lambda lines: F.array_join(F.transform(
+        F.filter(F.arrays_zip(F.concat(F.array(F.lit(0)), "ends").alias("lo"),
+                              F.concat("starts", F.array(F.size(lines))).alias("hi")), lambda r: r["hi"] > r["lo"]),
+        lambda r: F.array_join(F.slice(lines, r["lo"] + 1, r["hi"] - r["lo"]), "\n")), "\n"))
     removed = F.aggregate(F.arrays_zip("starts", "ends"), F.lit(0), lambda n, r: n + r["ends"] - r["starts"])
+    n_lines = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1)
     return met.select(
-        *[F.when(F.col("starts").isNull(), F.col(c)).otherwise(cut).alias(c) if c == text_col else F.col(c)
-          for c in docs.columns],
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"),
+        *[F.when(F.col("starts").isNull(), text).otherwise(cut).alias(c) if c == text_col else F.col("_row")[c].alias(c)
+          for c in docs.columns if c not in own],
+        n_lines.cast("long").alias("n_lines"), F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"),
         F.when(F.col("starts").isNull(), 0).otherwise(F.size("starts")).cast("long").alias("n_runs"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text, n_chars, ..)`` cut; a document goes if every line of it was removed."""
-    out = deduplicated(docs)
+    out = deduplicated(docs.select(F.struct("*").alias("_row"), "doc_id", "text"))
     return out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))).select(
-        *[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+        *[F.col("text") if c == "text" else F.length("text").cast("long").alias(c) if c == "n_chars"
+          else F.col("_row")[c].alias(c) for c in docs.columns])

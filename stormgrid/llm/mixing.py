@@ -150,8 +150,10 @@ def mix_rows(docs: DataFrame, **kw) -> DataFrame:
     rows = staged(sized(docs), "mix")
     most = kw.get("most", MOST)
     per = plan(rows, **kw)
-    wide = docs.drop("copies").select("*", size_of(F.col("text")).alias("size"), F.lit(1.0).alias("weight"),
+    keep = [c for c in docs.columns if c != "copies"]
+    wide = docs.select(F.struct(*keep).alias("_row"), F.col("source").cast("string").alias("source"),
+                       size_of(F.col("text")).alias("size"), F.lit(1.0).alias("weight"),
                        uniform(row_key("doc_id", "text")).alias("u"))
     placed = _with_copies(wide, per, most)
     copies = F.col("whole") + F.coalesce((F.col("rank") <= F.col("cut")) & (F.col("size") > 0), F.lit(False)).cast("long")
-    return placed.withColumn("copies", copies).where("copies > 0").select(*docs.drop("copies").columns, "copies")
+    return placed.withColumn("copies", copies).where("copies > 0").select("_row.*", "copies")
