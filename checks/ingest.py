@@ -82,12 +82,12 @@ def parcel_snapshots(spark, sf):
 @query("parcels_upsert", f"""with {ctes('fx_parcels')},
 {_P},
 old as (select * exclude (row_id) from parcels where row_id % 3 <> 0 qualify row_number() over (partition by parcel_id order by row_id desc) = 1),
-new as (select * exclude (row_id) from parcels where row_id % 2 = 0 qualify row_number() over (partition by parcel_id order by row_id desc) = 1)
+new as (select * exclude (row_id) from parcels where row_id % 3 = 0 or row_id % 2 = 0 qualify row_number() over (partition by parcel_id order by row_id desc) = 1)
 select * from new union all select * from old where parcel_id not in (select parcel_id from new)""")
 def parcels_upsert(spark, sf):
     p = parcels.normalize_parcels(fx(spark, sf, "fx_parcels"), keep=("row_id",)).drop("raw")
     old = rows.pick_per_key(p.where("row_id % 3 <> 0"), [F.col("parcel_id")], F.col("row_id"), last=True).drop("row_id")
-    return rows.upsert(old, p.where("row_id % 2 = 0"), ["parcel_id"], F.col("row_id"))
+    return rows.upsert(old, p.where("row_id % 3 = 0 or row_id % 2 = 0"), ["parcel_id"], F.col("row_id"))
 
 
 @query("owners_insert", f"""with {ctes('fx_parcels')},
@@ -151,9 +151,9 @@ def hail_date_chunks(spark, sf):
 
 
 @query("union_windows", f"""with {ctes('fx_hail')} select state, count(*) as num_points, min(id) as first_id, max(id) as last_id
- from fx_hail where valid >= timestamp '2024-01-03' and id % 10 <> 9 group by state""")
+ from fx_hail where valid >= timestamp '2024-01-03' group by state""")
 def union_windows(spark, sf):
-    h = fx(spark, sf, "fx_hail").where("id % 10 <> 9")
+    h = fx(spark, sf, "fx_hail")
     parts = [h.where("id % 3 = 0"), h.where("id % 3 <= 1"), h.where("id % 3 >= 1")]     # overlapping windows
     run = rows.union_windows(parts, ["state", "id"]).where(F.col("valid") >= F.lit("2024-01-03").cast("timestamp_ntz"))
     return run.groupBy("state").agg(F.count("*").alias("num_points"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))

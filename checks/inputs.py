@@ -38,7 +38,7 @@ select c_custkey as row_id, case when c_custkey%23=0 then null when c_custkey%29
 """),
     "fx_vendor_json": ("orders", r"""
 select o_orderkey as request_id,
- '{"_id":"P'||cast(o_orderkey as string)||'","address":{"street":'||(case when o_orderkey%6=0 then '""' else '"'||cast(o_orderkey%9000+1 as string)||' Oak"' end)||',"streetNoUnit":"'||cast(o_orderkey%9000+1 as string)||' Oak Ave","city":"C","state":"KY","zip":"40001"},"assessment":{"totalAssessedValue":'||(case when o_orderkey%19=0 then 'null' else cast(cast(floor(o_totalprice)*4 as bigint) as string) end)||'},"general":{"vacant":'||(case when o_orderkey%5=0 then 'true' else 'false' end)||'},"owner":{"ownerOccupied":'||(case when o_orderkey%4<>0 then 'true' else 'false' end)||',"emails":["u'||cast(o_orderkey as string)||'@example.com","u'||cast(o_orderkey as string)||'@example.com",""],"phoneNumbers":[{"number":"555'||cast(1000000+o_orderkey as string)||'","type":"Mobile","score":'||cast(o_orderkey%100 as string)||',"dnc":'||(case when o_orderkey%8=0 then 'true' else 'false' end)||'}]}}' as body from orders where o_orderkey%3=0
+ '{"_id":"P'||cast(o_orderkey as string)||'","address":{"street":'||(case when o_orderkey%6=0 then '""' else '"'||cast(o_orderkey%9000+1 as string)||' Oak"' end)||',"streetNoUnit":"'||cast(o_orderkey%9000+1 as string)||' Oak Ave","city":"C","state":"KY","zip":"40001"},"assessment":{"totalAssessedValue":'||(case when o_orderkey%19=0 then 'null' else cast(cast(floor(o_totalprice)*4 as bigint) as string) end)||'},"general":{"vacant":'||(case when o_orderkey%5=0 then 'true' else 'false' end)||'},"owner":{"ownerOccupied":'||(case when o_orderkey%4<>0 then 'true' else 'false' end)||',"emails":["u'||cast(o_orderkey as string)||'@example.com","u'||cast(o_orderkey as string)||'@example.com",""],"phoneNumbers":[{"number":"555'||cast(1000000+o_orderkey as string)||'","type":"Mobile","score":'||cast(o_orderkey%100 as string)||',"dnc":'||(case when o_orderkey%8=0 then 'true' else 'false' end)||'}]}}' as body from orders
 """),
     "fx_properties": ("orders", r"""
 select 'P'||cast(o_orderkey as string) as property_id, o_orderkey as address_id,
@@ -46,7 +46,7 @@ select 'P'||cast(o_orderkey as string) as property_id, o_orderkey as address_id,
  case when o_orderkey%7=0 then null else o_orderkey%5=0 end as vacant,
  case when o_orderkey%19=0 then null else cast(floor(o_totalprice)*4 as bigint) end as total_assessed_value,
  case when o_orderkey%2=0 then null else cast(floor(o_totalprice)*5 as bigint) end as total_market_value,
- cast(1900+o_orderkey%120 as int) as year_built from orders where o_orderkey%3=0
+ cast(1900+o_orderkey%120 as int) as year_built from orders
 """),
     "fx_traces": ("orders", r"""
 select o_orderkey as address_id, 'T'||cast(o_orderkey as string) as batch_job_id, case when o_orderkey%3=0 then 'failed' else 'complete' end as status from orders where o_orderkey%4=0

@@ -176,6 +176,11 @@ def in_polygon(ring: Column, x, y, strict: bool = True) -> Column:
     return (odd & ~edge) if strict else (odd | edge)
 
 
+def in_part(ring: Column, holes: Column, x, y) -> Column:
+    """Strictly inside a ring and neither in nor on one of its holes."""
+    return in_polygon(ring, x, y) & ~F.exists(holes, lambda h: in_polygon(h, x, y, strict=False))
+
+
 def convex_meet(ring: Column, other: list[tuple[float, float]]) -> Column:
     """Two convex counter-clockwise rings share a point (separating axis test); ``other`` is closed."""
     lit = literal_ring(other)

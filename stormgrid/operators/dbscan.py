@@ -35,23 +35,27 @@ def dbscan(points: DataFrame, eps: float, min_samples: int, *, id_col: str = "id
            hot_rows: int = skew.HOT_ROWS) -> DataFrame:
     """Add ``label`` (-1 for noise) to ``points``; ids are unique within ``by``.
 
-    With ``by`` every group is clustered on its own and labels start from 0 in each.
+    With ``by`` every group is clustered on its own and labels start from 0 in each; null values are a group
+    like any other. Points without a coordinate (null or NaN) are noise.
     """
     by = list(by or [])
     located = _locate(points, x, y, eps)
+    if by:      # one key that is never null, so that plain equality joins groups
+        located, by = located.withColumn("_by", F.to_json(F.struct(*by))), ["_by"]
     table, hot_rows = _cell_labels(located.select(*by, F.col(id_col).alias("pid"), F.col(x).alias("px"),
                                         F.col(y).alias("py"), "_fx", "_fy", "_cx", "_cy")
-                         .where("px is not null and py is not null"),
+                         .where("_cx is not null and _cy is not null"),
                          eps, min_samples, by, hot_rows)
     found = skew.lookup(located, table, [*by, "_cx", "_cy"], "n", ["_cell", "_each"], hot_rows)
     mine = F.filter("_each", lambda e: e["pid"] == F.col(id_col))
     return (found.withColumn(label, F.coalesce("_cell", F.get(mine, F.lit(0))["label"], F.lit(-1)))
-            .drop("_fx", "_fy", "_cx", "_cy", "_cell", "_each"))
+            .drop("_fx", "_fy", "_cx", "_cy", "_cell", "_each", "_by"))
 
 
 def _locate(df: DataFrame, x: str, y: str, eps: float) -> DataFrame:
     side = F.lit(_SIDE * eps / (1 << _BITS))
-    df = df.withColumns({"_fx": F.floor(F.col(x) / side), "_fy": F.floor(F.col(y) / side)})
+    known = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    df = df.withColumns({"_fx": F.floor(known(x) / side), "_fy": F.floor(known(y) / side)})
     return df.withColumns({"_cx": F.shiftright("_fx", _BITS), "_cy": F.shiftright("_fy", _BITS)})
 
 

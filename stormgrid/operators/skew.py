@@ -30,8 +30,10 @@ def lookup(big: DataFrame, small: DataFrame, keys: list[str], size: str, values:
     hot = hottest(small, keys, size, hot_rows).select(
         *keys, F.struct(*values).alias("_hot"))
     cold = small.select(*keys, F.lit(0).alias("_salt"), F.struct(*values).alias("_cold"))
+    # the salt follows from the row, so that a stage run again after a loss deals the same rows
+    salt = F.pmod(F.xxhash64(*big.columns), F.lit(SPREAD)).cast("int")
     flagged = big.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), 1 + (F.rand(17) * SPREAD).cast("int")).otherwise(0))
+        "_salt", F.when(F.col("_hot").isNotNull(), 1 + salt).otherwise(0))
     out = flagged.join(cold, [*keys, "_salt"], "left")
     picked = F.coalesce("_hot", "_cold")
     return out.select(*[F.col(c) for c in big.columns], *[picked[v].alias(v) for v in values])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -17,19 +17,30 @@ _SHAPE = ["ring", "xmin", "ymin", "xmax", "ymax"]
 
 
 def in_storms(addresses: DataFrame, storms: DataFrame, key: str = "cluster_id", event=None, convex: bool = True) -> DataFrame:
-    """One row per address strictly inside a storm polygon; ``event`` limits to one storm."""
+    """One row per address strictly inside a storm polygon; ``event`` limits to one storm.
+
+    A storm may be several rows (parts); a column ``holes`` is left out of its part.
+    """
     if event is not None:
         storms = storms.where(F.col(key) == event)
-    inside = geo.in_convex if convex else geo.in_polygon
-    return gridjoin.points_in_polygons(
-        addresses, storms.select(key, *_SHAPE), inside(F.col("ring"), F.col("lon"), F.col("lat"))).drop(*_SHAPE)
+    shape = _shape(storms)
+    return gridjoin.points_in_polygons(addresses, storms.select(key, *shape), _inside(shape, convex)).drop(*shape)
+
+
+def _shape(storms: DataFrame) -> list[str]:
+    return _SHAPE + [c for c in ("holes",) if c in storms.columns]
+
+
+def _inside(shape: list[str], convex: bool) -> Column:
+    if "holes" in shape:
+        return geo.in_part(F.col("ring"), F.col("holes"), F.col("lon"), F.col("lat"))
+    return (geo.in_convex if convex else geo.in_polygon)(F.col("ring"), F.col("lon"), F.col("lat"))
 
 
 def in_any_storm(addresses: DataFrame, storms: DataFrame, key: str = "id", convex: bool = True) -> DataFrame:
     """Addresses within the union of the polygons, each once."""
-    inside = geo.in_convex if convex else geo.in_polygon
-    return gridjoin.points_in_any(
-        addresses, storms.select(*_SHAPE), inside(F.col("ring"), F.col("lon"), F.col("lat")), key)
+    shape = _shape(storms)
+    return gridjoin.points_in_any(addresses, storms.select(*shape), _inside(shape, convex), key)
 
 
 def near_storms(addresses: DataFrame, storms: DataFrame, metres: float, keep: tuple[str, ...] = ("cluster_id",)) -> DataFrame:
@@ -82,9 +93,12 @@ def distinct_addresses(addresses: DataFrame, order: str = "id") -> DataFrame:
 
 
 def skiptrace_targets(addresses: DataFrame, storms: DataFrame, state: str | None, center: tuple[float, float],
-                      radius_km: float = 40.0, dist_m: float = 200.0, n: int = 1000, multi_units: bool = False) -> DataFrame:
+                      radius_km: float = 40.0, dist_m: float = 200.0, n: int = 1000, multi_units: bool = False,
+                      keys: tuple[str, ...] = ("cluster_id",)) -> DataFrame:
     """Deliverable addresses near storms of a search area, newest storm first, then nearest.
 
+    ``keys`` identify a storm; those other than ``cluster_id`` (storms numbered per state) are returned as ``hail_..``.
+
     De-duplication comes after the address filters and before the join, so an address near several
     storms gives several rows.
     """
@@ -92,18 +106,31 @@ def skiptrace_targets(addresses: DataFrame, storms: DataFrame, state: str | None
     if state:
         addresses = addresses.where(F.col("state") == state.strip().upper())
     addr = distinct_addresses(points_in_area(deliverable(addresses, multi_units), center, radius_m))
-    near = near_storms(addr, storms_in_area(storms, center, radius_m), dist_m, ("cluster_id", "start_time", "end_time"))
-    out = near.select("id", "address", "street", "city", "state", "zip", "lon", "lat", "cluster_id",
+    more = [hail_key(k) for k in keys if k != "cluster_id"]
+    storms = storms.select("*", *[F.col(k).alias(hail_key(k)) for k in keys if k != "cluster_id"])
+    near = near_storms(addr, storms_in_area(storms, center, radius_m), dist_m,
+                       ("cluster_id", *more, "start_time", "end_time"))
+    out = near.select("id", "address", "street", "city", "state", "zip", "lon", "lat", "cluster_id", *more,
                       storm_time("start_time", "end_time").alias("storm_time"),
                       F.round(F.col("distance").cast("decimal(18,6)"), 1).alias("distance_m"))
-    return top(out, n, F.desc_nulls_last("storm_time"), F.asc("distance_m"), F.asc("id"), F.asc("cluster_id"))
+    return top(out, n, F.desc_nulls_last("storm_time"), F.asc("distance_m"), F.asc("id"), F.asc("cluster_id"), *map(F.asc, more))
+
+
+def hail_key(key: str) -> str:
+    """Name of a storm's key beside an address's own columns."""
+    return f"hail_{key}"
 
 
-def around_centroids(addresses: DataFrame, storms: DataFrame, radius: float) -> DataFrame:
-    """Addresses inside (or on) a planar buffer of each storm's centroid; an address may meet several."""
+def around_centroids(addresses: DataFrame, storms: DataFrame, radius: float,
+                     keys: tuple[str, ...] = ("cluster_id",)) -> DataFrame:
+    """Addresses inside (or on) a planar buffer of each storm's centroid; an address may meet several.
+
+    ``keys`` identify a storm: add ``state`` where storms are numbered per state.
+    """
     c = geo.centroid(F.col("ring"))
-    spots = (storms.select(F.col("cluster_id").alias("hail_cluster_id"), c.alias("c"))
-             .select("hail_cluster_id", F.col("c.x").alias("cx"), F.col("c.y").alias("cy"))
+    names = [hail_key(k) for k in keys]
+    spots = (storms.select(*[F.col(k).alias(hail_key(k)) for k in keys], c.alias("c"))
+             .select(*names, F.col("c.x").alias("cx"), F.col("c.y").alias("cy"))
              .withColumns({"xmin": F.col("cx") - radius, "xmax": F.col("cx") + radius,
                            "ymin": F.col("cy") - radius, "ymax": F.col("cy") + radius}))
     inside = geo.in_point_buffer("lon", "lat", F.col("cx"), F.col("cy"), F.lit(radius))
@@ -111,15 +138,15 @@ def around_centroids(addresses: DataFrame, storms: DataFrame, radius: float) ->
 
 
 def label_addresses(addresses: DataFrame, storms: DataFrame, radius: float = 0.01, eps: float = 0.0006,
-                    min_samples: int = 8) -> DataFrame:
-    """Addresses around each storm, clustered per storm: adds ``hail_cluster_id, addr_cluster_id``."""
-    near = around_centroids(addresses.select("id", "lon", "lat"), storms, radius)
-    return dbscan(near, eps, min_samples, by=["hail_cluster_id"], label="addr_cluster_id")
+                    min_samples: int = 8, keys: tuple[str, ...] = ("cluster_id",)) -> DataFrame:
+    """Addresses around each storm, clustered per storm: adds ``hail_<key>..`` and ``addr_cluster_id``."""
+    near = around_centroids(addresses.select("id", "lon", "lat"), storms, radius, keys)
+    return dbscan(near, eps, min_samples, by=[hail_key(k) for k in keys], label="addr_cluster_id")
 
 
-def address_clusters(labelled: DataFrame) -> DataFrame:
+def address_clusters(labelled: DataFrame, keys: tuple[str, ...] = ("cluster_id",)) -> DataFrame:
     """Hull and size of every address cluster; the hull may be a line or a point."""
-    keys = ["hail_cluster_id", "addr_cluster_id"]
+    keys = [*map(hail_key, keys), "addr_cluster_id"]
     kept = labelled.where("addr_cluster_id >= 0")
     sizes = kept.groupBy(*keys).agg(F.count("*").alias("num_addresses"), F.min("lon").alias("xmin"),
                                     F.min("lat").alias("ymin"), F.max("lon").alias("xmax"), F.max("lat").alias("ymax"))

@@ -7,8 +7,6 @@ STORM_DETAILS = "EPISODE_ID long, EVENT_ID long, BEGIN_DATE_TIME timestamp_ntz,
 
 FEATURE = ("type string, properties map<string,string>, "
            "geometry struct<type:string,coordinates:string>")
-POLYGON_FEATURE = ("type string, properties map<string,string>, "
-                   "geometry struct<type:string,coordinates:array<array<array<double>>>>")
 
 ADDRESS_LONLAT = "longitude double, latitude double, number string, street string, city string, region string, postcode string"
 OSM_NODE = "id long, lat double, lon double, tags map<string,string>"

@@ -26,22 +26,22 @@ HEADERS = {
 }
 
 
+#: Names ending in .geojson or .json, whatever their letters' case.
+GEOJSON_NAMES = "*.{[gG][eE][oO][jJ][sS][oO][nN],[jJ][sS][oO][nN]}"
+
+
 def read_geojson_lines(spark: SparkSession, folders: list[str]) -> DataFrame:
     """``(file_path, body)`` for every line of the .geojson and .json files under ``folders``."""
-    parts = [spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", g).text(folders)
-             .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("body"))
-             for g in ("*.geojson", "*.json")]
-    return parts[0].unionByName(parts[1]).where(~blank("body"))
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", GEOJSON_NAMES).text(folders)
+    return lines.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("body")).where(~blank("body"))
 
 
 def read_geojson_collections(spark: SparkSession, folders: list[str]) -> DataFrame:
     """Feature bodies of whole-document collections; a file that does not parse gives one null body."""
     schema = "features array<string>, _bad string"
-    parts = [spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
-             .option("pathGlobFilter", g).option("columnNameOfCorruptRecord", "_bad").json(folders)
-             .select(F.col("_metadata.file_path").alias("file_path"), F.explode_outer("features").alias("body"))
-             for g in ("*.geojson", "*.json")]
-    return parts[0].unionByName(parts[1])
+    docs = (spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
+            .option("pathGlobFilter", GEOJSON_NAMES).option("columnNameOfCorruptRecord", "_bad").json(folders))
+    return docs.select(F.col("_metadata.file_path").alias("file_path"), F.explode_outer("features").alias("body"))
 
 
 def _address_of(f: Column) -> Column:
@@ -134,13 +134,26 @@ def osm_addresses(nodes: DataFrame) -> DataFrame:
 
 
 def read_polygons(spark: SparkSession, path: str) -> DataFrame:
-    """Features of a GeoJSON file -> outer rings with envelope."""
-    feats = spark.read.option("multiLine", True).schema(f"features array<struct<{_struct(schemas.POLYGON_FEATURE)}>>").json(path)
-    ring = F.transform(F.col("f.geometry.coordinates")[0], lambda p: geo.vertex(p[0], p[1]))
+    """Polygon and MultiPolygon features of GeoJSON files: one row per part, outer ring, ``holes`` and envelope.
+
+    Parts of one feature share ``polygon_id``; ``part`` numbers them from 0. ``geo.in_part`` leaves holes out.
+    """
+    feats = spark.read.option("multiLine", True).schema(f"features array<{GEOMETRY_FEATURE}>").json(path)
     return (feats.select(F.posexplode("features").alias("polygon_id", "f"))
-            .select("polygon_id", F.col("f.properties").alias("properties"), ring.alias("ring"))
-            .where("size(ring) > 0").withColumns(geo.bounds(F.col("ring"))))
+            .select("polygon_id", F.col("f.properties").alias("properties"), F.posexplode(polygon_parts(F.col("f.geometry")))
+                    .alias("part", "p"))
+            .select("polygon_id", "properties", "part", "p.ring", "p.holes").withColumns(geo.bounds(F.col("ring"))))
+
+
+#: A feature whose coordinates are kept as text, as their depth depends on the geometry's type.
+GEOMETRY_FEATURE = "struct<type:string,properties:map<string,string>,geometry:struct<type:string,coordinates:string>>"
 
 
-def _struct(ddl: str) -> str:
-    return ddl.replace("type string, properties map", "type:string,properties:map").replace(", geometry struct", ",geometry:struct")
+def polygon_parts(geometry: Column) -> Column:
+    """``array<struct<ring, holes>>`` of a Polygon or MultiPolygon; empty for any other geometry."""
+    one = "array<array<array<double>>>"
+    polygons = F.when(geometry["type"] == "Polygon", F.array(F.from_json(geometry["coordinates"], one))).when(
+        geometry["type"] == "MultiPolygon", F.from_json(geometry["coordinates"], f"array<{one}>"))
+    ring = lambda pts: F.transform(pts, lambda p: geo.vertex(p[0], p[1]))
+    return F.transform(F.filter(F.coalesce(polygons, F.array()), lambda p: F.size(F.get(p, F.lit(0))) > 0), lambda p: F.struct(
+        ring(p[0]).alias("ring"), F.transform(F.slice(p, 2, F.size(p)), ring).alias("holes")))

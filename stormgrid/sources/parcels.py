@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
 from ..functions import geo
 from ..functions.text import number_or_null, title_case
+from .addresses import GEOMETRY_FEATURE, polygon_parts
 
 # Source names tried in order, in any case
 PARCEL_ID = ("PARCEL_ID", "PARID", "PARCELID")
@@ -20,12 +20,13 @@ COUNTY, SOURCE = "Jefferson", "jefferson_arcgis"
 
 
 def read_parcel_pages(spark: SparkSession, path: str, box: str | None = None) -> DataFrame:
-    """Landed GeoJSON pages: one row per feature, attributes as a map plus ring and envelope."""
-    one = "type:string,properties:map<string,string>,geometry:struct<type:string,coordinates:array<array<array<double>>>>"
-    feats = (spark.read.option("multiLine", True).schema(f"features array<struct<{one}>>").json(path)
+    """Landed GeoJSON pages: one row per feature, attributes as a map, all ``parts`` with their holes, the first part's
+    outer ring, and the envelope of all parts. A feature without a polygon stays, unless ``box`` is given."""
+    feats = (spark.read.option("multiLine", True).schema(f"features array<{GEOMETRY_FEATURE}>").json(path)
              .select(F.explode("features").alias("f")))
-    ring = F.transform(F.col("f.geometry.coordinates")[0], lambda p: geo.vertex(p[0], p[1]))
-    df = feats.select(F.col("f.properties").alias("attributes"), ring.alias("ring")).withColumns(geo.bounds(F.col("ring")))
+    df = (feats.select(F.col("f.properties").alias("attributes"), polygon_parts(F.col("f.geometry")).alias("parts"))
+          .withColumn("ring", F.get("parts", F.lit(0))["ring"])
+          .withColumns(geo.bounds(F.flatten("parts.ring"))))
     return df.where(geo.boxes_meet("xmin", "ymin", "xmax", "ymax", geo.parse_box(box))) if box else df
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -18,10 +18,11 @@ RELEASE = r"StormEvents_details-ftp_v1\.0_d(\d{4})_c(\d{8})\.csv\.gz$"
 
 def read_product(spark: SparkSession, root: str, product: str, *, states: list[str] | None = None,
                  start: str | None = None, end: str | None = None, box: str | None = None,
-                 fmt: str = "parquet") -> DataFrame:
+                 fmt: str = "parquet", span_days: int = 45) -> DataFrame:
     """Product rows from ``root/dataset=../state=../chunk_start=..``.
 
-    Dataset, state and chunk prune directories; time and box reach the file scan. One table serves all
+    Dataset, state and chunk prune directories, from both ends: no chunk is longer than ``span_days``; time and
+    box reach the file scan. One table serves all
     states and windows, and overlapping windows are reduced to one row per id and state.
     """
     if product not in POINT_PRODUCTS + POLYGON_PRODUCTS:
@@ -32,7 +33,8 @@ def read_product(spark: SparkSession, root: str, product: str, *, states: list[s
     if states:
         df = df.where(F.col("state").isin(states))
     if start:
-        df = df.where(F.col("valid") >= F.lit(start).cast("timestamp_ntz"))
+        df = df.where((F.col("valid") >= F.lit(start).cast("timestamp_ntz"))
+                      & (F.col("chunk_start") > F.date_sub(F.lit(start).cast("date"), span_days)))
     if end:
         df = df.where((F.col("valid") < F.lit(end).cast("timestamp_ntz")) & (F.col("chunk_start") < F.lit(end).cast("date")))
     if box:
@@ -46,10 +48,19 @@ def read_product(spark: SparkSession, root: str, product: str, *, states: list[s
 
 
 def read_storm_details(spark: SparkSession, path) -> DataFrame:
-    """Gzip CSV with a header; only the columns asked for later are parsed."""
+    """Gzip CSV with a header; only the columns asked for later are parsed.
+
+    Times come as the files write them (``28-APR-24 13:45:00``) or in ISO form; other texts are null.
+    """
     full = spark.read.option("header", True).option("enforceSchema", False).option("inferSchema", False).csv(path)
     fields = [f.strip().split(" ") for f in schemas.STORM_DETAILS.split(",")]
-    return full.select(*[F.col(n).try_cast(t).alias(n) for n, t in fields],
+    def parsed(name: str, kind: str) -> Column:
+        plain = F.col(name).try_cast(kind)
+        if not kind.startswith("timestamp"):
+            return plain
+        return F.coalesce(F.try_to_timestamp(F.col(name), F.lit("dd-MMM-yy HH:mm:ss")).cast(kind), plain)
+
+    return full.select(*[parsed(n, t).alias(n) for n, t in fields],
                        F.col("_metadata.file_path").alias("source_file"))
 
 

@@ -87,49 +87,70 @@ def _newest(statuses: DataFrame) -> DataFrame:
     return rows.latest_per(statuses, "job_id", F.col("received_at"))
 
 
-def overdue_stream(events: DataFrame, seconds: int = 300, delay: str = "1 minute") -> DataFrame:
+def overdue_stream(events: DataFrame, seconds: int = 300, delay: str = "1 minute", keep_seconds: int = 86_400) -> DataFrame:
     """``(job_id, first_seen)`` once for every job without a terminal state ``seconds`` after its first event.
 
-    Event-time timers: a job's state is two values and goes away when it ends or is reported.
+    Event-time timers: a job's state is two values. A job that has ended or was reported is remembered for
+    ``keep_seconds`` of event time after its last event, so that events arriving late or again do not open it anew.
     """
     def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentWatermarkMs()
         if state.hasTimedOut:
-            (first,) = state.get
-            state.remove()
+            first, closed = state.get
+            if closed:
+                state.remove()
+                return
+            state.update((first, True))
+            state.setTimeoutTimestamp(max(first // 1000, now) + keep_seconds * 1000)
             yield pd.DataFrame({"job_id": [key[0]], "first_seen": [pd.Timestamp(first, unit="us")]})
             return
-        first, done = (state.get[0] if state.exists else None), False
+        first, closed = state.get if state.exists else (None, False)
+        last = 0
         for pdf in pdfs:
             low = int(pdf["event_time"].min().value // 1000)
             first = low if first is None else min(first, low)
-            done = done or bool(pdf["done"].any())
-        if done:
-            if state.exists:
-                state.remove()
-            return
-        state.update((first,))
-        due = first // 1000 + seconds * 1000
-        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+            last = max(last, int(pdf["event_time"].max().value // 1_000_000))
+            closed = closed or bool(pdf["done"].any())
+        state.update((first, closed))
+        due = max(last, now) + keep_seconds * 1000 if closed else first // 1000 + seconds * 1000
+        state.setTimeoutTimestamp(max(due, now + 1))
 
     timed = (events.where("job_id is not null")
              .select("job_id", F.col("received_at").cast("timestamp").alias("event_time"), jobs.is_terminal().alias("done"))
              .withWatermark("event_time", delay))
     return timed.groupBy("job_id").applyInPandasWithState(
-        step, "job_id string, first_seen timestamp", "first long", "append", GroupStateTimeout.EventTimeTimeout)
+        step, "job_id string, first_seen timestamp", "first long, closed boolean", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def ingest_addresses(spark: SparkSession, folder: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Load new .geojson / .json line files once each; files that fail to parse add nothing and stay done.
+def ingest_addresses(spark: SparkSession, folder: str, path: str, checkpoint: str, log: str | None = None,
+                     per_trigger: int = 1_000) -> StreamingQuery:
+    """Load new .geojson / .json files, of any letter case, once each: lines of features or whole documents.
 
-    A micro-batch owns one partition of the table, so repeating it replaces its own rows only.
+    A file without a line that is a feature is read again as one document (at most ``per_trigger`` names a
+    micro-batch). A micro-batch owns one partition of the table and one of the import log ``log`` (default: ``path`` +
+    ``_log``; one row per file with the rows it gave, 0 for an empty or broken one), so repeating it replaces its own
+    rows only.
     """
     lines = (spark.readStream.format("text").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.{geojson,json}").load(folder)
+             .option("maxFilesPerTrigger", per_trigger).option("pathGlobFilter", addresses.GEOJSON_NAMES).load(folder)
              .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("file_path")))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        out = addresses.normalize_features(batch, keep=("file_path",)).withColumn("load_id", F.lit(batch_id))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(path))
+        feature = F.coalesce(F.get_json_object("body", "$.type") == "Feature", F.lit(False))
+        files = batch.groupBy("file_path").agg(F.max(feature).alias("by_line"))
+        whole = [r.file_path for r in files.where(~F.col("by_line")).select("file_path").collect()]
+        out = addresses.normalize_features(batch, keep=("file_path",))
+        if whole:
+            docs = addresses.read_geojson_collections(batch.sparkSession, whole)
+            out = out.unionByName(addresses.normalize_features(docs, keep=("file_path",)))
+        put = lambda df, to: (df.withColumn("load_id", F.lit(batch_id)).write.mode("overwrite")
+                              .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(to))
+        put(out, path)
+        mine = batch.sparkSession.read.parquet(path).where(F.col("load_id") == batch_id)
+        counts = mine.groupBy("file_path").agg(F.count("*").alias("num_rows"))
+        put(files.select("file_path").join(counts, "file_path", "left").select(
+            "file_path", F.coalesce("num_rows", F.lit(0)).alias("num_rows"),
+            F.current_timestamp().cast("timestamp_ntz").alias("imported_at")), log or f"{path.rstrip('/')}_log")
 
     return (lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

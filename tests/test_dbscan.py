@@ -82,3 +82,17 @@ def test_groups_are_independent(spark):
     for g in range(3):
         want = brute([x[1:] for x in rows if x[0] == g], 0.06, 5)
         assert {k[1]: v for k, v in got.items() if k[0] == g} == want
+
+
+def test_null_groups_and_missing_coordinates(spark):
+    nan = float("nan")
+    rows = [(i, None, 1.0, 1.0) for i in range(10)] + [(100 + i, "KY", 1.0, 1.0) for i in range(10)]
+    rows += [(200, None, nan, 1.0), (201, "KY", None, 1.0), (202, "KY", nan, nan)]
+    got = {r.id: r.label for r in dbscan(spark.createDataFrame(rows, "id long, state string, lon double, lat double"),
+                                         0.03, 6, by=["state"]).collect()}
+    assert {got[i] for i in range(10)} == {got[100 + i] for i in range(10)} == {0}
+    assert [got[i] for i in (200, 201, 202)] == [-1, -1, -1]
+    # a third of all points on one spot of one group
+    many = [(i, "GA" if i % 3 else None, 2.0 if i % 3 == 0 else i * 0.5, 3.0) for i in range(3000)]
+    got = dbscan(spark.createDataFrame(many, "id long, state string, lon double, lat double"), 0.03, 6, by=["state"])
+    assert got.where("label = 0").count() == 1000 and got.where("label = -1").count() == 2000

@@ -211,3 +211,45 @@ def test_first_rows_ignore_order_of_arrival(spark):
         assert sorted(r.id for r in plan.distinct_addresses(df.repartition(n)).collect()) == [1, 2, 9]
     w = rows.union_windows([df.where("id > 2"), df.where("id < 6")], ["id"])
     assert w.count() == 4
+
+
+def test_storm_times_as_the_files_write_them(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("EPISODE_ID,EVENT_ID,BEGIN_DATE_TIME,BEGIN_LAT,BEGIN_LON\n1,1,28-APR-24 13:45:00,1,2\n"
+                                    "1,2,2024-04-28 13:45:00,1,2\n1,3,soon,1,2\n")
+    got = {r.EVENT_ID: r.BEGIN_DATE_TIME for r in products.read_storm_details(spark, str(tmp_path)).collect()}
+    assert str(got[1]) == str(got[2]) == "2024-04-28 13:45:00" and got[3] is None
+
+
+def test_multipolygons_and_holes(spark, tmp_path):
+    import json
+
+    square = lambda x, y, s: [[x, y], [x + s, y], [x + s, y + s], [x, y + s], [x, y]]
+    kinds = [("Polygon", [square(0, 0, 4), square(1, 1, 2)]), ("MultiPolygon", [[square(10, 0, 1)], [square(20, 0, 1)]]),
+             ("Point", [1, 1])]
+    doc = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"PARID": str(i)}, "geometry": {"type": k, "coordinates": c}}
+        for i, (k, c) in enumerate(kinds)]}
+    (tmp_path / "p.geojson").write_text(json.dumps(doc))
+    storms = addresses.read_polygons(spark, str(tmp_path))
+    assert sorted((r.polygon_id, r.part, len(r.holes)) for r in storms.collect()) == [(0, 0, 1), (1, 0, 0), (1, 1, 0)]
+    points = spark.createDataFrame([(1, .5, .5), (2, 2., 2.), (3, 1., 2.), (4, 10.5, .5), (5, 20.5, .5), (6, 15., .5)],
+                                   "id long, lon double, lat double")
+    got = plan.in_storms(points, storms, key="polygon_id", convex=False)
+    assert sorted((r.id, r.polygon_id) for r in got.collect()) == [(1, 0), (4, 1), (5, 1)]
+    assert sorted(r.id for r in plan.in_any_storm(points, storms, convex=False).collect()) == [1, 4, 5]
+    parcels_ = parcels.read_parcel_pages(spark, str(tmp_path))
+    assert {r.attributes["PARID"]: (len(r.parts), r.xmin, r.xmax) for r in parcels_.collect()} == {
+        "0": (1, 0.0, 4.0), "1": (2, 10.0, 21.0), "2": (0, None, None)}
+    assert parcels.read_parcel_pages(spark, str(tmp_path), "19.5,-1,22,2").count() == 1
+
+
+def test_storms_numbered_per_state(spark):
+    ring = lambda x: [(x, 0.0), (x + 1, 0.0), (x + 1, 1.0), (x, 1.0), (x, 0.0)]
+    storms = spark.createDataFrame([(0, s, [{"x": a, "y": b} for a, b in ring(x)]) for s, x in (("KY", 0.0), ("GA", 50.0))],
+                                   "cluster_id int, state string, ring array<struct<x: double, y: double>>")
+    points = spark.createDataFrame([(i, x + .5, .5 + i * 1e-5) for i in range(10) for x in (0.0, 50.0)],
+                                   "id long, lon double, lat double")
+    labelled = plan.label_addresses(points, storms, radius=.1, eps=.001, min_samples=5, keys=("cluster_id", "state"))
+    clusters = plan.address_clusters(labelled, ("cluster_id", "state")).collect()
+    assert sorted((r.hail_cluster_id, r.hail_state, r.addr_cluster_id, r.num_addresses) for r in clusters) == [
+        (0, "GA", 0, 10), (0, "KY", 0, 10)]

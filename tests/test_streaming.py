@@ -85,3 +85,37 @@ def test_address_files_once(spark, tmp_path):
     run()
     got = spark.read.parquet(str(tmp_path / "t")).collect()
     assert sorted(r.address for r in got) == ["1 Oak", "2 Oak"]
+
+
+def test_overdue_with_late_and_repeated_events(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    at = lambda m, s=0: f"2024-01-01 00:{m:02d}:{s:02d}"
+    landed = [[(at(1), '{"jobId": 1, "status": "complete"}'), (at(0), '{"jobId": 2, "status": "running"}')],
+              [(at(0), '{"jobId": 1, "status": "running"}')],           # older than what ended the job
+              [(at(10), '{"jobId": 9, "status": "complete"}')],
+              [(at(20), '{"jobId": 2, "status": "running"}')],          # again after the report
+              [(at(40), '{"jobId": 9, "status": "complete"}')], [(at(50), '{"jobId": 9, "status": "complete"}')]]
+    for i, part in enumerate(landed):
+        f = src / f"{i}.txt"
+        f.write_text("".join(json.dumps({"received_at": t, "headers": {}, "body": b}) + "\n" for t, b in part))
+        os.utime(f, (1000 + i, 1000 + i))
+    ev = intake.parsed_events(intake.read_events(spark, str(src), 1))
+    q = (intake.overdue_stream(ev).writeStream.format("memory").queryName("shuffled")
+         .outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.processAllAvailable()
+    q.stop()
+    assert [r.job_id for r in spark.table("shuffled").collect()] == ["2"]
+
+
+def test_whole_documents_and_import_log(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    feat = '{"type":"Feature","properties":{"number":"%s","street":"Oak"},"geometry":{"type":"Point","coordinates":[1,2]}}'
+    (src / "A.GEOJSON").write_text('{"type": "FeatureCollection",\n "features": [\n' + ",\n".join(feat % n for n in "12") + "\n]}")
+    (src / "b.Json").write_text(feat % 3 + "\n")
+    (src / "bad.json").write_text("{not json\n")
+    intake.ingest_addresses(spark, str(src), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+    assert sorted(r.address for r in spark.read.parquet(str(tmp_path / "t")).collect()) == ["1 Oak", "2 Oak", "3 Oak"]
+    log = {r.file_path.rsplit("/", 1)[1]: r.num_rows for r in spark.read.parquet(str(tmp_path / "t_log")).collect()}
+    assert log == {"A.GEOJSON": 2, "b.Json": 1, "bad.json": 0}
