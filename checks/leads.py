@@ -79,12 +79,29 @@ def masked_contacts(spark, sf):
         "property_id", "dnc", text.mask_middle("email").alias("email"), text.mask_middle("phone").alias("phone"))
 
 
-@query("contact_arrays", f"""with {CONTACTS} select property_id, count(email) as num_emails, count(phone) as num_phones, max(email) as email, max(phone) as phone
+@query("contact_arrays", f"""with {CONTACTS} select property_id, coalesce(string_agg(email, ';' order by email), '') as emails,
+ coalesce(string_agg(phone || ':' || phone_type || ':' || cast(score as varchar) || ':' || cast(dnc as varchar), ';' order by phone), '') as phones
  from contacts group by property_id""")
 def contact_arrays(spark, sf):
     a = vendor.contact_arrays(vendor.contacts(props(spark, sf)))
-    return a.select("property_id", F.size("emails").cast("long").alias("num_emails"), F.size("phones").cast("long").alias("num_phones"),
-                    F.element_at("emails", 1).alias("email"), F.element_at("phones", 1)["phone"].alias("phone"))
+    return a.select("property_id", F.array_join("emails", ";").alias("emails"), F.array_join(F.transform(
+        "phones", lambda p: F.concat_ws(":", p["phone"], p["phone_type"], p["score"], p["dnc"])), ";").alias("phones"))
+
+
+@query("selector_full", f"""with {CONTACTS},
+arrays as (select property_id, string_agg(email, ';' order by email) as emails,
+ string_agg(case when length(phone) <= 8 then repeat('…', length(phone)) else left(phone, 4) || '…' || right(phone, 4) end || ':' || cast(dnc as varchar), ';' order by phone) as phones
+ from contacts group by property_id)
+select f.property_id, f.street, f.city, f.state, f.zip, f.total_assessed_value, f.owner_occupied, f.vacant, a.emails, a.phones
+from flat f left join arrays a on a.property_id = f.property_id
+where f.owner_occupied and not coalesce(f.vacant, false) and coalesce(f.total_assessed_value, 0) <= {CAP}
+order by f.total_assessed_value desc nulls last, f.property_id limit 1000""")
+def selector_full(spark, sf):
+    parsed = props(spark, sf)
+    out = qualify.with_contacts(qualify.leads_lenient(vendor.flatten_properties(parsed), CAP, 1000), vendor.contacts(parsed))
+    phones = F.transform("phones", lambda p: F.concat_ws(":", p["phone"], p["dnc"]))
+    return out.select("property_id", "street", "city", "state", "zip", "total_assessed_value", "owner_occupied", "vacant",
+                      F.array_join("emails", ";").alias("emails"), F.array_join(phones, ";").alias("phones"))
 
 
 _SEARCH = """'{"externalId":"' || cast(o_orderkey as string) || '","property":{"parcelId":"R' || cast(o_orderkey % 1000 as string) || '","sqFt":' || cast(900 + o_orderkey % 3000 as string)
@@ -266,15 +283,25 @@ def map_colors(spark, sf):
         "cluster_id", "num_points", "color", text.hex_color("cluster_id", text.SECOND_SERIES).alias("address_color"))
 
 
+def _ring_sum(ring):
+    """One number that tells rings apart: rounded x, y and x * y of every vertex."""
+    r = lambda v, k: F.round(v * k)
+    return F.aggregate(ring, F.lit(0.0), lambda s, p: s + r(p[0], 1e4) + 3 * r(p[1], 1e4) + r(p[0], 1e2) * r(p[1], 1e2)).cast("long")
+
+
 @query("geojson_features", f"""with {STORMS} select s.cluster_id, 'Polygon' as kind, s.num_points, min(e.ax) as start_lon, arg_min(e.ay, (e.ax, e.ay)) as start_lat,
+ count(*) as vertices, cast(round(sum(round(e.ax * 1e4) + 3 * round(e.ay * 1e4) + round(e.ax * 1e2) * round(e.ay * 1e2))) as bigint) as ring_sum,
  'POLYGON ((' as wkt_head from stats s join edge e on e.cluster_id = s.cluster_id group by s.cluster_id, s.num_points""")
 def geojson_features(spark, sf):
     f = storms(spark, sf).select("cluster_id", maps.feature(geo.geojson_polygon(F.col("ring")), ["cluster_id", "num_points"]).alias("f"),
                                  geo.wkt_polygon(F.col("ring")).alias("w"))
     at = lambda path, kind: F.get_json_object("f", path).cast(kind)
+    closed = F.from_json(F.get_json_object("f", "$.geometry.coordinates[0]"), "array<array<double>>")
+    f = f.withColumn("closed", closed).withColumn("ring", F.slice("closed", 1, F.size("closed") - 1))
     return f.select("cluster_id", at("$.geometry.type", "string").alias("kind"), at("$.properties.num_points", "long").alias("num_points"),
                     at("$.geometry.coordinates[0][0][0]", "double").alias("start_lon"),
-                    at("$.geometry.coordinates[0][0][1]", "double").alias("start_lat"), F.left("w", F.lit(10)).alias("wkt_head"))
+                    at("$.geometry.coordinates[0][0][1]", "double").alias("start_lat"), 
+                    F.size("ring").cast("long").alias("vertices"), _ring_sum("ring").alias("ring_sum"), F.left("w", F.lit(10)).alias("wkt_head"))
 
 
 @query("address_point_features", f"""with {ctes('fx_addresses')} select id, cast(json_extract(f, '$.properties.zip') as varchar) as zip, json_extract_string(f, '$.geometry.type') as kind

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..functions.text import is_true
+from ..functions.text import is_true, mask_middle
+from ..sources.vendor import contact_arrays
 from .rows import top
 
 
@@ -57,3 +58,14 @@ def within_radius(df: DataFrame, lon: float, lat: float, metres: float, x="longi
 def leads_in_radius(props: DataFrame, center: tuple[float, float], radius_km: float, cap: float, n: int) -> DataFrame:
     near = within_radius(props.where(lenient(cap)), *center, radius_km * 1000.0)
     return top(near, n, *by_value("total_assessed_value", "property_id"))
+
+
+def with_contacts(leads: DataFrame, contacts: DataFrame, mask: bool = True) -> DataFrame:
+    """Leads with their owners' ``emails`` and ``phones`` (``dnc`` kept), null where there are none.
+
+    Contacts are cut to the leads before they are gathered; ``mask`` hides the middle of numbers.
+    """
+    wanted = contacts.join(leads.select("property_id").distinct(), "property_id", "left_semi")
+    if mask:
+        wanted = wanted.withColumn("phone", mask_middle("phone"))
+    return leads.join(contact_arrays(wanted), "property_id", "left")

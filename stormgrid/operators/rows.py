@@ -33,8 +33,19 @@ def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str], version: Column, now: Column | None = None,
            kept: tuple[str, ...] = ("created_at",), renewed: str = "updated_at") -> DataFrame:
-    """Target with the last update of every key applied: all other columns are replaced, ``kept`` stay."""
+    """Target with the last update of every key applied: all other columns are replaced, ``kept`` stay.
+
+    Columns that only the updates have are added, but for a plain ``version`` column; those that only the target
+    has become null in updated rows.
+    """
     newest = pick_per_key(updates, [F.col(k) for k in keys], version, last=True)
+    if (name := version._jc.toString()) not in target.columns:
+        newest = newest.drop(name)
+    stamps = [F.lit(None).cast("timestamp_ntz").alias(c) for c in (*kept, renewed)
+              if now is not None and c not in target.columns and c not in updates.columns]
+    target = align(target.select("*", *stamps), evolve(target.select("*", *stamps), newest))
+    newest = newest.select("*", *[F.lit(None).cast(target.schema[c].dataType).alias(c)
+                                  for c in target.columns if c not in newest.columns])
     old = target.select(*[F.col(c).alias(f"o_{c}") for c in target.columns], F.lit(True).alias("_old"))
     on = [F.col(k) == F.col(f"o_{k}") for k in keys]
     both = newest.withColumn("_new", F.lit(True)).join(old, on, "full_outer")

@@ -15,6 +15,7 @@ from .. import schemas
 from ..functions.timing import in_chunks
 from ..operators import rows
 from ..session import staged
+from ..streaming.jobs import is_terminal
 
 
 def existing(spark: SparkSession, path: str) -> DataFrame | None:
@@ -82,8 +83,7 @@ def upsert_into(path: str, updates: DataFrame, keys: list[str], version: Column,
         replace(fresh, path, [part] if part else None)
         return
     if part:
-        touched = [r[0] for r in updates.select(part).distinct().collect()]   # partition values: few by design
-        old = old.where(F.col(part).isin(touched))
+        old = old.join(updates.select(part).distinct(), part, "left_semi")
     merged = staged(rows.upsert(old, updates, keys, version, now), "upsert")
     if part:
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
@@ -114,11 +114,16 @@ def log_step(spark: SparkSession, path: str, ts: str, state: str, step: str, sta
 
 
 def store_traces(events: DataFrame, addresses_of_jobs: DataFrame, path: str) -> int:
-    """Keep finished job results as ``(address_id, batch_job_id, status, result, completed_at)``."""
-    done = events.join(addresses_of_jobs, "job_id").select(
+    """Add results of finished jobs as ``(address_id, batch_job_id, status, result, completed_at)``.
+
+    Events of jobs that still run are left out; an address and job that the table has already, or that comes again in
+    ``events``, is not added twice (the earliest stays). Returns the rows added.
+    """
+    done = events.where(is_terminal()).join(addresses_of_jobs, "job_id").select(
         "address_id", F.col("job_id").alias("batch_job_id"), "status", F.col("payload").alias("result"),
         F.col("received_at").alias("completed_at"))
-    return append_counted(rows.align(done, _schema(events.sparkSession, schemas.TRACES)), path)
+    traces = rows.align(done, _schema(events.sparkSession, schemas.TRACES))
+    return insert_absent(path, traces, ["address_id", "batch_job_id"], F.col("completed_at"))
 
 
 def _schema(spark: SparkSession, ddl: str):

@@ -110,3 +110,22 @@ def test_named_tables_and_sql_functions(spark):
     r = spark.sql(f"select sg_contains({sq}, 1, 1) a, sg_contains({sq}, 2, 1) b, sg_intersects({sq}, 2, 1) c, sg_area({sq}) d, "
                   "sg_title(\"o'brien mc-donald 3rd\") e, sg_color(7) f, sg_in_buffer(1, 0, 0, 0, 1) g, sg_in_envelope(1, 1, 0, 0, 1, 1) h").first()
     assert tuple(r)[:5] == (True, False, True, 4.0, "O'Brien Mc-Donald 3Rd") and r.f == "#%06x" % ((7 * 2654435761) & 0xFFFFFF) and r.g and r.h
+
+
+def test_traces_of_finished_jobs_once(spark, tmp_path):
+    events = spark.createDataFrame([("1", "running", "{}", "2024-01-01 00:00:00"), ("1", "complete", "{}", "2024-01-01 00:01:00"),
+                                    ("1", "complete", "{}", "2024-01-01 00:02:00"), ("2", "running", "{}", "2024-01-01 00:00:00")],
+                                   "job_id string, status string, payload string, at string").selectExpr(
+        "job_id", "status", "payload", "cast(at as timestamp_ntz) as received_at")
+    jobs = spark.createDataFrame([("1", 10), ("1", 11), ("2", 12)], "job_id string, address_id long")
+    path = str(tmp_path / "traces")
+    assert tables.store_traces(events, jobs, path) == 2 and tables.store_traces(events, jobs, path) == 0
+    assert sorted((r.address_id, r.status, str(r.completed_at)) for r in spark.read.parquet(path).collect()) == [
+        (10, "complete", "2024-01-01 00:01:00"), (11, "complete", "2024-01-01 00:01:00")]
+
+
+def test_upsert_keeps_new_columns(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    new = spark.createDataFrame([(2, "c", 7, 1), (3, "d", 8, 1)], "k long, v string, w long, ver long")
+    got = rows.upsert(old, new, ["k"], F.col("ver")).collect()
+    assert sorted((r.k, r.v, r.w) for r in got) == [(1, "a", None), (2, "c", 7), (3, "d", 8)]
