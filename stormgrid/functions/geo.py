@@ -181,6 +181,30 @@ def in_part(ring: Column, holes: Column, x, y) -> Column:
     return in_polygon(ring, x, y) & ~F.exists(holes, lambda h: in_polygon(h, x, y, strict=False))
 
 
+def part_meets_box(ring: Column, holes: Column, box: tuple[float, float, float, float]) -> Column:
+    """A polygon part, of any shape, shares a point with a closed envelope.
+
+    Either one of its edges does (the edge's parameter interval inside the envelope is not empty), or it holds the
+    envelope's corner and no hole does.
+    """
+    x0, y0, x1, y1 = map(float, box)
+
+    def inside(start, step, low, high):
+        """Interval of t in [0, 1] with low <= start + t * step <= high; (2, -1) if there is none."""
+        fits, flat = start.between(low, high), step == 0
+        a, b = (F.lit(low) - start) / F.nullif(step, F.lit(0.0)), (F.lit(high) - start) / F.nullif(step, F.lit(0.0))
+        return (F.when(flat, F.when(fits, 0.0).otherwise(2.0)).otherwise(F.least(a, b)),
+                F.when(flat, F.when(fits, 1.0).otherwise(-1.0)).otherwise(F.greatest(a, b)))
+
+    def meets(pts, i):
+        a, b = _at(pts, i), F.get(pts, i)
+        (tx0, tx1), (ty0, ty1) = inside(a["x"], b["x"] - a["x"], x0, x1), inside(a["y"], b["y"] - a["y"], y0, y1)
+        return F.greatest(tx0, ty0, F.lit(0.0)) <= F.least(tx1, ty1, F.lit(1.0))
+
+    edge = lambda pts: F.exists(_edges(pts), lambda i: meets(pts, i))
+    return edge(ring) | F.exists(holes, edge) | in_part(ring, holes, F.lit(x0), F.lit(y0))
+
+
 def convex_meet(ring: Column, other: list[tuple[float, float]]) -> Column:
     """Two convex counter-clockwise rings share a point (separating axis test); ``other`` is closed."""
     lit = literal_ring(other)

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 # broadcast has at most MAX_HOT keys and a key outside that list holds under 1/MAX_HOT of all rows.
 HOT_ROWS = 200_000
 MAX_HOT = 1_000
+# Rows of rules that may be broadcast in all.
+MAX_RULES = 500_000
 SPREAD = 4_096
 
 
-def hottest(sizes: DataFrame, keys: list[str], size: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """At most MAX_HOT rows of ``sizes`` (unique per key): the keys above ``hot_rows``."""
-    return sizes.where(F.col(size) > hot_rows).orderBy(F.col(size).desc(), *keys).limit(MAX_HOT)
+def hottest(sizes: DataFrame, keys: list[str], size: str, hot_rows: int = HOT_ROWS, most: int = MAX_HOT) -> DataFrame:
+    """At most ``most`` rows of ``sizes`` (unique per key): the keys above ``hot_rows``."""
+    return sizes.where(F.col(size) > hot_rows).orderBy(F.col(size).desc(), *keys).limit(most)
 
 
 def lookup(big: DataFrame, small: DataFrame, keys: list[str], size: str, values: list[str],
@@ -44,13 +46,13 @@ def expand(big: DataFrame, rules: DataFrame, keys: list[str], size: str, per_key
     """Inner join ``big`` with ``rules``, which hold at most ``per_key`` rows per key.
 
     ``size`` in ``rules`` is the number of matching rows in ``big``. Rules of hot keys are broadcast
-    (at most MAX_HOT * per_key rows), the others meet ``big`` in a shuffle that hot rows never enter.
+    (as many keys as fit MAX_RULES rows at ``per_key`` each), the others meet ``big`` in a shuffle that hot rows never enter.
     ``hot_rows=None`` says the caller has checked that no key is hot.
     """
     if hot_rows is None:
         return big.join(rules, keys)
     sizes = rules.groupBy(*keys).agg(F.max(size).alias(size))
-    hot = hottest(sizes, keys, size, hot_rows).select(*keys)
+    hot = hottest(sizes, keys, size, hot_rows, min(MAX_HOT, MAX_RULES // per_key)).select(*keys)
     hot_rules = rules.join(F.broadcast(hot), keys, "left_semi")
     cold_rules = rules.join(F.broadcast(hot), keys, "left_anti")
     return big.join(F.broadcast(hot_rules), keys).unionByName(

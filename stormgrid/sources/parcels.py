@@ -21,13 +21,17 @@ COUNTY, SOURCE = "Jefferson", "jefferson_arcgis"
 
 def read_parcel_pages(spark: SparkSession, path: str, box: str | None = None) -> DataFrame:
     """Landed GeoJSON pages: one row per feature, attributes as a map, all ``parts`` with their holes, the first part's
-    outer ring, and the envelope of all parts. A feature without a polygon stays, unless ``box`` is given."""
+    outer ring, and the envelope of all parts. With ``box`` only features of which a part meets it, exactly."""
     feats = (spark.read.option("multiLine", True).schema(f"features array<{GEOMETRY_FEATURE}>").json(path)
              .select(F.explode("features").alias("f")))
     df = (feats.select(F.col("f.properties").alias("attributes"), polygon_parts(F.col("f.geometry")).alias("parts"))
           .withColumn("ring", F.get("parts", F.lit(0))["ring"])
           .withColumns(geo.bounds(F.flatten("parts.ring"))))
-    return df.where(geo.boxes_meet("xmin", "ymin", "xmax", "ymax", geo.parse_box(box))) if box else df
+    if not box:
+        return df
+    edges = geo.parse_box(box)
+    near = df.where(geo.boxes_meet("xmin", "ymin", "xmax", "ymax", edges))
+    return near.where(F.exists("parts", lambda p: geo.part_meets_box(p["ring"], p["holes"], edges)))
 
 
 def attributes_to_columns(df: DataFrame, names=PARCEL_ID + OWNER + MAILING + ASSESSED) -> DataFrame:

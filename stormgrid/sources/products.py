@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import geo
+from ..operators.rows import pick_per_key
 
 # Product names by geometry
 POINT_PRODUCTS = ("nx3tvs", "nx3meso", "nx3hail", "nx3structure")
@@ -18,11 +19,12 @@ RELEASE = r"StormEvents_details-ftp_v1\.0_d(\d{4})_c(\d{8})\.csv\.gz$"
 
 def read_product(spark: SparkSession, root: str, product: str, *, states: list[str] | None = None,
                  start: str | None = None, end: str | None = None, box: str | None = None,
-                 fmt: str = "parquet", span_days: int = 45) -> DataFrame:
+                 fmt: str = "parquet", span_days: int = 45, overlaps: bool = True) -> DataFrame:
     """Product rows from ``root/dataset=../state=../chunk_start=..``.
 
     Dataset, state and chunk prune directories, from both ends: no chunk is longer than ``span_days``; time and
-    box reach the file scan. One table serves all
+    box reach the file scan. ``overlaps=False`` says that windows do not overlap, as in a table that only
+    ``land_product`` with one span has written: the read then needs no shuffle. One table serves all
     states and windows, and overlapping windows are reduced to one row per id and state.
     """
     if product not in POINT_PRODUCTS + POLYGON_PRODUCTS:
@@ -44,7 +46,9 @@ def read_product(spark: SparkSession, root: str, product: str, *, states: list[s
             df = df.where(geo.boxes_meet(edges["xmin"], edges["ymin"], edges["xmax"], edges["ymax"], b))
         else:
             df = df.where(geo.in_box("lon", "lat", *b))
-    return df.dropDuplicates(["state", "id"])
+    if not overlaps:
+        return df
+    return pick_per_key(df, [F.col("state"), F.col("id")], F.struct("chunk_start", "valid"), last=True)
 
 
 def read_storm_details(spark: SparkSession, path) -> DataFrame:

@@ -61,7 +61,7 @@ def keep_latest_status(events: DataFrame, path: str, checkpoint: str) -> Streami
     the batch before, and repeating a batch after a crash changes nothing.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        new = jobs.latest_status(batch).drop("num_events")
+        new = jobs.latest_status(batch, tie="status").drop("num_events")
         old = _slots(batch.sparkSession, path)
         both = new if old is None else _newest(new.unionByName(old))
         tables.replace(tables.staged(both, "status"), f"{path}/slot{batch_id % 2}")
@@ -84,7 +84,7 @@ def _slots(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _newest(statuses: DataFrame) -> DataFrame:
-    return rows.latest_per(statuses, "job_id", F.col("received_at"))
+    return rows.latest_per(statuses, "job_id", F.struct("received_at", "status"))
 
 
 def overdue_stream(events: DataFrame, seconds: int = 300, delay: str = "1 minute", keep_seconds: int = 86_400) -> DataFrame:

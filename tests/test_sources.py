@@ -1,5 +1,6 @@
 import gzip
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -240,7 +241,11 @@ def test_multipolygons_and_holes(spark, tmp_path):
     parcels_ = parcels.read_parcel_pages(spark, str(tmp_path))
     assert {r.attributes["PARID"]: (len(r.parts), r.xmin, r.xmax) for r in parcels_.collect()} == {
         "0": (1, 0.0, 4.0), "1": (2, 10.0, 21.0), "2": (0, None, None)}
-    assert parcels.read_parcel_pages(spark, str(tmp_path), "19.5,-1,22,2").count() == 1
+    boxes = {"19.5,-1,22,2": "1", "1.5,1.5,2.5,2.5": None, "0.2,0.2,0.4,0.4": "0", "-9,-9,9,9": "0", "12,0,15,1": None,
+             "0.5,1.5,1.5,2.5": "0", "-1,3.9,0,5": "0"}     # the second lies in a hole, the fifth between two parts
+    for box, want in boxes.items():
+        got = [r.attributes["PARID"] for r in parcels.read_parcel_pages(spark, str(tmp_path), box).collect()]
+        assert got == ([want] if want else []), box
 
 
 def test_storms_numbered_per_state(spark):
@@ -253,3 +258,16 @@ def test_storms_numbered_per_state(spark):
     clusters = plan.address_clusters(labelled, ("cluster_id", "state")).collect()
     assert sorted((r.hail_cluster_id, r.hail_state, r.addr_cluster_id, r.num_addresses) for r in clusters) == [
         (0, "GA", 0, 10), (0, "KY", 0, 10)]
+
+
+def test_chunks_prune_from_both_ends(spark, tmp_path):
+    root = str(tmp_path / "p")
+    spark.createDataFrame([(1, "nx3hail", "GA", "2024-01-01"), (2, "nx3hail", "GA", "2024-06-01")],
+                          "id long, dataset string, state string, chunk_start string").selectExpr(
+        "id", "cast(chunk_start as timestamp_ntz) as valid", "1 as sevprob", "1D as maxsize", "0D as lon", "0D as lat", "dataset",
+        "state", "cast(chunk_start as date) as chunk_start").write.partitionBy("dataset", "state", "chunk_start").parquet(root)
+    got = products.read_product(spark, root, "nx3hail", start="2024-05-20", end="2024-07-01", overlaps=False)
+    plan_ = got._jdf.queryExecution().toString()
+    assert [r.id for r in got.collect()] == [2]
+    assert re.search(r"PartitionFilters: \[[^\]]*\(chunk_start#\d+ > ", plan_)
+    assert "Exchange" not in plan_
