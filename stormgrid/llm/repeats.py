@@ -26,7 +26,7 @@ from .common import row_key, row_ranges
 LENGTH = 400
 GRAM = 128
 _PIECE = 1 << 20            # bytes of text hashed at a time
-_SHARD = 1 << 20            # bytes of slices transformed at a time
+_SHARD = 1 << 17            # bytes of slices transformed at a time, so that the sorts stay in the cache
 _PLACE_BITS = 24           # low bits of an anchor's value, for its place in a piece
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -99,7 +99,7 @@ def text_anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
 # the transform ------------------------------------------------------------------------------------------------
 
 def suffix_order(text: np.ndarray, length: int) -> np.ndarray:
-    """Suffixes by their first ``length`` symbols at least, of equals by place. Only what is still tied is sorted again.
+    """Suffixes by their first ``length`` symbols at least. Only what is still tied is sorted again.
 
     ``text`` has symbols 0 .. 256, 0 for the ends of slices.
     """
@@ -108,7 +108,7 @@ def suffix_order(text: np.ndarray, length: int) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for k in range(7):
         key = (key << 9) | padded[k:k + n]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     head = np.r_[True, key[order[1:]] != key[order[:-1]]]
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
@@ -119,7 +119,7 @@ def suffix_order(text: np.ndarray, length: int) -> np.ndarray:
         who = order[tied]
         group = rank[who]
         key = group * (n + 1) + rank[np.minimum(who + have, n)] + 1
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         order[tied], key, group = who[by], key[by], group[by]
         head = np.r_[True, key[1:] != key[:-1]]
         new = tied[np.flatnonzero(head)[np.cumsum(head) - 1]]
@@ -277,7 +277,8 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tu
     """``docs(key, doc_id, text binary)`` -> those that share an anchor, and ``(key, runs)`` of the bytes to remove."""
     found = staged(docs.where(F.length("text") >= length).select("key", "text").mapInArrow(
         _anchor_rows(length, gram), "key bigint, pos int, h bigint"), "repeats-anchors")
-    twice = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # written, so that the join has two exchanges of its own and its hot anchors can be split
+    twice = staged(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeats-twice")
     hits = found.join(twice, "h").groupBy("key").agg(F.collect_set(F.struct("pos", "h")).alias("places"))
     texts = staged(docs.join(hits, "key"), "repeats-texts")
     occ = staged(texts.select("key", "text", "places").mapInArrow(
