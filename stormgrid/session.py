@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +64,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A staged copy for the time of one rewrite: removed when the block ends well, left in place when it fails."""
+    copy = staged(df, name)
+    path = os.path.dirname(copy.inputFiles()[0]) if copy.inputFiles() else None
+    yield copy
+    if path:
+        where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for costly per-row work on a scan with few splits (one row group, gzip text).
 

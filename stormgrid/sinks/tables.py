@@ -2,7 +2,7 @@
 
 Rewrites are computed into a staged copy in the shared checkpoint folder first. Nothing reads the files it
 is overwriting, a job that fails while computing leaves the old rows in place, and if the closing plain
-copy is cut off the staged rows are still there to copy again.
+copy is cut off the staged rows are still there to copy again; once it is done they are removed.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql.utils import AnalysisException
 from .. import schemas
 from ..functions.timing import in_chunks
 from ..operators import rows
-from ..session import staged
+from ..session import staging
 from ..streaming.jobs import is_terminal
 
 
@@ -47,11 +47,11 @@ def publish(df: DataFrame, path: str, part: list[str] | None = None) -> DataFram
     spark = df.sparkSession
     old = existing(spark, path)
     schema = df.schema if old is None else rows.evolve(old, df)
-    stage = staged(rows.align(df, schema), "publish")
-    if part:
-        stage.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*part).parquet(path)
-    else:
-        replace(stage, path)
+    with staging(rows.align(df, schema), "publish") as stage:
+        if part:
+            stage.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*part).parquet(path)
+        else:
+            replace(stage, path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -84,11 +84,11 @@ def upsert_into(path: str, updates: DataFrame, keys: list[str], version: Column,
         return
     if part:
         old = old.join(updates.select(part).distinct(), part, "left_semi")
-    merged = staged(rows.upsert(old, updates, keys, version, now), "upsert")
-    if part:
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
-    else:
-        replace(merged, path)
+    with staging(rows.upsert(old, updates, keys, version, now), "upsert") as merged:
+        if part:
+            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+        else:
+            replace(merged, path)
 
 
 def insert_absent(path: str, new: DataFrame, keys: list[str], order: Column) -> int:
@@ -96,7 +96,8 @@ def insert_absent(path: str, new: DataFrame, keys: list[str], order: Column) ->
     old = existing(new.sparkSession, path)
     if old is None:
         return append_counted(rows.pick_per_key(new, [F.col(k) for k in keys], order), path)
-    return append_counted(staged(rows.absent_rows(old, new, keys, order), "absent"), path)
+    with staging(rows.absent_rows(old, new, keys, order), "absent") as fresh:
+        return append_counted(fresh, path)
 
 
 def update_runs(path: str, updates: DataFrame, now: Column) -> None:
@@ -104,7 +105,8 @@ def update_runs(path: str, updates: DataFrame, now: Column) -> None:
     runs = updates.sparkSession.read.parquet(path)
     out = rows.coalesce_update(runs, updates, "run_id", ["batch_job_id", "webhook_url", "api_base"],
                                {"submitted_at": now}, cleared=("last_error",))
-    replace(staged(out, "runs"), path)
+    with staging(out, "runs") as stage:
+        replace(stage, path)
 
 
 def log_step(spark: SparkSession, path: str, ts: str, state: str, step: str, status: str, note: str = "") -> None:

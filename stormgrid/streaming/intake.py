@@ -13,6 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.binding import let
 from ..operators import rows
+from ..session import staging
 from ..sinks import tables
 from ..sources import addresses
 from . import jobs
@@ -64,7 +65,8 @@ def keep_latest_status(events: DataFrame, path: str, checkpoint: str) -> Streami
         new = jobs.latest_status(batch, tie="status").drop("num_events")
         old = _slots(batch.sparkSession, path)
         both = new if old is None else _newest(new.unionByName(old))
-        tables.replace(tables.staged(both, "status"), f"{path}/slot{batch_id % 2}")
+        with staging(both, "status") as stage:
+            tables.replace(stage, f"{path}/slot{batch_id % 2}")
 
     return (events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

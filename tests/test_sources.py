@@ -266,6 +266,7 @@ def test_chunks_prune_from_both_ends(spark, tmp_path):
                           "id long, dataset string, state string, chunk_start string").selectExpr(
         "id", "cast(chunk_start as timestamp_ntz) as valid", "1 as sevprob", "1D as maxsize", "0D as lon", "0D as lat", "dataset",
         "state", "cast(chunk_start as date) as chunk_start").write.partitionBy("dataset", "state", "chunk_start").parquet(root)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     got = products.read_product(spark, root, "nx3hail", start="2024-05-20", end="2024-07-01", overlaps=False)
     plan_ = got._jdf.queryExecution().toString()
     assert [r.id for r in got.collect()] == [2]
