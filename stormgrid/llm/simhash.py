@@ -200,4 +200,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Rows of ``docs`` whose ``doc_id`` is the smallest of their component; all rows with a null id stay."""
     drop = near_duplicates(docs, radius=radius).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti")
+    return docs.join(staged(drop, "simhash-drop"), "doc_id", "left_anti")
