@@ -297,6 +297,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Rows of ``docs(doc_id, text, ..)`` that share no window with an item."""
-    dirty = contamination(docs, items).where("n_hit > 0").select(F.col("key").alias("_key")).distinct()
+    dirty = staged(contamination(docs, items).where("n_hit > 0").select(F.col("key").alias("_key")).distinct(),
+                   "winnow-dirty")
     return docs.select(F.struct("*").alias("_row"), row_key("doc_id", "text").alias("_key")).join(
         dirty, "_key", "left_anti").select("_row.*")
