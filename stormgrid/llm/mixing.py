@@ -123,7 +123,8 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHA
         F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     sources = durable(sources)
     cut = cuts(_with_copies(rows, sources, most)).withColumnRenamed("source", "_s")
-    return durable(sources.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"))
+    # written, so that the planner knows how small it is and need not deal documents by their source
+    return staged(sources.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "mix-plan")
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
