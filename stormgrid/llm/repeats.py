@@ -2,8 +2,8 @@
 
 Which texts can share a string of ``LENGTH`` bytes is settled by anchors: of every window of ``LENGTH`` bytes the
 ``GRAM``-byte string with the smallest hash. Equal windows have equal anchors at equal places, so a string that occurs
-twice lies in the surroundings (slices) of two occurrences of one anchor. Anchors that occur once are dropped; equal
-slices of an anchor merge into one with a count; the slices of an anchor meet in one task.
+twice lies in the slices (all windows that have the anchor) of two occurrences of one anchor. Anchors that occur once
+are dropped; equal slices of an anchor merge into one with a count; the slices of an anchor meet in one task.
 
 There the slices are laid end to end and the threshold-bounded interval expansion runs on the transform of that text:
 from the boundaries between intervals of suffixes that differ in their first ``l`` bytes, one step of backward extension
@@ -58,9 +58,10 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Places of the anchors of all windows inside the texts that end at ``ends``, and their hashes."""
+    """Places of the anchors of all windows inside the texts that end at ``ends``, the first and the last window that
+    has each, and their hashes. The windows of an anchor are consecutive."""
     if len(data) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return (*[np.zeros(0, np.int64)] * 3, np.zeros(0, np.uint64))
     hashes = gram_hashes(data, gram)
     mask = np.uint64((1 << _PLACE_BITS) - 1)
     # the smallest hash, of equals the rightmost: the place counts down in the low bits
@@ -72,28 +73,31 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
         have += step
     starts = np.arange(len(best))
     inside = starts + length <= ends[np.searchsorted(ends, starts, "right")]
-    at = (mask - (best & mask)).astype(np.int64)[inside]
-    at = at[np.r_[True, at[1:] != at[:-1]]] if len(at) else at
-    return at, hashes[at]
+    at, starts = (mask - (best & mask)).astype(np.int64)[inside], starts[inside]
+    turn = np.flatnonzero(at[1:] != at[:-1]) + 1
+    first, last = (np.r_[0, turn], np.r_[turn, len(at)] - 1) if len(at) else (turn, turn)
+    return at[first], starts[first], starts[last], hashes[at[first]]
 
 
 def text_anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
-    """``(text, place in it, hash)`` of the anchors of some texts; a long text goes piece by piece."""
+    """``(text, place in it, first window, last window, hash)`` of the anchors of some texts; a long text goes piece
+    by piece, and an anchor with windows in two pieces is put together."""
     out = []
     if len(texts) == 1 and len(texts[0]) > 2 * _PIECE:
         data = np.frombuffer(texts[0], np.uint8)
         for lo in range(0, len(data) - length + 1, _PIECE):
             part = data[lo:lo + _PIECE + length - 1]
-            at, h = anchors(part, np.array([len(part)]), length, gram)
-            out.append((np.zeros(len(at), np.int64), at + lo, h))
-        of, at, h = (np.concatenate(x) for x in zip(*out))
-        keep = np.unique(at, return_index=True)[1]
-        return of[keep], at[keep], h[keep]
+            at, first, last, h = anchors(part, np.array([len(part)]), length, gram)
+            out.append((at + lo, first + lo, last + lo, h))
+        at, first, last, h = (np.concatenate(x) for x in zip(*out))
+        head = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        return np.zeros(len(head), np.int64), at[head], first[head], last[np.r_[head[1:], len(at)] - 1], h[head]
     size = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(size)
-    at, h = anchors(np.frombuffer(b"".join(texts), np.uint8), ends, length, gram)
+    at, first, last, h = anchors(np.frombuffer(b"".join(texts), np.uint8), ends, length, gram)
     of = np.searchsorted(ends, at, "right")
-    return of, at - (ends - size)[of], h
+    begin = (ends - size)[of]
+    return of, at - begin, first - begin, last - begin, h
 
 
 # the transform ------------------------------------------------------------------------------------------------
@@ -114,18 +118,20 @@ def suffix_order(text: np.ndarray, length: int) -> np.ndarray:
     rank[n] = -1
     rank[order] = np.flatnonzero(head)[np.cumsum(head) - 1]
     tied = np.flatnonzero(~(head & np.r_[head[1:], True]))      # places of order inside groups of equals
-    have = 7
+    have, bits = 7, (n + 1).bit_length()
+    steps = 2 if 3 * bits < 63 else 1           # as many ranks as fit a key beside the group
     while have < length and len(tied):
         who = order[tied]
-        group = rank[who]
-        key = group * (n + 1) + rank[np.minimum(who + have, n)] + 1
+        key = group = rank[who]
+        for k in range(1, steps + 1):
+            key = (key << bits) | (rank[np.minimum(who + k * have, n)] + 1)
         by = np.argsort(key)
-        order[tied], key, group = who[by], key[by], group[by]
+        order[tied], key = who[by], key[by]
         head = np.r_[True, key[1:] != key[:-1]]
         new = tied[np.flatnonzero(head)[np.cumsum(head) - 1]]
         rank[order[tied]] = new
         tied = tied[~(head & np.r_[head[1:], True])]
-        have *= 2
+        have *= steps + 1
     return order
 
 
@@ -168,28 +174,19 @@ def unreached(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     return ~reached
 
 
-def repeated_starts(slices: list[bytes], counts: np.ndarray, anchor: np.ndarray, ahead: np.ndarray,
-                    length: int = LENGTH) -> list[np.ndarray]:
-    """For each slice the places from which on ``length`` bytes stand that occur again: at the same distance from the
-    same anchor, which is ``ahead`` in the slice, in another slice; or in a slice found ``counts`` times. (Slices of
-    two anchors, or of one anchor that occurs twice in a few bytes, may overlap in one document.)"""
+def repeated_starts(slices: list[bytes], counts: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
+    """For each slice the places from which on ``length`` bytes stand that occur again: elsewhere in ``slices``, or
+    because the slice was found ``counts`` times. (A window of a document is in one slice only.)"""
     size = np.array([len(s) + 1 for s in slices], np.int64)
     ends = np.cumsum(size)
     text = np.frombuffer(b"\0".join([*slices, b""]), np.uint8).astype(np.int16) + np.int16(1)
     text[ends - 1] = 0
     order = suffix_order(text, length)
     shared = unreached(text, order, length)
-    near = np.flatnonzero(shared | np.r_[shared[1:], False])    # with the suffix before, or the one after
-    at, equal = order[near], np.cumsum(~shared)[near]
+    at = np.sort(order[shared | np.r_[shared[1:], False]])      # with the suffix before, or the one after
     of = np.searchsorted(ends, at, "right")
     whole = at + length < ends[of]              # the window ends before the slice does
-    at, of, equal = at[whole], of[whole], equal[whole]
-    distance = at - (ends - size)[of] - ahead[of]
-    key = (equal * len(slices) + np.unique(anchor, return_inverse=True)[1][of]) * (2 * length + 1) + distance + length
-    _, group, n = np.unique(key, return_inverse=True, return_counts=True)
-    twice = n[group] > 1
-    by = np.argsort(at[twice])
-    at, of = at[twice][by], of[twice][by]
+    at, of = at[whole], of[whole]
     each = np.arange(len(slices))
     found = zip(slices, counts, np.searchsorted(of, each), np.searchsorted(of, each, "right"), ends - size)
     return [np.arange(len(s) - length + 1) if c > 1 else at[a:b] - begin for s, c, a, b, begin in found]
@@ -206,33 +203,31 @@ def _anchor_rows(length: int, gram: int):
         for batch in batches:
             keys = batch.column(0)
             for lo, hi in row_ranges(batch.column(1), _PIECE):
-                of, at, h = text_anchors(_bytes(batch.column(1)[lo:hi]), length, gram)
+                of, *places, h = text_anchors(_bytes(batch.column(1)[lo:hi]), length, gram)
                 yield pa.RecordBatch.from_arrays(
-                    [keys[lo:hi].take(pa.array(of)), pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))],
-                    ["key", "pos", "h"])
+                    [keys[lo:hi].take(pa.array(of)), *(pa.array(x.astype(np.int32)) for x in places),
+                     pa.array(h.view(np.int64))], ["key", "pos", "first", "last", "h"])
     return rows
 
 
-def _slice_rows(length: int, gram: int):
-    """Occurrences of repeated anchors; a slice travels with its first occurrence in the task."""
+def _slice_rows(length: int):
+    """Occurrences of repeated anchors, each with the slice of the windows that have it; a slice travels with its first occurrence in the task."""
     def rows(batches):
         seen: set[bytes] = set()
         for batch in batches:
             keys, texts, places = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
             for i, key in enumerate(keys):
                 text, out = texts[i].as_py() or b"", []
-                for pos, h in ((p["pos"], p["h"]) for p in places[i].as_py()):
-                    lo = max(0, pos - (length - gram))
-                    part = text[lo:pos + length]
-                    place = (h & (1 << 64) - 1).to_bytes(8, "little") + (pos - lo).to_bytes(4, "little")
-                    sha = hashlib.blake2b(part, digest_size=16, salt=place).digest()
-                    out.append((h, sha, key, lo, pos - lo, None if sha in seen else part))
+                for p in places[i].as_py():
+                    part, h = text[p["first"]:p["last"] + length], p["h"]
+                    sha = hashlib.blake2b(part, digest_size=16).digest()
+                    out.append((h, sha, key, p["first"], None if sha in seen else part))
                     seen.add(sha)
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.int64(), pa.int32(),
-                                                                    pa.int32(), pa.binary()))],
-                        ["h", "slice_id", "key", "at", "ahead", "slice"])
+                                                                    pa.binary()))],
+                        ["h", "slice_id", "key", "at", "slice"])
     return rows
 
 
@@ -249,45 +244,67 @@ def _runs(starts: np.ndarray, length: int) -> list[dict]:
 def _repeated_rows(length: int):
     """Distinct slices in the order of their anchors -> the runs of each that occur again."""
     def solve(held):
-        ids, counts, slices, anchor, ahead = zip(*held)
-        starts = repeated_starts(list(slices), np.array(counts), np.array(anchor), np.array(ahead), length)
+        ids, counts, slices = zip(*held)
+        starts = repeated_starts(list(slices), np.array(counts), length)
         keep = [i for i, x in enumerate(starts) if len(x)]
         return pa.RecordBatch.from_arrays(
             [pa.array([ids[i] for i in keep], pa.binary()), pa.array([_runs(starts[i], length) for i in keep],
                                                                       pa.list_(_RUN))], ["slice_id", "runs"])
 
-    def rows(batches):
-        held, size, last, last_h = [], 0, None, None
+    def whole(held):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([sid for sid, _, _ in held], pa.binary()),
+             pa.array([[dict(lo=0, hi=len(part))] for _, _, part in held], pa.list_(_RUN))], ["slice_id", "runs"])
+
+    def anchors_of(batches):
+        """The distinct slices of one anchor after the other."""
+        group, at = [], None
         for batch in batches:
-            for h, sid, n, part, ahead in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if sid == last:             # the same slice from another task
-                    continue
-                if size > _SHARD and h != last_h:
-                    yield solve(held)
-                    held, size = [], 0
-                held.append((sid, n, part, h, ahead))
-                size += len(part)
-                last, last_h = sid, h
+            for h, sid, n, part in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if group and h != at:
+                    yield group
+                    group = []
+                if not group or sid != group[-1][0]:        # else the same slice from another task
+                    group.append((sid, n, part))
+                at = h
+        if group:
+            yield group
+
+    def rows(batches):
+        held, size, alone = [], 0, []
+        for group in anchors_of(batches):
+            if len(group) == 1:     # found twice or more, and nothing else to compare it with
+                alone.append(group[0])
+                if len(alone) > 1000:
+                    yield whole(alone)
+                    alone = []
+                continue
+            held += group
+            size += sum(len(part) for _, _, part in group)
+            if size > _SHARD:
+                yield solve(held)
+                held, size = [], 0
         if held:
             yield solve(held)
+        if alone:
+            yield whole(alone)
     return rows
 
 
 def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """``docs(key, doc_id, text binary)`` -> those that share an anchor, and ``(key, runs)`` of the bytes to remove."""
     found = staged(docs.where(F.length("text") >= length).select("key", "text").mapInArrow(
-        _anchor_rows(length, gram), "key bigint, pos int, h bigint"), "repeats-anchors")
+        _anchor_rows(length, gram), "key bigint, pos int, first int, last int, h bigint"), "repeats-anchors")
     # written, so that the join has two exchanges of its own and its hot anchors can be split
     twice = staged(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeats-twice")
-    hits = found.join(twice, "h").groupBy("key").agg(F.collect_set(F.struct("pos", "h")).alias("places"))
+    hits = found.join(twice, "h").groupBy("key").agg(F.collect_set(F.struct("pos", "first", "last", "h")).alias("places"))
     texts = staged(docs.join(hits, "key"), "repeats-texts")
     occ = staged(texts.select("key", "text", "places").mapInArrow(
-        _slice_rows(length, gram), "h bigint, slice_id binary, key bigint, at int, ahead int, slice binary"), "repeats-slices")
+        _slice_rows(length), "h bigint, slice_id binary, key bigint, at int, slice binary"), "repeats-slices")
     counts = occ.groupBy("h", "slice_id").agg(F.count("*").alias("n"))
     # anchors whose only slice occurred once were equal by their gram alone
-    slices = occ.where(F.col("slice").isNotNull()).select("h", "slice_id", "ahead", "slice").join(
-        counts, ["h", "slice_id"])
-    dealt = slices.select("h", "slice_id", "n", "slice", "ahead").repartition("h").sortWithinPartitions("h", "slice_id")
+    slices = occ.where(F.col("slice").isNotNull()).select("h", "slice_id", "slice").join(counts, ["h", "slice_id"])
+    dealt = slices.select("h", "slice_id", "n", "slice").repartition("h").sortWithinPartitions("h", "slice_id")
     again = dealt.mapInArrow(_repeated_rows(length), "slice_id binary, runs array<struct<lo: int, hi: int>>")
     placed = occ.select("slice_id", "key", "at").join(again, "slice_id")
     moved = F.transform("runs", lambda r: F.struct((r["lo"] + F.col("at")).alias("lo"), (r["hi"] + F.col("at")).alias("hi")))

@@ -188,7 +188,9 @@ def test_equal_windows_share_an_anchor():
     rng = random.Random(2)
     texts = [bytes(rng.choices(b"ab", k=rng.randint(0, 300))) for _ in range(8)]
     texts += [texts[0][20:150], b"a" * 130, b"ab" * 80]
-    of, at, h = repeats.text_anchors(texts, 40, 12)
+    of, at, first, last, h = repeats.text_anchors(texts, 40, 12)
+    assert Counter((o, i) for o, a, b in zip(of.tolist(), first.tolist(), last.tolist()) for i in range(a, b + 1)) == Counter(
+        (o, i) for o, t in enumerate(texts) for i in range(len(t) - 39))         # every window has one anchor
     known = dict(zip(zip(of.tolist(), at.tolist()), h.tolist()))
     places: dict = {}
     for i, t in enumerate(texts):
@@ -215,10 +217,10 @@ def test_repeats_by_brute_force(spark):
 
 def test_long_text_goes_by_pieces():
     data = bytes(random.Random(1).choices(range(256), k=300_000)) * 8
-    of, at, h = repeats.text_anchors([data])
+    pieces = repeats.text_anchors([data])
     assert len(data) > 2 * repeats._PIECE
     whole = repeats.anchors(np.frombuffer(data, np.uint8), np.array([len(data)]))
-    assert at.tolist() == whole[0].tolist() and h.tolist() == whole[1].tolist()
+    assert [x.tolist() for x in pieces[1:]] == [x.tolist() for x in whole]
 
 
 def test_outliers(spark):
