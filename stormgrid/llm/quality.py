@@ -20,13 +20,17 @@ from ..session import durable, staged
 from .common import row_ranges
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: A transformed count is not trusted to be narrower than this: groups in which nearly all documents have no
-#: symbol or no repeated line would otherwise reject the first one that has.
-FLOORS = (0.25, 0.08, 0.08, 0.08, 0.12)
+LEAST_WORDS = 50        # fewer fail the base rules
+#: Counting noise of each feature in the shortest document that is judged: a count of n words has a relative error of
+#: ``n ** -0.5``, a mean over them half of that (words spread by about half their length), the root of a rate over n
+#: words, or five characters a word, ``n ** -0.5 / 2`` at any rate, and a repeated window counts three words at a time.
+#: No direction is taken to be narrower: groups in which nearly all documents have no symbol or no repeated line
+#: would reject the first with one.
+FLOORS = tuple(c / LEAST_WORDS ** 0.5 for c in (1, 0.5, 0.5 / 5 ** 0.5, 0.5, 0.5 * 3 ** 0.5))
 SUPPORT = 0.75          # share of a group that the estimate rests on
 STEPS = 6               # concentration steps
 MIN_GROUP = 200         # smaller groups are judged by the estimate of their language
-QUANTILE = 1 - 1e-9    # of the chi-square distribution of squared distances
+QUANTILE = 0.999        # of the chi-square distribution of squared distances
 _P = len(FLOORS)
 _CROSS = [(i, j) for i in range(_P) for j in range(i, _P)]
 
@@ -71,7 +75,7 @@ def counted(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("d
 
 
 def base_failed() -> Column:
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
 def _features() -> list[Column]:
@@ -112,7 +116,10 @@ _PARAMS = "grp string, n bigint, " + ", ".join(f"m{i} double" for i in range(_P)
 
 
 def _parameters(grp: str, n: int, mean: np.ndarray, cov: np.ndarray) -> pd.DataFrame:
-    inverse = np.linalg.inv(cov + np.diag(np.square(FLOORS)))
+    """In units of the floors a variance below 1, in whatever direction, is taken as 1; wider ones stay as they are."""
+    unit = np.outer(FLOORS, FLOORS)
+    spread, axes = np.linalg.eigh(cov / unit)
+    inverse = (axes / np.maximum(spread, 1.0)) @ axes.T / unit
     return pd.DataFrame([[grp, n, *mean, *(inverse[i, j] for i, j in _CROSS)]],
                         columns=[x.split()[0] for x in _PARAMS.split(", ")])
 

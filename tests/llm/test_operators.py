@@ -234,6 +234,32 @@ def test_outliers(spark):
     assert all(r.kept and r.d2 is None for r in few)
 
 
+def test_moderate_outliers_in_each_feature(spark):
+    """A group without symbols, repeated lines or repeated windows rejects what is plainly apart in any one feature."""
+    rng = random.Random(16)
+    vocab = [f"{c}{i:05d}" for i in range(4000) for c in "ab"]
+    words = lambda n: rng.sample(vocab, n)                                                          # noqa: E731
+    texts = [" ".join(words(round(200 * 2 ** rng.uniform(-0.5, 0.5)))) for _ in range(300)]
+    slight = [" ".join(words(200)) + " ###", " ".join(words(200)) + "\na b\na b", " ".join([*(w := words(200)), *w[:3]])]
+    lines = [f"{a}\n{a}" for a in words(25)]
+    apart = [" ".join(words(4000)), " ".join(w * 2 for w in words(200)),
+             " ".join(w + "#" * (i % 2) for i, w in enumerate(words(200))),
+             "\n".join([*lines, *words(150)]), " ".join([*(w := words(160)), *w[:40]])]
+    got = {r.doc_id: r for r in quality.judged(docs_of(spark, texts + slight + apart)).collect()}
+    assert all(got[i].kept for i in range(303))
+    assert not any(got[i].base_failed for i in range(308))
+    for i, feature in enumerate(("words", "word length", "symbols", "lines", "windows")):
+        assert not got[303 + i].kept, (feature, got[303 + i])
+
+
+def test_floor_is_no_addition():
+    wide = np.diag(np.square([2 * f for f in quality.FLOORS]))
+    row = quality._parameters("g", 1, np.zeros(5), wide).iloc[0]
+    assert [row[f"v{i}{i}"] for i in range(5)] == pytest.approx([1 / wide[i, i] for i in range(5)])
+    flat = quality._parameters("g", 1, np.zeros(5), np.zeros((5, 5))).iloc[0]
+    assert [flat[f"v{i}{i}"] for i in range(5)] == pytest.approx([f ** -2 for f in quality.FLOORS])
+
+
 def test_chi_square():
     assert quality.chi2_quantile(0.95, 5) == pytest.approx(11.0705, abs=1e-3)
     assert quality.chi2_quantile(0.5, 2) == pytest.approx(1.3863, abs=1e-3)
