@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stormgrid.llm import langid, lines, mixing, nearcopies, winnowing
+from stormgrid.llm import langid, lines, mixing, simhash, winnowing
 from stormgrid.llm.common import table
 from stormgrid.session import checkpoint_root
 
@@ -26,8 +26,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts linked by a Jaccard similarity of 0.8 (shingles of five words) the smallest id stays."""
-    return nearcopies.keep_one(docs)
+    """Of each group of texts whose fingerprints (shingles of three words) link at three bits or fewer one stays."""
+    return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
