@@ -31,3 +31,9 @@ def row_ranges(texts: pa.Array, limit: int = 1 << 20):
 def row_key(*cols: str) -> Column:
     """64-bit key of a row's id and text: rows equal in both are one document, a repeated id is not."""
     return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols])
+
+
+def row_keys(*cols: str) -> tuple[Column, Column]:
+    """Two independent hashes of a row's id and text, ``_k1`` and ``_k2``: 128 bits, so that no two documents meet by chance."""
+    whole = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols]
+    return F.xxhash64(*whole).alias("_k1"), F.xxhash64(F.lit("again"), *whole).alias("_k2")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import durable, staged
-from .common import row_ranges
+from .common import row_keys, row_ranges
 
 SHINGLE = 3
 RADIUS = 3
@@ -197,7 +197,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is the smallest of their component; all rows with a null id stay."""
-    drop = near_duplicates(docs, radius=radius).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(staged(drop, "simhash-drop"), "doc_id", "left_anti")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id, a null id only where there is no other.
+
+    Rows are told apart by id and text together, so an id that is used twice loses only the text that is a copy, and
+    of rows equal in both one stays. Null, empty and wordless texts share fingerprint 0 and are copies of each other.
+    A very long text costs its worker a few times its own size. An empty table gives an empty one; other
+    columns are carried along under any name.
+    """
+    k1, k2 = row_keys(id_col, text_col)
+    who = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), k1, k2)
+    found = near_duplicates(docs.select(who.alias("who"), F.col(text_col).alias("text")), "who", "text", radius)
+    marks = staged(found.groupBy(F.col("doc_id._k1").alias("_k1"), F.col("doc_id._k2").alias("_k2")).agg(
+        F.max(F.col("doc_id") != F.col("component_id")).alias("copy"), F.count("*").alias("n")).where("copy or n > 1"),
+        "simhash-marks")
+    rows = docs.select(F.struct("*").alias("row"), k1, k2)
+    single = rows.join(marks, ["_k1", "_k2"], "left_anti")
+    repeated = rows.join(marks.where("not copy"), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
+    return single.unionByName(repeated).select("row.*")

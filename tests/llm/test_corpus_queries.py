@@ -8,10 +8,10 @@ from collections import Counter, defaultdict
 import duckdb
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import TABLES, compare
+from stormgrid.llm import simhash, winnowing
 from stormgrid.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -179,10 +179,8 @@ def test_pipeline(spark, tmp_path):
         if len(out) < len(parts):
             expected[d] = "\n".join(x for i, x in enumerate(parts) if i not in out)
     assert {d: r.text for d, r in cut.items()} == expected and all(r.n_chars == len(r.text) for r in cut.values())
-    groups = QUERIES["op6_simhash_groups"]
-    from stormgrid.llm import simhash, winnowing
     same = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(list(cut.values()))).collect()}
-    assert set(single) == {d for d in cut if same[d] == d} and callable(groups)
+    assert set(single) == {d for d in cut if same[d] == d}
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     grams = set()
     for r in bench.collect():
@@ -196,4 +194,4 @@ def test_pipeline(spark, tmp_path):
     assert dirty and set(clean) == set(single) - dirty
     assert set(mixed) <= set(clean) and all(r.copies in (1, 2) for r in mixed.values())
     assert all(mixed[d].text == clean[d].text for d in mixed)
-    assert spark.range(1).select(F.lit(len(mixed))).first()[0] > 0
+    assert mixed
