@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from ..session import checkpoint_root
-from . import langid, licenses, lines, mixing, quality, repeats, secrets, simhash, warc, winnowing
+from . import katz, langid, licenses, lines, mixing, quality, repeats, runs, secrets, simhash, warc, whitening, winnowing
 from .common import table
 
 
@@ -144,6 +144,91 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *quality.COUNTS, "base_failed", "kept", F.round("d2", 3).alias("distance"))
 
 
+def op11_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tenth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
+    return katz.scored(table(spark, sf_dir, "documents"), tenth != 0)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Texts of every tenth checksum of an id go on periodically from a word and with a period that the checksum gives."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.expr(
+        r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")).alias("w")).withColumn("n", F.size("w"))
+    begin = words.where("n > 0").withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("g % n")).withColumn(
+        "p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    planted = begin.select("doc_id", F.array_join(F.expr(
+        "transform(sequence(0L, n - 1L), i -> w[int(if(i < a, i, a + (i - a) % p))])"), " ").alias("text"))
+    return words.where("not coalesce(n > 0, false)").select("doc_id", "text").unionByName(planted)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.expr("""aggregate(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>),
+        (b, r) -> if(b is null or r.length * b.period > b.length * r.period, r, b))""")
+    told = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(told, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def _op13_sql(levels: int = 20) -> str:
+    """Grams of 16, 32, 64 .. words by doubling dense ranks; a lag at which one stands again next is followed through its text.
+
+    ``levels`` is where the doubling ends: runs with a period above ``2 ** levels`` words are beyond this twin.
+    """
+    ranks = ["r0 as (select doc_id, i, dense_rank() over (order by word) r from words)"]
+    lags = []
+    for k in range(levels):
+        ranks.append(f"""x{k + 1} as (select doc_id, i, r, lead(r, {1 << k}) over (partition by doc_id order by i) r2 from full{k}),
+y{k + 1} as (select doc_id, i, dense_rank() over (order by r, r2) r from x{k + 1} where r is not null and r2 is not null),
+r{k + 1} as (select doc_id, i, r from y{k + 1} qualify count(*) over (partition by doc_id, r) > 1)""")
+        ranks.append(f"""full{k + 1} as (select doc_id, i, y.r from words left join r{k + 1} y using (doc_id, i)
+          where doc_id in (select doc_id from r{k + 1}))""")
+        if k + 1 >= 4:
+            least = 0 if k + 1 == 4 else 1 << k
+            lags.append(f"""select distinct doc_id, q from (select doc_id, lead(i) over (partition by doc_id, r order by i) - i q
+          from r{k + 1}) where q > {least} and q <= {2 << k}""")
+    ranks.insert(1, "full0 as (select doc_id, i, r from r0)")
+    return _OP13_SQL.replace("RANKS", ",\n".join(ranks)).replace("LAGS", " union all ".join(lags))
+
+
+_OP13_SQL = r"""
+with raw as (select doc_id, text, list_reduce(flatten(list_transform(string_split(doc_id::varchar, ''),
+                lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0])), lambda c, x: xor(xor(c, x) >> 1,
+                case when xor(c, x) & 1 = 1 then 3988292384 else 0 end), 4294967295::bigint) c from documents),
+h as (select doc_id, xor(c, 4294967295) h, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') w from raw),
+g as (select *, len(w) n, h // 10 g from h),
+planted as (select *, case when h % 10 = 0 and n > 0 then g % n end a from g),
+period as (select *, 1 + (n - a) // (3 + g % 8) p from planted),
+words as (select doc_id, i, case when i >= a then w[1 + a + (i - a) % p] else w[1 + i] end word
+          from period, unnest(range(n)) t(i)),
+RANKS,
+lags as (select distinct doc_id, q from (LAGS)),
+same as (select doc_id, q, a.i from lags join words a using (doc_id) join words b using (doc_id)
+         where b.i = a.i + q and a.word = b.word),
+parts as (select doc_id, q, i, i - row_number() over (partition by doc_id, q order by i) part from same),
+stretches as (select doc_id, q, min(i) as start, count(*) + q as length from parts group by doc_id, q, part),
+long as (select * from stretches where length >= greatest(24, 3 * q)),
+runs as (select * from long r where not exists (select 1 from long s where s.doc_id = r.doc_id and s.q < r.q
+         and s.start <= r.start and s.start + s.length >= r.start + r.length)),
+top as (select doc_id, start, length, q from runs
+        qualify row_number() over (partition by doc_id order by length::decimal(38, 18) / q desc, start, q) = 1),
+told as (select doc_id, count(*) n_runs, string_agg(concat(start, ',', length, ',', q, chr(10)), '' order by start, q) t
+         from runs group by doc_id),
+gone as (select distinct doc_id, i from runs, unnest(range(start + q, start + length)) t(i)),
+kept as (select doc_id, string_agg(word, ' ' order by i) t from words anti join gone using (doc_id, i) group by doc_id)
+select doc_id, coalesce(n_runs, 0)::bigint n_runs, start::bigint as start, length::bigint as length, q::bigint as period,
+       (1000 * length // q)::bigint exponent_milli, sha256(coalesce(told.t, '')) runs_sha256,
+       sha256(coalesce(kept.t, '')) collapsed_sha256
+from g left join top using (doc_id) left join told using (doc_id) left join kept using (doc_id)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_warc": op2_warc,
@@ -155,10 +240,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_repeats": op9_repeats,
     "op10_quality": op10_quality,
+    "op11_katz": op11_katz,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op5_licenses": _op5_sql(), "op7_line_dedup": OP7_SQL}
+SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op5_licenses": _op5_sql(), "op7_line_dedup": OP7_SQL,
+                       "op13_periodic_runs": _op13_sql()}
 
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
