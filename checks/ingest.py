@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stormgrid.functions import geo, text, timing
 from stormgrid.operators import rows
+from stormgrid.session import checkpoint_root
 from stormgrid.sources import addresses, parcels, products, vendor
+from stormgrid.streaming import intake
 
-from .inputs import ctes, fx, table
+from .inputs import ctes, fx, landed, table
 
 QUERIES, SQL = {}, {}
 
@@ -42,6 +48,71 @@ def normalize_addresses(spark, sf):
     return addresses.normalize_features(fx(spark, sf, "fx_features"), keep=("row_id",))
 
 
+_HEAD = '{"type":"FeatureCollection","note":"\\\\ \\"features\\": [{","features":[{"type":"Feature","properties":{"features":[{}]},"geometry":null}'
+
+
+def address_documents(spark, sf):
+    """Twenty documents of one layout in four: one line, one feature a line, pretty-printed with CRLF, lines of features. File 18
+    is cut off."""
+    body = fx(spark, sf, "fx_features").select((F.col("row_id") % 20).alias("file"), F.col("row_id").alias("ord"), "body")
+    layout = F.col("file") % 4
+    edges = spark.range(20).select(F.col("id").alias("file"), F.explode(F.array(F.lit(-1), F.lit((1 << 62)))).alias("ord")).where(
+        (layout != 3) & ((F.col("file") != 18) | (F.col("ord") < 0))).withColumn(
+        "line", F.when(F.col("ord") < 0, F.lit(_HEAD)).otherwise('],"bbox":[{"a":[1]}]}'))
+    pretty = F.regexp_replace(F.regexp_replace("body", ":", " :\n\t"), ",", "\r\n ,")
+    line = F.when(layout == 3, F.col("body")).when(layout == 2, F.concat(F.lit(","), pretty)).otherwise(F.concat(F.lit(","), "body"))
+    lines = body.select("file", "ord", line.alias("line")).unionByName(edges)
+    return [landed(spark, lines.where(layout == 0), " "), landed(spark, lines.where((layout == 1) | (layout == 3))),
+            landed(spark, lines.where(layout == 2), "\r\n")]
+
+
+def _file_number():
+    return F.regexp_extract("file_path", r"file=(\d+)/", 1).cast("int").alias("file_no")
+
+
+@query("address_files_loaded", f"""with {NORMAL} select cast(row_id % 20 as integer) as file_no, address, number, street, city, state, zip, lon, lat
+from normal where row_id % 20 <> 18""")
+def address_files_loaded(spark, sf):
+    found = addresses.read_addresses(spark, address_documents(spark, sf), "*")
+    return found.withColumn("file_no", _file_number()).drop("file_path")
+
+
+@query("import_log", f"""with {NORMAL}, held as (select row_id % 20 as f, count(*) as n from fx_features group by 1),
+got as (select row_id % 20 as f, count(*) as n from normal group by 1)
+select cast(f as integer) as file_no, case when f = 18 then 0 when f % 4 = 3 then held.n else held.n + 1 end as num_features,
+ case when f = 18 then 0 else coalesce(got.n, 0) end as num_rows from held left join got using (f)""")
+def import_log(spark, sf):
+    out = f"{checkpoint_root(spark).rstrip('/')}/derived/{uuid.uuid4().hex}"
+    for i, folder in enumerate(address_documents(spark, sf)):
+        intake.ingest_addresses(spark, folder, f"{out}/t", f"{out}/c{i}", f"{out}/log{i}", names="*").awaitTermination()
+    logs = reduce(DataFrame.unionByName, [spark.read.parquet(f"{out}/log{i}") for i in range(3)])
+    return logs.select(_file_number(), "num_features", "num_rows")
+
+
+_CORNER = ["(row_id % 50) * 100 as x", "(row_id % 37) * 50 as y"]
+
+
+@query("parcel_pages", f"""with {ctes('fx_parcels')}, p as (select *, {', '.join(_CORNER)} from fx_parcels),
+part as (select row_id, trim(PARID) as parid, x, y, 0 as part from p union all select row_id, trim(PARID), x + 60, y, 1 from p where row_id % 2 = 1)
+select parid, count(*) as n_parts, min(x)::double as xmin, min(y)::double as ymin, max(x + 40)::double as xmax, max(y + 40)::double as ymax,
+ cast(sum(case when part = 0 and row_id % 3 = 0 then 1 else 0 end) as integer) as n_holes from part
+group by row_id, parid having bool_or(x <= 2500 and x + 40 >= 1030 and y <= 1400 and y + 40 >= 215)""")
+def parcel_pages(spark, sf):
+    src = fx(spark, sf, "fx_parcels").selectExpr("*", *_CORNER)
+    square = "concat('[[', {0}, ',', {1}, '],[', {0} + {2}, ',', {1}, '],[', {0} + {2}, ',', {1} + {2}, '],[', {0}, ',', {1} + {2}, '],[', {0}, ',', {1}, ']]')"
+    hole = f"if(row_id % 3 = 0, concat(',', {square.format('x + 5', 'y + 5', 10)}), '')"
+    geometry = (f"if(row_id % 2 = 1, concat('{{\"type\":\"MultiPolygon\",\"coordinates\":[[', {square.format('x', 'y', 40)}, {hole}, '],[', "
+                f"{square.format('x + 60', 'y', 40)}, ']]}}'), concat('{{\"type\":\"Polygon\",\"coordinates\":[', {square.format('x', 'y', 40)}, {hole}, ']}}'))")
+    feature = src.select((F.col("row_id") % 7).alias("file"), F.col("row_id").alias("ord"), F.concat(
+        F.lit(',{"type":"Feature","properties":'), F.to_json(F.struct("PARID", "OWNER1", "MAIL_ADDR")), F.lit(',"geometry":'),
+        F.expr(geometry), F.lit("}")).alias("line"))
+    edges = spark.range(7).select(F.col("id").alias("file"), F.explode(F.array(F.lit(-1), F.lit(1 << 62))).alias("ord")).withColumn(
+        "line", F.when(F.col("ord") < 0, F.lit(_HEAD)).otherwise("]}"))
+    pages = parcels.read_parcel_pages(spark, landed(spark, feature.unionByName(edges)), "1030,215,2500,1400")
+    return pages.select(F.trim(F.col("attributes")["PARID"]).alias("parid"), F.size("parts").cast("long").alias("n_parts"), "xmin", "ymin",
+                        "xmax", "ymax", F.size(F.flatten("parts.holes")).alias("n_holes"))
+
+
 @query("incremental_files", f"""with {ctes('fx_features')}
 select file_path, count(*) as num_features from fx_features where file_path not in (select distinct file_path from fx_features where row_id % 60 < 7)
 group by file_path""")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from stormgrid.session import spread
+from stormgrid.session import checkpoint_root, spread
 
 # name -> (base table, SQL)
 FX: dict[str, tuple[str, str]] = {
@@ -92,6 +94,14 @@ def _columns(sql: str, src: DataFrame) -> list[str]:
     return [c for c in src.columns if c in sql]
 
 
+def landed(spark: SparkSession, lines: DataFrame, line_sep: str = "\n") -> str:
+    """Folder of documents ``file=<n>/..``, one per ``file``, of the text ``line`` in the order of ``ord``."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/derived/{uuid.uuid4().hex}"
+    (lines.repartition("file").sortWithinPartitions("file", "ord").select("file", "line")
+     .write.partitionBy("file").option("lineSep", line_sep).text(path))
+    return path
+
+
 def ctes(*names: str) -> str:
     """``WITH`` list for DuckDB, each fixture after those it needs."""
     want = []

@@ -9,6 +9,7 @@ from .. import schemas
 from ..functions import geo
 from ..functions.binding import let
 from ..functions.text import blank, compose_address, first_filled
+from . import geojson
 
 # Property names tried in order
 NUMBER = ("number", "house_number", "house", "addr_num")
@@ -26,24 +27,6 @@ HEADERS = {
 }
 
 
-#: Names ending in .geojson or .json, whatever their letters' case.
-GEOJSON_NAMES = "*.{[gG][eE][oO][jJ][sS][oO][nN],[jJ][sS][oO][nN]}"
-
-
-def read_geojson_lines(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """``(file_path, body)`` for every line of the .geojson and .json files under ``folders``."""
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", GEOJSON_NAMES).text(folders)
-    return lines.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("body")).where(~blank("body"))
-
-
-def read_geojson_collections(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """Feature bodies of whole-document collections; a file that does not parse gives one null body."""
-    schema = "features array<string>, _bad string"
-    docs = (spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", GEOJSON_NAMES).option("columnNameOfCorruptRecord", "_bad").json(folders))
-    return docs.select(F.col("_metadata.file_path").alias("file_path"), F.explode_outer("features").alias("body"))
-
-
 def _address_of(f: Column) -> Column:
     """Address columns of one parsed feature."""
     props, kind, coords = f["properties"], f["geometry"]["type"], f["geometry"]["coordinates"]
@@ -71,16 +54,30 @@ def _center(kind: Column, coords: Column) -> Column:
                 F.aggregate(ps, F.lit(0.0), lambda s, p: s + p[1]) / F.size(ps)))))
 
 
+def address_rows(features: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Feature text -> address, number, street, city, state, zip, lon, lat, for every feature; parsed once per row."""
+    parsed = let(F.from_json(body, schemas.FEATURE, {"mode": "PERMISSIVE"}), _address_of)
+    # inline over a one-element array: a generator is a barrier to merging projects
+    return features.select(*keep, F.inline(F.array(parsed)))
+
+
+def usable() -> Column:
+    """Has an address and a place."""
+    return F.col("address").isNotNull() & F.col("lon").isNotNull() & F.col("lat").isNotNull()
+
+
 def normalize_features(features: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Feature text -> address, number, street, city, state, zip, lon, lat.
+    """Features that give an address: see ``address_rows``.
 
     Other geometries than points become their centroid. Features without number and street, without
-    geometry, or that do not parse are dropped. The body is parsed once per row.
+    geometry, or that do not parse are dropped.
     """
-    parsed = let(F.from_json(body, schemas.FEATURE, {"mode": "PERMISSIVE"}), _address_of)
-    # inline over a one-element array: a generator is a barrier to merging projects
-    return (features.select(*keep, F.inline(F.array(parsed)))
-            .where("address is not null and lon is not null and lat is not null"))
+    return address_rows(features, body, keep).where(usable())
+
+
+def read_addresses(spark: SparkSession, folders: str | list[str], names: str = geojson.NAMES) -> DataFrame:
+    """Addresses of all GeoJSON documents under ``folders``, with ``file_path``."""
+    return normalize_features(geojson.read_geojson(spark, folders, names), keep=("file_path",))
 
 
 def new_files(files: DataFrame, log: DataFrame, path: str = "file_path") -> DataFrame:
@@ -133,15 +130,16 @@ def osm_addresses(nodes: DataFrame) -> DataFrame:
             .select("id", F.btrim(text, F.lit(", ")).alias("address"), "lat", "lon"))
 
 
-def read_polygons(spark: SparkSession, path: str) -> DataFrame:
+def read_polygons(spark: SparkSession, path: str | list[str], names: str = "*") -> DataFrame:
     """Polygon and MultiPolygon features of GeoJSON files: one row per part, outer ring, ``holes`` and envelope.
 
-    Parts of one feature share ``polygon_id``; ``part`` numbers them from 0. ``geo.in_part`` leaves holes out.
+    ``polygon_id`` is a hash of the file's path and the feature's place in it, so it is the same in every read and differs
+    between files; parts of one feature share it and ``part`` numbers them from 0. ``geo.in_part`` leaves holes out.
     """
-    feats = spark.read.option("multiLine", True).schema(f"features array<{GEOMETRY_FEATURE}>").json(path)
-    return (feats.select(F.posexplode("features").alias("polygon_id", "f"))
-            .select("polygon_id", F.col("f.properties").alias("properties"), F.posexplode(polygon_parts(F.col("f.geometry")))
-                    .alias("part", "p"))
+    feats = geojson.read_geojson(spark, path, names).select(
+        F.xxhash64("file_path", "position").alias("polygon_id"), F.from_json("body", GEOMETRY_FEATURE).alias("f"))
+    return (feats.select("polygon_id", F.col("f.properties").alias("properties"),
+                         F.posexplode(polygon_parts(F.col("f.geometry"))).alias("part", "p"))
             .select("polygon_id", "properties", "part", "p.ring", "p.holes").withColumns(geo.bounds(F.col("ring"))))
 
 

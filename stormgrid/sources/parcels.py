@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.text import number_or_null, title_case
+from . import geojson
 from .addresses import GEOMETRY_FEATURE, polygon_parts
 
 # Source names tried in order, in any case
@@ -19,11 +20,10 @@ ASSESSED = ("ASSESSED_VALUE", "TOT_ASSD_VAL", "ASSESSED")
 COUNTY, SOURCE = "Jefferson", "jefferson_arcgis"
 
 
-def read_parcel_pages(spark: SparkSession, path: str, box: str | None = None) -> DataFrame:
+def read_parcel_pages(spark: SparkSession, path: str | list[str], box: str | None = None, names: str = "*") -> DataFrame:
     """Landed GeoJSON pages: one row per feature, attributes as a map, all ``parts`` with their holes, the first part's
     outer ring, and the envelope of all parts. With ``box`` only features of which a part meets it, exactly."""
-    feats = (spark.read.option("multiLine", True).schema(f"features array<{GEOMETRY_FEATURE}>").json(path)
-             .select(F.explode("features").alias("f")))
+    feats = geojson.read_geojson(spark, path, names).select(F.from_json("body", GEOMETRY_FEATURE).alias("f"))
     df = (feats.select(F.col("f.properties").alias("attributes"), polygon_parts(F.col("f.geometry")).alias("parts"))
           .withColumn("ring", F.get("parts", F.lit(0))["ring"])
           .withColumns(geo.bounds(F.flatten("parts.ring"))))

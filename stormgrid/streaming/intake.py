@@ -13,9 +13,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.binding import let
 from ..operators import rows
-from ..session import staging
+from ..session import staged, staging
 from ..sinks import tables
-from ..sources import addresses
+from ..sources import addresses, geojson
 from . import jobs
 
 _RECORD = "received_at timestamp_ntz, headers map<string,string>, body string"
@@ -124,35 +124,32 @@ def overdue_stream(events: DataFrame, seconds: int = 300, delay: str = "1 minute
         step, "job_id string, first_seen timestamp", "first long, closed boolean", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+_LISTED = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def ingest_addresses(spark: SparkSession, folder: str, path: str, checkpoint: str, log: str | None = None,
-                     per_trigger: int = 1_000) -> StreamingQuery:
-    """Load new .geojson / .json files, of any letter case, once each: lines of features or whole documents.
+                     per_trigger: int = 1_000, names: str = geojson.NAMES) -> StreamingQuery:
+    """Load new GeoJSON documents, once each, whatever their size and layout (see ``sources.geojson``).
 
-    A file without a line that is a feature is read again as one document (at most ``per_trigger`` names a
-    micro-batch). A micro-batch owns one partition of the table and one of the import log ``log`` (default: ``path`` +
-    ``_log``; one row per file with the rows it gave, 0 for an empty or broken one), so repeating it replaces its own
-    rows only.
+    The stream lists files, without their content; a micro-batch reads them block by block. It owns one partition of the table
+    and one of the import log ``log`` (default: ``path`` + ``_log``), so repeating it replaces its own rows only. The log
+    has one row per file: the features it holds and the rows they gave, both 0 for an empty or broken one.
     """
-    lines = (spark.readStream.format("text").option("recursiveFileLookup", True)
-             .option("maxFilesPerTrigger", per_trigger).option("pathGlobFilter", addresses.GEOJSON_NAMES).load(folder)
-             .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("file_path")))
+    files = (spark.readStream.format("binaryFile").schema(_LISTED).option("recursiveFileLookup", True)
+             .option("maxFilesPerTrigger", per_trigger).option("pathGlobFilter", names).load(folder)
+             .select(F.col("path").alias("file_path"), "length"))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        feature = F.coalesce(F.get_json_object("body", "$.type") == "Feature", F.lit(False))
-        files = batch.groupBy("file_path").agg(F.max(feature).alias("by_line"))
-        whole = [r.file_path for r in files.where(~F.col("by_line")).select("file_path").collect()]
-        out = addresses.normalize_features(batch, keep=("file_path",))
-        if whole:
-            docs = addresses.read_geojson_collections(batch.sparkSession, whole)
-            out = out.unionByName(addresses.normalize_features(docs, keep=("file_path",)))
+        found = geojson.features(geojson.layout(batch.sparkSession, batch))
+        parsed = staged(addresses.address_rows(found, keep=("file_path",)), "addresses")
         put = lambda df, to: (df.withColumn("load_id", F.lit(batch_id)).write.mode("overwrite")
                               .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(to))
-        put(out, path)
-        mine = batch.sparkSession.read.parquet(path).where(F.col("load_id") == batch_id)
-        counts = mine.groupBy("file_path").agg(F.count("*").alias("num_rows"))
-        put(files.select("file_path").join(counts, "file_path", "left").select(
-            "file_path", F.coalesce("num_rows", F.lit(0)).alias("num_rows"),
+        put(parsed.where(addresses.usable()), path)
+        counts = parsed.groupBy("file_path").agg(F.count("*").alias("num_features"),
+                                                 F.count_if(addresses.usable()).alias("num_rows"))
+        put(batch.select("file_path").join(counts, "file_path", "left").select(
+            "file_path", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("num_features", "num_rows")],
             F.current_timestamp().cast("timestamp_ntz").alias("imported_at")), log or f"{path.rstrip('/')}_log")
 
-    return (lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return (files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -117,5 +117,8 @@ def test_whole_documents_and_import_log(spark, tmp_path):
     (src / "bad.json").write_text("{not json\n")
     intake.ingest_addresses(spark, str(src), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
     assert sorted(r.address for r in spark.read.parquet(str(tmp_path / "t")).collect()) == ["1 Oak", "2 Oak", "3 Oak"]
-    log = {r.file_path.rsplit("/", 1)[1]: r.num_rows for r in spark.read.parquet(str(tmp_path / "t_log")).collect()}
-    assert log == {"A.GEOJSON": 2, "b.Json": 1, "bad.json": 0}
+    (src / "c.json").write_text('{"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {}, "geometry": null},\n'
+                                + feat % 4 + ",\n" + feat % 5 + "]}\n")                       # a line of it is a feature
+    intake.ingest_addresses(spark, str(src), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+    log = {r.file_path.rsplit("/", 1)[1]: (r.num_features, r.num_rows) for r in spark.read.parquet(str(tmp_path / "t_log")).collect()}
+    assert log == {"A.GEOJSON": (2, 2), "b.Json": (1, 1), "bad.json": (0, 0), "c.json": (3, 2)}
