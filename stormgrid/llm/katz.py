@@ -35,7 +35,7 @@ from ..session import staged
 
 SMALL = 5               # counts up to here are discounted
 _CHUNK = 1 << 23        # bytes of text of a chunk
-_BUCKET = 1 << 22       # tokens of a bucket
+_BUCKET = 1 << 21       # tokens of a bucket
 _HOT = 256              # a hot word has more than this fraction of the training tokens
 _UNKNOWN, _START = -1, -2
 
