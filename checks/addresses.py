@@ -11,7 +11,7 @@ from stormgrid.sources.addresses import osm_addresses
 
 from .hail import storms
 from .inputs import ctes, fx
-from .oracle_parts import STORMS, dbscan_sql, near_sql
+from .oracle_parts import STORMS, dbscan_sql, hull_sql, near_sql, ring_sql, ring_text
 
 QUERIES, SQL = {}, {}
 _LABELLED: dict = {}
@@ -134,12 +134,16 @@ def addresses_by_centroid_buffer(spark, sf):
 @query("address_clusters", f"""with {ctes('fx_addresses')},
 {STORMS},
 {CENTROIDS},
-{dbscan_sql('al', 'around', 0.0006, 8, by='hail_cluster_id')}
-select hail_cluster_id, label as addr_cluster_id, count(*) as num_addresses, min(lon) as xmin, min(lat) as ymin, max(lon) as xmax, max(lat) as ymax
-from al where label >= 0 group by all""")
+{dbscan_sql('al', 'around', 0.0006, 8, by='hail_cluster_id')},
+ac as (select hail_cluster_id, label as addr_cluster_id, lon, lat from al where label >= 0),
+{hull_sql('ah', 'ac', ['hail_cluster_id', 'addr_cluster_id'])},
+{ring_sql('ah', 'hail_cluster_id, addr_cluster_id')}
+select a.hail_cluster_id, a.addr_cluster_id, count(*) as num_addresses, min(lon) as xmin, min(lat) as ymin, max(lon) as xmax, max(lat) as ymax,
+ coalesce(any_value(ring), printf('%.6f %.6f', min(lon), min(lat))) as ring
+from ac a left join ah_ring r on r.hail_cluster_id = a.hail_cluster_id and r.addr_cluster_id = a.addr_cluster_id group by all""")
 def address_clusters(spark, sf):
     return plan.address_clusters(labelled_addresses(spark, sf)).select(
-        "hail_cluster_id", "addr_cluster_id", "num_addresses", "xmin", "ymin", "xmax", "ymax")
+        "hail_cluster_id", "addr_cluster_id", "num_addresses", "xmin", "ymin", "xmax", "ymax", ring_text(F.col("ring")).alias("ring"))
 
 
 @query("address_noise_per_storm", f"""with {ctes('fx_addresses')},

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stormgrid.functions import geo
+from stormgrid.operators.hull import convex_hulls, solid
 from stormgrid.plans import hail
 from stormgrid.session import staged
 
 from .inputs import ctes, fx
-from .oracle_parts import HAIL, HAIL_STATS, STORMS, dbscan_sql, hull_sql
+from .oracle_parts import HAIL, HAIL_STATS, STORMS, dbscan_sql, hull_sql, ring_sql, ring_text
 
 QUERIES, SQL = {}, {}
 _STORMS: dict = {}
@@ -51,38 +52,58 @@ def hail_noise_points(spark, sf):
     return hail.label_hail(fx(spark, sf, "fx_hail")).where("cluster_id < 0").select("id", "lon", "lat")
 
 
-@query("hail_cluster_hulls", f"""with {STORMS}
-select e.cluster_id, any_value(s.num_points) as num_points, 'polygon' as hull_kind,
+@query("hail_cluster_hulls", f"""with {STORMS}, {ring_sql('edge', 'cluster_id')}
+select e.cluster_id, any_value(ring) as ring, any_value(s.num_points) as num_points, 'polygon' as hull_kind,
  round(sum((ax - xmin) * (by_ - ymin) - (bx - xmin) * (ay - ymin)) / 2, 13) as area, any_value(xmin) as xmin, any_value(ymin) as ymin,
  any_value(xmax) as xmax, any_value(ymax) as ymax,
  round(any_value(xmin) + sum(((ax - xmin) * (by_ - ymin) - (bx - xmin) * (ay - ymin)) * (ax + bx - 2 * xmin))
   / (3 * sum((ax - xmin) * (by_ - ymin) - (bx - xmin) * (ay - ymin))), 6) as cx,
  round(any_value(ymin) + sum(((ax - xmin) * (by_ - ymin) - (bx - xmin) * (ay - ymin)) * (ay + by_ - 2 * ymin))
   / (3 * sum((ax - xmin) * (by_ - ymin) - (bx - xmin) * (ay - ymin))), 6) as cy
-from edge e join stats s on s.cluster_id = e.cluster_id group by e.cluster_id""")
+from edge e join stats s on s.cluster_id = e.cluster_id join edge_ring r on r.cluster_id = e.cluster_id group by e.cluster_id""")
 def hail_cluster_hulls(spark, sf):
     ring = F.col("ring")
     c = geo.centroid(ring)
     return storms(spark, sf).select(
-        "cluster_id", "num_points", "hull_kind", F.round(geo.area(ring), 13).alias("area"),
+        "cluster_id", ring_text(ring).alias("ring"), "num_points", "hull_kind", F.round(geo.area(ring), 13).alias("area"),
         "xmin", "ymin", "xmax", "ymax", F.round(c["x"], 6).alias("cx"), F.round(c["y"], 6).alias("cy"))
 
 
 @query("storm_event_boundaries", f"""with {ctes("fx_storm_details")},
 ok as (select * from fx_storm_details where BEGIN_LAT is not null and BEGIN_LON is not null),
 {hull_sql("edge", "ok", ["EPISODE_ID", "EVENT_ID"], "BEGIN_LON", "BEGIN_LAT")},
+{ring_sql("edge", "EPISODE_ID, EVENT_ID")},
 corner as (select EPISODE_ID, EVENT_ID, min(ax) as x0, min(ay) as y0 from edge group by all),
 area as (select EPISODE_ID, EVENT_ID, round(sum((ax - x0) * (by_ - y0) - (bx - x0) * (ay - y0)) / 2, 13) as area from edge join corner using (EPISODE_ID, EVENT_ID) group by all)
 select o.EPISODE_ID, o.EVENT_ID as id, count(*) as num_points, min(BEGIN_DATE_TIME) as begin_time,
  arg_min(BEGIN_LON, line_no * 100000000 + row_key) as first_lon, arg_min(BEGIN_LAT, line_no * 100000000 + row_key) as first_lat,
  case when count(distinct (BEGIN_LON, BEGIN_LAT)) = 1 then 'point' when coalesce(any_value(area), 0) = 0 then 'line' else 'polygon' end as hull_kind,
- coalesce(any_value(area), 0.0) as area, min(BEGIN_LON) as lon0, max(BEGIN_LON) as lon1, min(BEGIN_LAT) as lat0, max(BEGIN_LAT) as lat1
-from ok o left join area a on a.EPISODE_ID = o.EPISODE_ID and a.EVENT_ID = o.EVENT_ID group by o.EPISODE_ID, o.EVENT_ID""")
+ case when coalesce(any_value(area), 0) > 0 then any_value(ring) end as ring, coalesce(any_value(area), 0.0) as area, min(BEGIN_LON) as lon0, max(BEGIN_LON) as lon1, min(BEGIN_LAT) as lat0, max(BEGIN_LAT) as lat1
+from ok o left join area a on a.EPISODE_ID = o.EPISODE_ID and a.EVENT_ID = o.EVENT_ID
+left join edge_ring r on r.EPISODE_ID = o.EPISODE_ID and r.EVENT_ID = o.EVENT_ID group by o.EPISODE_ID, o.EVENT_ID""")
 def storm_event_boundaries(spark, sf):
     b = hail.storm_event_boundaries(fx(spark, sf, "fx_storm_details"), ["line_no", "row_key"])
     flat = F.col("hull_kind") != "polygon"   # slivers around points and lines reach 1e-6 beyond them
     edge = lambda c, s: F.round(F.when(flat, F.col(c) + s * 1e-6).otherwise(F.col(c)), 6)
     return b.select("EPISODE_ID", "id", "num_points", "begin_time", "first_lon", "first_lat", "hull_kind",
-                    F.round(F.when(flat, 0.0).otherwise(F.col("area")), 13).alias("area"),
+                    F.when(~flat, ring_text(F.col("ring"))).alias("ring"), F.round(F.when(flat, 0.0).otherwise(F.col("area")), 13).alias("area"),
                     edge("xmin", 1).alias("lon0"), edge("xmax", -1).alias("lon1"),
                     edge("ymin", 1).alias("lat0"), edge("ymax", -1).alias("lat1"))
+
+
+@query("degenerate_hulls", f"""with {ctes("fx_storm_details")},
+ok as (select * from fx_storm_details where BEGIN_LAT is not null and BEGIN_LON is not null),
+{hull_sql("edge", "ok", ["EVENT_ID"], "BEGIN_LON", "BEGIN_LAT")},
+area as (select EVENT_ID from edge group by EVENT_ID
+ having round(sum((ax - 0) * (by_ - 0) - (bx - 0) * (ay - 0)) / 2, 10) > 0),
+e as (select EVENT_ID as id, min((BEGIN_LON, BEGIN_LAT)) as a, max((BEGIN_LON, BEGIN_LAT)) as b, count(distinct (BEGIN_LON, BEGIN_LAT)) as n
+ from ok where EVENT_ID not in (select EVENT_ID from area) group by EVENT_ID)
+select id, case n when 1 then 'point' else 'line' end as hull_kind,
+ printf('%.6f %.6f', a[1], a[2]) || case when n > 1 then printf(',%.6f %.6f', b[1], b[2]) else '' end as ring,
+ round(1e9 * (2e-6 * sqrt((b[1] - a[1]) * (b[1] - a[1]) + (b[2] - a[2]) * (b[2] - a[2])) + 32 * sin(pi() / 32) * 1e-12), 2) as area_e9 from e""")
+def degenerate_hulls(spark, sf):
+    ok = fx(spark, sf, "fx_storm_details").where("BEGIN_LAT is not null and BEGIN_LON is not null")
+    flat = convex_hulls(ok, ["EVENT_ID"], "BEGIN_LON", "BEGIN_LAT").where("hull_kind <> 'polygon'")
+    area = F.round(1e9 * geo.area(solid()), 2).alias("area_e9")
+    return flat.select(F.col("EVENT_ID").alias("id"), "hull_kind", area, F.col("ring").alias("r")).select(
+        "id", "hull_kind", "area_e9", ring_text(F.col("r")).alias("ring"))

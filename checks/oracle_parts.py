@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from .inputs import ctes
 
 
@@ -61,6 +64,17 @@ def hull_sql(name: str, src: str, keys: list[str], x: str = "lon", y: str = "lat
     ])
 
 
+def ring_sql(edges: str, keys: str) -> str:
+    """``{edges}_ring(keys, ring)``: the hull's vertices as text, by x then y."""
+    return (f"{edges}_ring as (select {keys}, string_agg(printf('%.6f %.6f', ax, ay), ',' order by ax, ay) as ring "
+            f"from {edges} group by {keys})")
+
+
+def ring_text(ring: Column) -> Column:
+    """The same of a ring column."""
+    return F.array_join(F.transform(F.array_sort(F.array_distinct(ring)), lambda p: F.format_string("%.6f %.6f", p["x"], p["y"])), ",")
+
+
 # Hail clusters with default parameters, hull edges and envelope
 HAIL = (ctes("fx_hail") + ",\n" + dbscan_sql("lab", "fx_hail", 0.03, 6))
 HAIL_STATS = """stats as materialized (select l.label as cluster_id, count(*) as num_points, min(h.valid) as start_time,
