@@ -10,8 +10,8 @@ from stormgrid.session import staged
 from stormgrid.sources.addresses import osm_addresses
 
 from .hail import storms
-from .inputs import ctes, fx
-from .oracle_parts import STORMS, dbscan_sql, hull_sql, near_sql, ring_sql, ring_text
+from .inputs import ctes, fx, table
+from .oracle_parts import KX, KY, STORMS, dbscan_sql, hull_sql, near_sql, ring_sql, ring_text
 
 QUERIES, SQL = {}, {}
 _LABELLED: dict = {}
@@ -177,3 +177,78 @@ def addresses_in_mercator(spark, sf):
     lon, lat = geo.from_mercator(mx, my)
     return fx(spark, sf, "fx_addresses").select("id", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"),
                                                 F.round(mx, 1).alias("mx"), F.round(my, 1).alias("my"))
+
+
+# Storms in two parts around every block of addresses, in half micro-degrees from its centre: a U with a hole in its left arm, and a V.
+U = [(-20000, -20000), (20000, -20000), (20000, 20000), (8000, 20000), (8000, -4000), (-8000, -4000), (-8000, 20000), (-20000, 20000)]
+HOLE = [(-12600, -600), (-12600, 600), (-11400, 600), (-11400, -600)]
+V = [(-1, 12000), (2999, 15000), (1999, 15000), (-1, 13000), (-2001, 15000), (-3001, 15000)]
+_MID = "2 * (-89500000 + (c_custkey % 20) * 400000) as mx, 2 * (30500000 + cast(floor(c_custkey / 20) as bigint) * 350000) as my"
+
+
+def _part_sql():
+    pairs = [(part, *a, *b) for part, ring in ((0, U), (0, HOLE), (1, V)) for a, b in zip(ring, ring[1:] + ring[:1])]
+    return ", ".join(f"({part}, {ax}, {ay}, {bx}, {by})" for part, ax, ay, bx, by in pairs)
+
+
+PARTS = f"""{ctes('fx_addresses')},
+mids as (select c_custkey as storm_id, {_MID} from customer),
+sides(part, ax, ay, bx, by_) as (values {_part_sql()}),
+partedge as (select storm_id, part, mx + ax as ax, my + ay as ay, mx + bx as bx, my + by_ as by_ from mids, sides),
+pts as (select id, lon, lat, 2 * cast(round(lon * 1e6) as bigint) as px, 2 * cast(round(lat * 1e6) as bigint) as py from fx_addresses
+ where lon is not null and lat is not null),
+parthit as materialized (select p.id, storm_id, part,
+ sum(case when (ay > py) <> (by_ > py) and (case when by_ > ay then (px - ax) * (by_ - ay) < (bx - ax) * (py - ay) else (px - ax) * (by_ - ay) > (bx - ax) * (py - ay) end) then 1 else 0 end) % 2 = 1 as odd,
+ bool_or((bx - ax) * (py - ay) = (by_ - ay) * (px - ax) and px between least(ax, bx) and greatest(ax, bx) and py between least(ay, by_) and greatest(ay, by_)) as edge
+ from pts p join mids m on px between mx - 24000 and mx + 24000 and py between my - 24000 and my + 24000 join partedge using (storm_id) group by all)"""
+
+
+def parted_storms(spark, sf):
+    """The storms above as one row per part, rings in degrees."""
+    def ring(pts):
+        return F.array(*[geo.vertex((F.col("mx") + x) / 2e6, (F.col("my") + y) / 2e6) for x, y in [*pts, pts[0]]])
+
+    mids = table(spark, sf, "customer").selectExpr("c_custkey as storm_id", *_MID.split(", "))
+    none = F.slice(F.array(ring(HOLE)), 1, 0)
+    parts = F.array(F.struct(F.lit(0).alias("part"), ring(U).alias("ring"), F.array(ring(HOLE)).alias("holes")),
+                    F.struct(F.lit(1).alias("part"), ring(V).alias("ring"), none.alias("holes")))
+    return mids.select("storm_id", F.inline(parts)).withColumns(geo.bounds(F.col("ring")))
+
+
+@query("addresses_in_multipolygon", f"with {PARTS} select id, storm_id, part from parthit where odd and not edge")
+def addresses_in_multipolygon(spark, sf):
+    return plan.in_storms(fx(spark, sf, "fx_addresses"), parted_storms(spark, sf), ("storm_id", "part"), convex=False).select(
+        "id", "storm_id", "part")
+
+
+@query("addresses_in_any_part", f"with {PARTS} select id, address from fx_addresses where id in (select id from parthit where odd and not edge)")
+def addresses_in_any_part(spark, sf):
+    return plan.in_any_storm(fx(spark, sf, "fx_addresses"), parted_storms(spark, sf), convex=False).select("id", "address")
+
+
+_NEAR = f"""with {PARTS},
+legs as (select p.id, storm_id, part, (bx - ax) / 2e6 * {KX.format(lat='lat')} as ux, (by_ - ay) / 2e6 * {KY.format(lat='lat')} as uy,
+ (lon - ax / 2e6) * {KX.format(lat='lat')} as wx, (lat - ay / 2e6) * {KY.format(lat='lat')} as wy
+ from pts p join mids m on px between mx - 24000 and mx + 24000 and py between my - 24000 and my + 24000 join partedge using (storm_id)),
+spot as (select *, greatest(0, least(1, (wx * ux + wy * uy) / (ux * ux + uy * uy))) as t from legs),
+gap as (select id, storm_id, part, min(sqrt((wx - t * ux) * (wx - t * ux) + (wy - t * uy) * (wy - t * uy))) as d from spot group by all)
+select id, storm_id, part, round(case when odd and not edge then 0.0 else d end, 1) as distance_m from gap join parthit using (id, storm_id, part)
+where case when odd and not edge then 0.0 else d end <= 60"""
+
+
+@query("addresses_near_parts", _NEAR)
+def addresses_near_parts(spark, sf):
+    near = plan.near_storms(fx(spark, sf, "fx_addresses"), parted_storms(spark, sf), 60.0, ("storm_id", "part"))
+    return near.select("id", "storm_id", "part", F.round("distance", 1).alias("distance_m"))
+
+
+@query("storms_in_area_parts", f"""with {PARTS},
+{AREA.split(',' + chr(10) + 'met as')[0]},
+line as (select storm_id, part, ax / 2e6 as ax, ay / 2e6 as ay, bx / 2e6 as bx, by_ / 2e6 as by_ from partedge),
+cross_ as (select storm_id, part from line e, area r where
+ ((e.bx - e.ax) * (r.ay - e.ay) - (e.by_ - e.ay) * (r.ax - e.ax) > 0) <> ((e.bx - e.ax) * (r.by_ - e.ay) - (e.by_ - e.ay) * (r.bx - e.ax) > 0) and
+ ((r.bx - r.ax) * (e.ay - r.ay) - (r.by_ - r.ay) * (e.ax - r.ax) > 0) <> ((r.bx - r.ax) * (e.by_ - r.ay) - (r.by_ - r.ay) * (e.bx - r.ax) > 0)),
+held as (select storm_id, part from line e where (select min((r.bx - r.ax) * (e.ay - r.ay) - (r.by_ - r.ay) * (e.ax - r.ax)) from area r) >= 0)
+select distinct storm_id, part from (select * from cross_ union all select * from held)""")
+def storms_in_area_parts(spark, sf):
+    return plan.storms_in_area(parted_storms(spark, sf), CENTER, RADIUS_KM * 1000, convex=False).select("storm_id", "part")

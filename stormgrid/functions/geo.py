@@ -216,6 +216,29 @@ def convex_meet(ring: Column, other: list[tuple[float, float]]) -> Column:
     return ~apart
 
 
+def part_meets_convex(ring: Column, holes: Column, area: list[tuple[float, float]]) -> Column:
+    """A polygon part, of any shape, shares a point with a closed counter-clockwise convex ring ``area``.
+
+    Either one of its edges does (the part of the edge inside all half planes of the ring is not empty), or the part holds the whole area.
+    """
+    planes = F.array(*[F.struct(F.lit(by - ay).alias("nx"), F.lit(ax - bx).alias("ny"), F.lit((by - ay) * ax + (ax - bx) * ay).alias("c"))
+                       for (ax, ay), (bx, by) in zip(area, area[1:])])
+
+    def meets(pts, i):
+        a, b = _at(pts, i), F.get(pts, i)
+
+        def cut(span, p):
+            room, rate = p["c"] - p["nx"] * a["x"] - p["ny"] * a["y"], p["nx"] * (b["x"] - a["x"]) + p["ny"] * (b["y"] - a["y"])
+            t = room / F.nullif(rate, F.lit(0.0))
+            return F.struct(F.when(rate < 0, F.greatest(span["lo"], t)).when((rate == 0) & (room < 0), 2.0).otherwise(span["lo"]).alias("lo"),
+                            F.when(rate > 0, F.least(span["hi"], t)).otherwise(span["hi"]).alias("hi"))
+
+        return let(F.aggregate(planes, F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi")), cut), lambda s: s["lo"] <= s["hi"])
+
+    edge = lambda pts: F.exists(_edges(pts), lambda i: meets(pts, i))
+    return edge(ring) | F.exists(holes, edge) | in_part(ring, holes, F.lit(area[0][0]), F.lit(area[0][1]))
+
+
 # ---- buffers -----------------------------------------------------------------------------------
 
 def in_point_buffer(x, y, cx, cy, radius, quarter: int = 16) -> Column:
@@ -311,6 +334,25 @@ def _distance(at: Column) -> Column:
     return F.when(inside, 0.0).otherwise(F.sqrt(F.array_min(F.transform(_edges(ring), to_edge))))
 
 
+def distance_to_edges(edges: Column, x: Column, y: Column) -> Column:
+    """Metres from a point to the nearest of ``array<struct<ax, ay, bx, by>>``, in the local plane at the point; null without edges."""
+    kx, ky = metres_per_degree(y)
+
+    def far(at):
+        def squared(e):
+            legs = F.struct(((e["bx"] - e["ax"]) * at["kx"]).alias("ux"), ((e["by"] - e["ay"]) * at["ky"]).alias("uy"),
+                            ((at["x"] - e["ax"]) * at["kx"]).alias("wx"), ((at["y"] - e["ay"]) * at["ky"]).alias("wy"))
+
+            def clamp(v):
+                t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(
+                    v["wx"] * v["ux"] + v["wy"] * v["uy"], v["ux"] * v["ux"] + v["uy"] * v["uy"]), F.lit(0.0))))
+                return let(F.struct((v["wx"] - t * v["ux"]).alias("dx"), (v["wy"] - t * v["uy"]).alias("dy")),
+                           lambda d: d["dx"] * d["dx"] + d["dy"] * d["dy"])
+            return let(legs, clamp)
+        return F.sqrt(F.array_min(F.transform(edges, squared)))
+    return let(F.struct(x.alias("x"), y.alias("y"), kx.alias("kx"), ky.alias("ky")), far)
+
+
 def geodesic(lon1, lat1, lon2, lat2) -> Column:
     """Ellipsoidal distance in metres (Andoyer-Lambert closed form)."""
     p1, p2 = F.radians(_c(lat1)), F.radians(_c(lat2))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions.text import not_multi_unit, not_po_box
 from ..functions.timing import storm_time
-from ..operators import gridjoin
+from ..operators import cellindex, gridjoin
 from ..operators.dbscan import dbscan
 from ..operators.hull import convex_hulls
 from ..operators.rows import pick_per_key, top
@@ -16,58 +16,69 @@ from ..operators.rows import pick_per_key, top
 _SHAPE = ["ring", "xmin", "ymin", "xmax", "ymax"]
 
 
-def in_storms(addresses: DataFrame, storms: DataFrame, key: str = "cluster_id", event=None, convex: bool = True) -> DataFrame:
-    """One row per address strictly inside a storm polygon; ``event`` limits to one storm.
-
-    A storm may be several rows (parts); a column ``holes`` is left out of its part.
-    """
-    if event is not None:
-        storms = storms.where(F.col(key) == event)
-    shape = _shape(storms)
-    return gridjoin.points_in_polygons(addresses, storms.select(key, *shape), _inside(shape, convex)).drop(*shape)
+def _listed(key: str | tuple[str, ...]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
 
 def _shape(storms: DataFrame) -> list[str]:
     return _SHAPE + [c for c in ("holes",) if c in storms.columns]
 
 
-def _inside(shape: list[str], convex: bool) -> Column:
-    if "holes" in shape:
-        return geo.in_part(F.col("ring"), F.col("holes"), F.col("lon"), F.col("lat"))
-    return (geo.in_convex if convex else geo.in_polygon)(F.col("ring"), F.col("lon"), F.col("lat"))
+def _plain(storms: DataFrame, convex: bool) -> bool:
+    return convex and "holes" not in storms.columns
+
+
+def in_storms(addresses: DataFrame, storms: DataFrame, key: str | tuple[str, ...] = "cluster_id", event=None, convex: bool = True,
+              id_col: str = "id") -> DataFrame:
+    """One row per address strictly inside a storm polygon; ``event`` limits to one storm: the value of its key, or one per key.
+
+    A storm may be several rows (parts); a column ``holes`` is left out of its part. Rings that are not convex need ``convex=False``.
+    """
+    keys = _listed(key)
+    if event is not None:
+        for k, v in zip(keys, [event] if isinstance(key, str) else event):
+            storms = storms.where(F.col(k) == v)
+    storms = storms.select(*[F.col(k).alias(f"_storm{i}") for i, k in enumerate(keys)], *_shape(storms))
+    names = [f"_storm{i}" for i in range(len(keys))]
+    found = cellindex.inside(addresses, storms, names, _plain(storms, convex), id_col=id_col)
+    return cellindex.with_rows(addresses, found, id_col).withColumnsRenamed(dict(zip(names, keys)))
 
 
 def in_any_storm(addresses: DataFrame, storms: DataFrame, key: str = "id", convex: bool = True) -> DataFrame:
-    """Addresses within the union of the polygons, each once."""
-    shape = _shape(storms)
-    return gridjoin.points_in_any(addresses, storms.select(*shape), _inside(shape, convex), key)
+    """Addresses within the union of the polygons, each once; ``key`` is the addresses' id."""
+    found = cellindex.inside(addresses, storms.select(*_shape(storms)), [], _plain(storms, convex), id_col=key)
+    once = found.withColumnsRenamed({"id": "_id", "x": "_x", "y": "_y"})
+    same = F.col(key).eqNullSafe(F.col("_id")) & (F.col("lon") == F.col("_x")) & (F.col("lat") == F.col("_y"))
+    return addresses.join(once, same, "left_semi")
 
 
-def near_storms(addresses: DataFrame, storms: DataFrame, metres: float, keep: tuple[str, ...] = ("cluster_id",)) -> DataFrame:
-    """Address-storm pairs within ``metres``, with the distance (0 inside)."""
-    pad_x, pad_y = gridjoin.degree_pads(metres)
-    pairs = gridjoin.points_in_polygons(
-        addresses, storms.select(*keep, *_SHAPE),
-        geo.in_box("lon", "lat", F.col("xmin") - pad_x, F.col("ymin") - pad_y, F.col("xmax") + pad_x, F.col("ymax") + pad_y),
-        pad_x=pad_x, pad_y=pad_y)
-    return (pairs.withColumn("distance", geo.distance_to_ring(F.col("ring"), F.col("lon"), F.col("lat")))
-            .where(F.col("distance") <= metres).drop(*_SHAPE))
+def near_storms(addresses: DataFrame, storms: DataFrame, metres: float, keep: tuple[str, ...] = ("cluster_id",),
+                id_col: str = "id") -> DataFrame:
+    """Address-storm pairs within ``metres``, with the distance (0 inside); parts of any shape, the inside of ``holes`` is outside."""
+    found = cellindex.near(addresses, storms.select(*keep, *_shape(storms)), list(keep), metres, id_col=id_col)
+    return cellindex.with_rows(addresses, found, id_col)
 
 
-def storms_in_area(storms: DataFrame, center: tuple[float, float], radius_m: float) -> DataFrame:
+def storms_in_area(storms: DataFrame, center: tuple[float, float], radius_m: float, convex: bool = True) -> DataFrame:
     """Polygons that meet the search area, a buffer in Web-Mercator metres."""
     area = geo.mercator_circle(*center, radius_m)
-    return (storms.where(geo.boxes_meet("xmin", "ymin", "xmax", "ymax", _box(area)))
-            .where(geo.convex_meet(F.col("ring"), area)))
+    near = storms.where(geo.boxes_meet("xmin", "ymin", "xmax", "ymax", _box(area)))
+    return near.where(geo.convex_meet(F.col("ring"), area) if _plain(storms, convex) else
+                      geo.part_meets_convex(F.col("ring"), _holes(storms), area))
+
+
+def _holes(storms: DataFrame) -> Column:
+    return F.col("holes") if "holes" in storms.columns else F.slice(F.array("ring"), 1, 0)
 
 
-def storms_in_box(storms: DataFrame, box: str) -> DataFrame:
+def storms_in_box(storms: DataFrame, box: str, convex: bool = True) -> DataFrame:
     """Polygons that meet the envelope ``"minlon,minlat,maxlon,maxlat"``: the comparison of envelopes
     prunes in the scan, the exact test sees what is left."""
     x0, y0, x1, y1 = geo.parse_box(box)
     corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
-    return (storms.where(geo.boxes_meet("xmin", "ymin", "xmax", "ymax", (x0, y0, x1, y1)))
-            .where(geo.convex_meet(F.col("ring"), corners)))
+    near = storms.where(geo.boxes_meet("xmin", "ymin", "xmax", "ymax", (x0, y0, x1, y1)))
+    return near.where(geo.convex_meet(F.col("ring"), corners) if _plain(storms, convex) else
+                      geo.part_meets_box(F.col("ring"), _holes(storms), (x0, y0, x1, y1)))
 
 
 def points_in_area(points: DataFrame, center: tuple[float, float], radius_m: float) -> DataFrame:
