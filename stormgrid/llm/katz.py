@@ -350,33 +350,33 @@ def _contexts(pairs: DataFrame, buckets: int, uni: Unigrams, hot: float, kind: s
             if b >= buckets:
                 yield _batch([{k: r.get(k) for k in names} for r in got], schema)
                 continue
-            size = [len(nw) for nw in (unpack(r["nw"], np.int32) for r in got)]
+            # numbers of contexts and of second words inside the bucket, one per pair of a chunk ("run"), as small as they come
             join = lambda f: np.concatenate([f(r) for r in got])                                    # noqa: E731
-            u = join(lambda r: np.repeat(unpack(r["u"]), unpack(r["nu"], np.int32)))
-            cu = join(lambda r: np.repeat(unpack(r["cu"]), unpack(r["nu"], np.int32)))
-            w, cw = join(lambda r: unpack(r["w"])), join(lambda r: unpack(r["cw"]))
+            name, first, ctx_of = np.unique(join(lambda r: unpack(r["u"])), return_index=True, return_inverse=True)
+            total = join(lambda r: unpack(r["cu"]))[first]
+            ctx_run = np.repeat(ctx_of.astype(np.int32), join(lambda r: unpack(r["nu"], np.int32)))
+            second, first, word_run = np.unique(join(lambda r: unpack(r["w"])), return_index=True, return_inverse=True)
+            share = uni.share(join(lambda r: unpack(r["cw"]))[first])
+            word_run = word_run.astype(np.int32)
+            size = [len(unpack(r["nw"], np.int32)) for r in got]
             learned = join(lambda r: np.add.reduceat(unpack(r["doc"], np.int32) & 1, np.cumsum(
-                nw := unpack(r["nw"], np.int32)) - nw, dtype=np.int64))
-            order = np.lexsort((w, u))
-            head = np.zeros(len(u), bool)
-            head[0] = True
-            head[1:] = (u[order][1:] != u[order][:-1]) | (w[order][1:] != w[order][:-1])
-            at = order[head]                            # one row of every pair
-            of = np.empty(len(u), np.int64)
-            of[order] = np.cumsum(head) - 1
-            c = np.bincount(of, learned, len(at)).astype(np.int64)
-            ctx_head, new = _heads(u[at]), np.zeros(len(at), np.int64)
-            new[ctx_head] = 1
-            ctx = np.cumsum(new) - 1
-            small = np.stack([np.bincount(ctx[c == r], minlength=len(ctx_head)) for r in range(1, SMALL + 1)], 1)
-            covered = np.bincount(ctx[c > 0], uni.share(cw[at][c > 0]), len(ctx_head))
-            name, total = u[at][ctx_head], cu[at][ctx_head]
+                nw := unpack(r["nw"], np.int32)) - nw))
+            key = ctx_run.astype(np.int64) * len(second) + word_run
+            order = np.argsort(key)
+            key = key[order]
+            head = _heads(key)
+            c = np.add.reduceat(learned[order], head, dtype=np.int64)
+            ctx, word = (key[head] // len(second)).astype(np.int32), (key[head] % len(second)).astype(np.int32)
+            of = np.empty(len(order), np.int32)
+            of[order] = np.repeat(np.arange(len(head), dtype=np.int32), np.diff(np.r_[head, len(order)]))
+            del key, order, learned, head, ctx_of, second, first
+            small = np.stack([np.bincount(ctx[c == r], minlength=len(name)) for r in range(1, SMALL + 1)], 1)
+            covered = np.bincount(ctx[c > 0], share[word[c > 0]], len(name))
             is_hot = total > hot
             bottom = total + (small.sum(1) == 0)
-            c_run, ctx_run = c[of], ctx[of]
-            value = np.where(c_run > 0, np.log10(np.maximum(c_run, 1)) - np.where(is_hot[ctx_run], 0, np.log10(bottom[ctx_run])),
-                             np.log10(uni.share(cw)))
-            late = (c_run == 0) | is_hot[ctx_run]
+            # the value of a pair: learned, or the second word's own share
+            value = np.where(c > 0, np.log10(np.maximum(c, 1)) - np.where(is_hot, 0, np.log10(bottom))[ctx], np.log10(share)[word])
+            late = (c == 0) | is_hot[ctx]
             yield _batch([dict.fromkeys(names) | {
                 "n_r": [int((c == r).sum()) for r in range(1, SMALL + 2)], "part_u": name[is_hot].tolist(),
                 "part_small": small[is_hot].tolist(), "part_share": covered[is_hot].tolist()}], schema)
@@ -386,14 +386,15 @@ def _contexts(pairs: DataFrame, buckets: int, uni: Unigrams, hot: float, kind: s
                 begin += m
                 nw = unpack(r["nw"], np.int32)
                 doc, place = np.unique(unpack(r["doc"], np.int32) >> 1, return_inverse=True)
-                counts = np.repeat(c_run[part], nw)
+                pair = np.repeat(of[part], nw)
+                counts = c[pair]
                 few = (counts > 0) & (counts <= SMALL)
                 per = np.bincount(place[few] * SMALL + counts[few] - 1, minlength=len(doc) * SMALL)
-                wait = np.repeat(late[part], nw)
-                need, which = np.unique(np.repeat(ctx_run[part], nw)[wait], return_inverse=True)
+                wait = late[pair]
+                need, which = np.unique(ctx[pair[wait]], return_inverse=True)
                 yield _batch([dict.fromkeys(names) | {
                     "chunk": r["chunk"], "docs": pack(doc.astype(np.int32)),
-                    "value": pack(np.bincount(place, np.repeat(value[part], nw), len(doc))),
+                    "value": pack(np.bincount(place, value[pair], len(doc))),
                     "small": pack(per.astype(np.int32)), "late_doc": pack(place[wait].astype(np.int32)),
                     "late_ctx": pack((which * 2 + (counts[wait] > 0)).astype(np.int32)), "ctx_u": pack(name[need]),
                     "ctx_count": pack(total[need]), "ctx_small": pack(small[need].ravel()),
