@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import durable, staged
+from ..session import staged
 from .common import row_ranges
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -155,16 +155,20 @@ def _with_distance(rows: DataFrame, params: DataFrame, how: str) -> DataFrame:
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """MCD parameters per ``grp`` of ``rows(grp, x0..x4)``; checkpointed once per concentration step."""
+    """MCD parameters per ``grp`` of ``rows(grp, x0..x4)``.
+
+    Each concentration step writes them as a small table: documents meet it as a broadcast of measured size and are not dealt by
+    group, and their sums merge by group and bin before any shuffle.
+    """
     bins = rows.select("grp", F.posexplode(F.array(*[F.round(64 * F.col(f"x{i}")).cast("int") for i in range(_P)]))
                        .alias("k", "bin")).groupBy("grp", "k", "bin").agg(F.count("*").alias("n"))
-    params = durable(bins.groupBy("grp").applyInPandas(_start, _PARAMS))
+    params = staged(bins.groupBy("grp").applyInPandas(_start, _PARAMS), "quality-start")
     for _ in range(STEPS):
         near = _with_distance(rows, params, "inner").withColumn("bin", F.floor(16 * F.log2(1 + F.col("d2"))))
         sums = near.groupBy("grp", "bin").agg(
             F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(_P)],
             *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"c{i}{j}") for i, j in _CROSS])
-        params = durable(sums.groupBy("grp").applyInPandas(_concentrate, _PARAMS))
+        params = staged(sums.groupBy("grp").applyInPandas(_concentrate, _PARAMS), "quality-step")
     return params
 
 
