@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.numbering import ordered_index
-from ..session import durable, staged
+from ..session import staged
 from .common import row_key
 
 WEIGHTS = (3, 1, 2)
@@ -47,7 +47,7 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = ordered_index(sizes.withColumn("_null", F.col("source").isNull()), ["_null", "source"], "_rank")
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
-    ranked = durable(ranked.select("source", "source_size", weight.alias("weight")))
+    ranked = staged(ranked.select("source", "source_size", weight.alias("weight")), "mix-sources")
     cap = most * F.col("source_size")
     total = ranked.agg(F.sum("source_size")).first()[0] or 0
     level, full = 0.0, -1
@@ -84,7 +84,7 @@ def cuts(ranked: DataFrame) -> DataFrame:
         F.to_json(F.struct("source")).alias("s"), "rank", "size")
     left = ranked.groupBy(F.to_json(F.struct("source")).alias("s")).agg(
         (F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("left"))
-    at = durable(left.select("s", "left", F.lit(0).cast("long").alias("bin"), F.lit(0).cast("long").alias("below")))
+    at = staged(left.select("s", "left", F.lit(0).cast("long").alias("bin"), F.lit(0).cast("long").alias("below")), "mix-cut")
     for i in range(_ROUNDS):
         shift = _RANK_BITS - _BITS * (i + 1)
         sums = drawn.join(at, "s").where(F.shiftright("rank", shift + _BITS) == F.col("bin")).groupBy(
@@ -93,13 +93,13 @@ def cuts(ranked: DataFrame) -> DataFrame:
         steps = sums.select("s", "left", "next", (upto - F.col("n")).alias("before"), upto.alias("upto"))
         # the first bin that reaches the target; else the last one there is
         reached = F.when(F.col("upto") >= F.col("left"), F.col("next"))
-        found = steps.groupBy("s", "left").agg(F.min(reached).alias("hit"), F.max("next").alias("last"),
+        found = steps.groupBy("s", "left").agg(F.min(reached).alias("hit"), F.max(F.struct("next", "before")).alias("last"),
                                                F.min(F.struct(F.coalesce(reached, F.lit(1 << 62)), "before",
                                                               "upto")).alias("b"), F.max("upto").alias("all"))
-        at = durable(found.select(
-            "s", "left", F.coalesce("hit", "last").alias("bin"),
-            F.when(F.col("hit").isNotNull(), F.col("b.before")).otherwise(F.col("all")).alias("below"),
-            F.when(F.col("hit").isNotNull(), F.col("b.upto")).otherwise(F.col("all")).alias("upto")))
+        at = staged(found.select(
+            "s", "left", F.coalesce("hit", "last.next").alias("bin"),
+            F.when(F.col("hit").isNotNull(), F.col("b.before")).otherwise(F.col("last.before")).alias("below"),
+            F.when(F.col("hit").isNotNull(), F.col("b.upto")).otherwise(F.col("all")).alias("upto")), "mix-cut")
         last = at
         at = at.select("s", "left", "bin", "below")
     near = F.abs(F.col("upto") - F.col("left")) < F.abs(F.col("below") - F.col("left"))
@@ -121,7 +121,7 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHA
     sources = targets(rows, weights, share, most).join(
         rows.groupBy(F.col("source").alias("_s")).agg(F.sum(F.col("size") * F.col("weight")).alias("weighed")),
         F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    sources = durable(sources)
+    sources = staged(sources, "mix-targets")
     cut = cuts(_with_copies(rows, sources, most)).withColumnRenamed("source", "_s")
     # written, so that the planner knows how small it is and need not deal documents by their source
     return staged(sources.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "mix-plan")
