@@ -262,15 +262,9 @@ def _extended(gram: int, span: int):
     return rows
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_id: str = "item_id", item_text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """``(key, doc_id, n_words, n_hit, items, spans)``: words inside windows of items, the items, merged hits.
-
-    Words are runs of digits, letters a-z (A-Z lower-cased) and non-ASCII characters. Rows equal in id and text give
-    one result row (``key`` is ``row_key`` of the two); a repeated or null id with another text is a document of its own.
-    Null, empty and wordless texts have no hits. Items without words match nothing; rows of one item id count as
-    one item; an item with a null id marks words but is not listed. Either table may be empty.
-    """
+def _contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   item_id: str = "item_id", item_text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """``contamination`` with one row for all rows that are equal in id and text."""
     fps = staged(item_fingerprints(items, item_id, item_text, span, gram), "winnow-items")
     lengths = sorted(r["need"] for r in fps.where(F.col("need") < span).select("need").distinct().collect())
     made = document_fingerprints(docs, bloom(fps.select("h")), lengths, id_col, text_col, span, gram)
@@ -295,9 +289,23 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     return per.select("key", "doc_id", "n_words", covered.alias("n_hit"), "items", "spans")
 
 
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """``(key, doc_id, n_words, n_hit, items, spans)`` per row of ``docs``: words inside windows of items, the items, merged hits.
+
+    Words are runs of digits, letters a-z (A-Z lower-cased) and non-ASCII characters. Rows equal in id and text are worked
+    on once (``key`` is ``row_key`` of the two) and come back as often as they stand; a repeated or null id with another text
+    is a document of its own. Null, empty and wordless texts have no hits. Items without words match nothing; rows of one
+    item id count as one item; an item with a null id marks words but is not listed. Either table may be empty. A worker holds a
+    very long text and about ten times its size in numbers.
+    """
+    times = staged(docs.groupBy(row_key(id_col, text_col).alias("key")).agg(F.count("*").alias("_n")).where("_n > 1"), "winnow-repeated")
+    return _contamination(docs, items, id_col, text_col, **kw).join(times, "key", "left").withColumn(
+        "_n", F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_n"), F.lit(1)).cast("int")))).drop("_n")
+
+
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Rows of ``docs(doc_id, text, ..)`` that share no window with an item."""
-    dirty = staged(contamination(docs, items).where("n_hit > 0").select(F.col("key").alias("_key")).distinct(),
+    dirty = staged(_contamination(docs, items).where("n_hit > 0").select(F.col("key").alias("_key")).distinct(),
                    "winnow-dirty")
     return docs.select(F.struct("*").alias("_row"), row_key("doc_id", "text").alias("_key")).join(
         dirty, "_key", "left_anti").select("_row.*")
