@@ -249,7 +249,7 @@ def reassembled(records: DataFrame) -> DataFrame:
     fields = [k for k in _FIELDS if k != "origin"]
     head = F.when(F.col("origin").isNull(), F.struct(*fields))
     joined = parts.groupBy(F.coalesce("origin", "record_id").alias("_id")).agg(
-        F.first(head, ignorenulls=True).alias("head"), F.max("total").alias("total"),
+        F.first(head, ignorenulls=True).alias("head"), F.max("total").alias("total"), F.count(head).alias("copies"),
         F.array_sort(F.collect_set(F.struct("segment", F.col("block").cast("string").alias("block")))).alias("parts"),
         F.bool_and("complete").alias("whole"))
     block = F.array_join(F.col("parts.block"), "").cast("binary")       # strings of bytes, joined as they are
@@ -257,7 +257,9 @@ def reassembled(records: DataFrame) -> DataFrame:
     made = joined.withColumn("block", block).select(
         *[F.col(f"head.{k}").alias(k) for k in fields],
         F.coalesce(F.col("head").isNotNull() & F.col("whole") & numbered & (F.length("block") == F.col("total")),
-                   F.lit(False)).alias("complete"), "block")
+                   F.lit(False)).alias("complete"), "block",
+        # a record written twice is put together once and comes out twice
+        F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1)).cast("int"))).alias("copy")).drop("copy")
     return alone.select(*fields, "complete", "block").unionByName(made)
 
 
@@ -308,13 +310,14 @@ def _bare(label: str | None) -> str | None:
 def stored_pages(records: DataFrame) -> DataFrame:
     """``(page_id, type, payload_bytes, payload_digest, refers_to, valid)`` per page, revisits looked up.
 
-    Pages are told apart by id and payload: rows equal in both give one row. A revisit has length and digest of the
+    One row per record; records equal in id and payload share a record id and come out as often as they were written, also with
+    a null page id. A revisit has length and digest of the
     response it refers to; where that is in no archive the length is null, the digest the declared one, ``valid`` false.
     """
     own = payloads(records).select("record_id", "page_id", "type", "refers_to", "declared", "valid",
                                    F.length("payload").cast("long").alias("n"), F.sha1("payload").alias("sha"))
-    own = staged(own.distinct(), "warc-pages")
-    first = own.where("type = 'response'").select(
+    own = staged(own, "warc-pages")
+    first = own.where("type = 'response'").dropDuplicates(["record_id"]).select(
         F.col("record_id").alias("refers_to"), F.col("page_id").alias("_page"), F.col("n").alias("_n"),
         F.col("sha").alias("_sha"), F.col("valid").alias("_valid"))
     again = own.where("type = 'revisit'").join(first, "refers_to", "left").select(
