@@ -22,7 +22,7 @@ ORDERS = (1, 2, 3)
 BUCKET_BITS = 15
 #: Labelled documents per language that the fit reads, about: the bounded sample of a classifier.
 SAMPLE = 4_000
-MAX_LANGUAGES = 1_000
+MAX_LANGUAGES = 200        # a matrix of 26 MB to broadcast, 52 MB on the driver
 SMOOTHING = 0.5
 UNKNOWN = "und"
 _PIECE = 1 << 20        # characters of one text that are scored at a time
@@ -56,15 +56,37 @@ def ngrams(texts: list[str | None], bits: int = BUCKET_BITS):
     keep = ~gap | first | ~np.r_[False, gap[:-1]]
     cps, of, gap = cps[keep], of[keep], gap[keep]
     for n in ORDERS:
-        m = max(0, len(cps) - n + 1)
-        x = np.full(m, n * 0x27D4EB2F & 0xFFFFFFFF, np.uint32)
-        for k in range(n):
-            x = (x ^ cps[k:k + m]) * np.uint32(0x9E3779B1)
-            x ^= x >> np.uint32(15)
-        whole = of[:m] == of[n - 1:]
+        x = _buckets(cps, n, bits)
+        whole = of[:len(x)] == of[n - 1:]
         if n == 1:
             whole &= ~gap
-        yield ((x * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits))[whole], of[:m][whole]
+        yield x[whole], of[:len(x)][whole]
+
+
+def _buckets(cps: np.ndarray, n: int, bits: int) -> np.ndarray:
+    m = max(0, len(cps) - n + 1)
+    x = np.full(m, n * 0x27D4EB2F & 0xFFFFFFFF, np.uint32)
+    for k in range(n):
+        x = (x ^ cps[k:k + m]) * np.uint32(0x9E3779B1)
+        x ^= x >> np.uint32(15)
+    return (x * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits)
+
+
+def piecewise(text: str, bits: int, piece: int = _PIECE):
+    """The n-grams of one text, piece by piece: ``(n, buckets)``. The last code points and whether they end in a space go on to
+    the next piece, so all pieces together give what ``ngrams`` gives."""
+    carried, gap_before = np.zeros(0, np.uint32), False
+    whole = f" {text} "
+    for at in range(0, len(whole), piece):
+        cps = _letters()[np.frombuffer(whole[at:at + piece].encode("utf-32-le", "surrogatepass"), np.uint32)]
+        gap = cps == 32
+        cps = cps[~gap | ~np.r_[gap_before, gap[:-1]]]
+        gap_before = bool(gap[-1])
+        joined = np.r_[carried, cps]
+        for n in ORDERS:
+            part = joined[max(0, len(carried) - n + 1):]
+            yield n, _buckets(part[part != 32] if n == 1 else part, n, bits)
+        carried = joined[1 - max(ORDERS):]
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id",
@@ -130,12 +152,11 @@ def _decide(total, letters, model):
 
 
 def _score_long(text: str, model: Model) -> tuple[str, float]:
-    """A text of more than ``_PIECE`` characters, all of it, in pieces that count the prior once."""
-    total, letters, bits = model.log_prior.copy(), 0, len(model.log_prob).bit_length() - 1
-    for at in range(0, len(text), _PIECE):
-        for order, (bucket, _) in zip(ORDERS, ngrams([text[at:at + _PIECE]], bits)):
-            letters += len(bucket) if order == 1 else 0
-            total = total + model.log_prob[bucket].sum(axis=0, dtype=np.float64)
+    """A text of more than ``_PIECE`` characters: the same n-grams, with memory for one piece at a time."""
+    total, letters = model.log_prior.copy(), 0
+    for n, bucket in piecewise(text, len(model.log_prob).bit_length() - 1):
+        letters += len(bucket) if n == 1 else 0
+        total = total + model.log_prob[bucket].sum(axis=0, dtype=np.float64)
     if not model.languages:
         return UNKNOWN, 0.0
     names, share = _decide(total[None, :], np.array([letters]), model)
