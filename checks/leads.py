@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from stormgrid.functions import geo, payload, text
 from stormgrid.operators import qualify, rows
 from stormgrid.plans import maps
+from stormgrid.session import checkpoint_root
+from stormgrid.sinks import tables
 from stormgrid.sources import vendor
-from stormgrid.streaming import jobs
+from stormgrid.streaming import intake, jobs
 
 from .hail import storms
-from .inputs import ctes, fx
+from .inputs import ctes, fx, landed
 from .oracle_parts import STORMS
 
 QUERIES, SQL = {}, {}
@@ -263,6 +267,80 @@ def overdue_jobs(spark, sf):
     return jobs.overdue(ev, "2024-01-03 00:00:00", 300)
 
 
+def landed_events(spark, sf, last=None):
+    """Event records in five files, none in the order of time; ``last`` is the time of one more record, without a job."""
+    record = F.to_json(F.struct("received_at", F.create_map(F.lit("h"), F.lit("v")).alias("headers"), "body"),
+                       {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    lines = fx(spark, sf, "fx_webhook").select(F.pmod(F.xxhash64("event_id"), F.lit(5)).alias("file"),
+                                               F.xxhash64("body", "event_id").alias("ord"), record.alias("line"))
+    path = landed(spark, lines)
+    if last:
+        text = f'{{"received_at":"{last}","headers":{{}},"body":"no job"}}'
+        spark.range(1).select(F.lit(9).alias("file"), F.lit(text).alias("line")).write.mode("append").partitionBy("file").text(path)
+    return path
+
+
+@query("status_stream", f"""with {EVENTS} select job_id, status, received_at from ev where job_id is not null
+qualify row_number() over (partition by job_id order by received_at desc, status desc nulls last) = 1""")
+def status_stream(spark, sf):
+    events = intake.parsed_events(intake.read_events(spark, landed_events(spark, sf), 2))
+    out = f"{checkpoint_root(spark).rstrip('/')}/derived/{uuid.uuid4().hex}"
+    intake.keep_latest_status(events, f"{out}/changes", f"{out}/c").awaitTermination()
+    return intake.current_status(spark, f"{out}/changes").select("job_id", "status", "received_at")
+
+
+@query("overdue_stream", f"""with {EVENTS}, f as (select job_id, min(received_at) as first_seen from ev where job_id is not null group by job_id)
+select job_id, first_seen from f where not exists (select 1 from ev e where e.job_id = f.job_id
+ and e.status in ('complete', 'failed', 'Completed', 'Failed', 'Error') and e.received_at <= f.first_seen + interval 300 second)""")
+def overdue_stream(spark, sf):
+    events = intake.parsed_events(intake.read_events(spark, landed_events(spark, sf, "2100-01-01T00:00:00"), 2))
+    out = f"{checkpoint_root(spark).rstrip('/')}/derived/{uuid.uuid4().hex}"
+    run = (intake.overdue_stream(events, 300, "3650 days").writeStream.format("parquet").option("path", f"{out}/late")
+           .option("checkpointLocation", f"{out}/c").outputMode("append").start())
+    run.processAllAvailable()
+    run.stop()
+    return spark.read.schema("job_id string, first_seen timestamp_ntz").parquet(f"{out}/late")
+
+
+@query("trace_results", f"""with {EVENTS}, d as (select job_id, received_at, event_id % 2 as odd from ev
+ where job_id is not null and status in ('complete', 'failed', 'Completed', 'Failed', 'Error')),
+l as (select job_id, coalesce(min(received_at) filter (odd = 0), min(received_at)) as completed_at from d group by job_id)
+select 10 * cast(job_id as bigint) + k as address_id, job_id as batch_job_id, completed_at from l, (select unnest([0, 1]) as k)""")
+def trace_results(spark, sf):
+    """Stored in two goes, the second with events that were there before; read back from the table."""
+    ev = jobs.parse_events(fx(spark, sf, "fx_webhook"), keep=("event_id",))
+    where = ev.where("job_id is not null").select("job_id").distinct().select(
+        "job_id", F.explode(F.array(*[10 * F.col("job_id").cast("long") + k for k in (0, 1)])).alias("address_id"))
+    path = f"{checkpoint_root(spark).rstrip('/')}/derived/{uuid.uuid4().hex}"
+    for part in (ev.where("event_id % 2 = 0"), ev):
+        tables.store_traces(part, where, path)
+    return spark.read.parquet(path).select("address_id", "batch_job_id", "completed_at")
+
+
+@query("run_log_rows", f"""with {ctes('fx_runs')} select state, 'export' as step, count(*) as runs,
+ sum(case when batch_job_id is null then 1 else 0 end)::bigint as open from fx_runs group by state""")
+def run_log_rows(spark, sf):
+    """A log line per state, written and read back."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/derived/{uuid.uuid4().hex}"
+    found = fx(spark, sf, "fx_runs").groupBy("state").agg(F.count("*").alias("n"), F.count_if(F.col("batch_job_id").isNull()).alias("open"))
+    for r in found.collect():          # four states
+        tables.log_step(spark, path, "2024-01-01 00:00:00", r.state, "export", "ok", f"{r.n}/{r.open}")
+    note = F.split("note", "/")
+    return spark.read.parquet(path).select("state", "step", note[0].cast("long").alias("runs"), note[1].cast("long").alias("open"))
+
+
+@query("counted_appends", f"""with {ctes('fx_runs')} select state, count(*) * 2 as num_rows, max(created_seq) as newest from fx_runs group by state""")
+def counted_appends(spark, sf):
+    """A table replaced, then appended to by its own count; read back."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/derived/{uuid.uuid4().hex}"
+    runs = fx(spark, sf, "fx_runs")
+    tables.replace(runs.limit(1), path)
+    tables.replace(runs, path)
+    if tables.append_counted(runs, path) != runs.count():
+        raise ValueError("the count of rows appended is wrong")
+    return spark.read.parquet(path).groupBy("state").agg(F.count("*").alias("num_rows"), F.max("created_seq").alias("newest"))
+
+
 @query("map_bounds", f"with {STORMS} select min(xmin) as minx, min(ymin) as miny, max(xmax) as maxx, max(ymax) as maxy, (min(ymin) + max(ymax)) / 2 as center_lat, (min(xmin) + max(xmax)) / 2 as center_lon from stats")
 def map_bounds(spark, sf):
     return maps.total_bounds(storms(spark, sf))

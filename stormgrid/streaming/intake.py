@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.binding import let
 from ..operators import rows
-from ..session import staged, staging
+from ..session import staged
 from ..sinks import tables
 from ..sources import addresses, geojson
-from . import jobs
+from . import jobs, keyed
 
 _RECORD = "received_at timestamp_ntz, headers map<string,string>, body string"
 
@@ -54,74 +49,23 @@ def store_events(events: DataFrame, path: str, checkpoint: str) -> StreamingQuer
             .outputMode("append").trigger(availableNow=True).start())
 
 
-def keep_latest_status(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Maintain the latest status per job as a table, read with ``current_status``.
-
-    State lives in the table, not in memory: every micro-batch is reduced to one row per job and
-    merged. Batches write two slots in turn, so while one is rewritten the other holds everything up to
-    the batch before, and repeating a batch after a crash changes nothing.
-    """
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        new = jobs.latest_status(batch, tie="status").drop("num_events")
-        old = _slots(batch.sparkSession, path)
-        both = new if old is None else _newest(new.unionByName(old))
-        with staging(both, "status") as stage:
-            tables.replace(stage, f"{path}/slot{batch_id % 2}")
-
-    return (events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+def keep_latest_status(events: DataFrame, path: str, checkpoint: str, keep_hours: int | None = None) -> StreamingQuery:
+    """Append every change of a job's newest status to a table that ``current_status`` reads; the newest one is keyed state."""
+    return (keyed.status_changes(events, keep_hours).writeStream.format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
 
 
 def current_status(spark: SparkSession, path: str) -> DataFrame:
-    """Latest status per job; right also while a slot is being rewritten."""
-    found = _slots(spark, path)
+    """Latest status per job of a table of changes."""
+    found = tables.existing(spark, path)
     if found is None:
         raise LookupError(f"no status table at {path}")
-    return _newest(found)
-
-
-def _slots(spark: SparkSession, path: str) -> DataFrame | None:
-    found = [t for i in (0, 1) if (t := tables.existing(spark, f"{path}/slot{i}")) is not None]
-    return reduce(DataFrame.unionByName, found) if found else None
-
-
-def _newest(statuses: DataFrame) -> DataFrame:
-    return rows.latest_per(statuses, "job_id", F.struct("received_at", "status"))
+    return rows.latest_per(found, "job_id", F.struct("received_at", "status"))
 
 
 def overdue_stream(events: DataFrame, seconds: int = 300, delay: str = "1 minute", keep_seconds: int = 86_400) -> DataFrame:
-    """``(job_id, first_seen)`` once for every job without a terminal state ``seconds`` after its first event.
-
-    Event-time timers: a job's state is two values. A job that has ended or was reported is remembered for
-    ``keep_seconds`` of event time after its last event, so that events arriving late or again do not open it anew.
-    """
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = state.getCurrentWatermarkMs()
-        if state.hasTimedOut:
-            first, closed = state.get
-            if closed:
-                state.remove()
-                return
-            state.update((first, True))
-            state.setTimeoutTimestamp(max(first // 1000, now) + keep_seconds * 1000)
-            yield pd.DataFrame({"job_id": [key[0]], "first_seen": [pd.Timestamp(first, unit="us")]})
-            return
-        first, closed = state.get if state.exists else (None, False)
-        last = 0
-        for pdf in pdfs:
-            low = int(pdf["event_time"].min().value // 1000)
-            first = low if first is None else min(first, low)
-            last = max(last, int(pdf["event_time"].max().value // 1_000_000))
-            closed = closed or bool(pdf["done"].any())
-        state.update((first, closed))
-        due = max(last, now) + keep_seconds * 1000 if closed else first // 1000 + seconds * 1000
-        state.setTimeoutTimestamp(max(due, now + 1))
-
-    timed = (events.where("job_id is not null")
-             .select("job_id", F.col("received_at").cast("timestamp").alias("event_time"), jobs.is_terminal().alias("done"))
-             .withWatermark("event_time", delay))
-    return timed.groupBy("job_id").applyInPandasWithState(
-        step, "job_id string, first_seen timestamp", "first long, closed boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    """See ``keyed.overdue_jobs``."""
+    return keyed.overdue_jobs(events, seconds, delay, keep_seconds)
 
 
 _LISTED = "path string, modificationTime timestamp, length bigint, content binary"
