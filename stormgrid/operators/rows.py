@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,16 +10,13 @@ from .numbering import ordered_index
 
 
 def pick_per_key(df: DataFrame, keys: list[Column], order: Column, last: bool = False) -> DataFrame:
-    """One whole row per key, the smallest (or largest) ``order``.
+    """One whole row per key, the smallest (or largest) ``order``; a null order comes after all others.
 
-    An aggregate rather than a window: copies of a key merge before the shuffle, so a key with a third
-    of all rows sends one row per task.
+    The planner limits the ranking to the first row of every key before the shuffle as well, so a key with a third of all
+    rows sends one row per task, and rows are sorted, not copied through an aggregation buffer.
     """
-    names = [f"_k{i}" for i in range(len(keys))]
-    pick = F.max_by if last else F.min_by
-    whole = F.struct(*df.columns)
-    return (df.groupBy(*[k.alias(n) for k, n in zip(keys, names)])
-            .agg(pick(whole, order).alias("_row")).select("_row.*"))
+    best = Window.partitionBy(*keys).orderBy(order.desc_nulls_last() if last else order.asc_nulls_last())
+    return df.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
 
 
 def latest_per(df: DataFrame, key: str, order: Column) -> DataFrame:
@@ -108,7 +105,7 @@ def union_windows(parts: list[DataFrame], key: list[str], order: Column | None =
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return out.dropDuplicates(key) if order is None else pick_per_key(out, [F.col(k) for k in key], order)
+    return pick_per_key(out, [F.col(k) for k in key], F.lit(0) if order is None else order)
 
 
 def batches(df: DataFrame, order: list[str], size: int, entry: Column) -> DataFrame:
