@@ -99,9 +99,14 @@ at_shingle as (select doc_id, i - 1 i, array_to_string(w[i:i + 4], ' ') s from d
 found as (select distinct doc_id, license, c, len(wanted) m, s, k << c as start
           from at_shingle join (select license, c, wanted, unnest(wanted) s from lib) using (s),
                unnest([i >> c, (i >> c) - 1]) t(k) where k >= 0),
-wins as (select doc_id, license, start, count(*) / any_value(m) share from found group by all)
-select doc_id, license, max(share) containment, count(*) n_windows, min(start)::bigint first_window
-from wins where share >= 0.8 group by doc_id, license"""
+wins as (select doc_id, license, c, start, any_value(m) m, count(*) / any_value(m) share, list(s) hits from found group by all
+         having count(*) / any_value(m) >= 0.8),
+own as (select * from wins w where not exists (
+          select 1 from wins by_ join lib on lib.license = by_.license where by_.doc_id = w.doc_id and by_.share > w.share
+          and by_.start < w.start + (2 << w.c) and w.start < by_.start + (2 << by_.c)
+          and len(list_filter(w.hits, lambda s: not list_contains(lib.wanted, s))) / w.m < 0.8))
+select doc_id, license, max(share) containment, count(distinct start) n_windows, min(start)::bigint first_window
+from own group by doc_id, license"""
 
 
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

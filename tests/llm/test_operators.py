@@ -336,3 +336,18 @@ def test_chunked_framing():
     assert warc.unchunked(b"3;name=x\r\nabc\r\n0\r\nTrailer: 1\r\n\r\n") == b"abc"
     assert warc.unchunked(b"5\r\nabc\r\n0\r\n\r\n") is None and warc.unchunked(b"zz\r\n") is None
     assert warc._bare(warc.digest(b"q")) == hashlib.sha1(b"q").hexdigest()
+
+
+def test_versions_and_families_are_told_apart(spark):
+    filler = " ".join(f"x{i}" for i in range(60))
+    by_name = dict(licenses.TEMPLATES)
+    families = [n for n in by_name if n.startswith(("GPL", "LGPL", "AGPL", "CC-", "MPL", "EPL", "Apache-2", "MIT", "ISC", "0BSD", "BSL"))]
+    texts = [f"{filler} {by_name[n]} {filler}" for n in families] + [
+        f"{filler} {by_name['GPL-2.0-notice']} {by_name['MIT-notice']} {filler}", f"{by_name['GPL-2.0']} {filler} {by_name['GPL-3.0']}"]
+    got: dict = {}
+    for r in licenses.license_matches(docs_of(spark, texts)).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    contained = {"Apache-2.0": {"Apache-2.0", "Apache-2.0-notice"}}         # the long notice begins with the short one
+    for i, n in enumerate(families):
+        assert got[i] == contained.get(n, {n}), n
+    assert got[len(families)] == {"GPL-2.0-notice", "MIT-notice"} and got[len(families) + 1] == {"GPL-2.0", "GPL-3.0"}
