@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stormgrid.functions import geo
+from stormgrid.functions import geo, sql
 from stormgrid.plans import addresses as plan
 from stormgrid.session import staged
 from stormgrid.sources.addresses import osm_addresses
 
-from .hail import storms
+from .hail import state_storms, storms
 from .inputs import ctes, fx, table
+from .leads import geodesic_sql
 from .oracle_parts import KX, KY, STORMS, dbscan_sql, hull_sql, near_sql, ring_sql, ring_text
 
 QUERIES, SQL = {}, {}
@@ -252,3 +253,43 @@ held as (select storm_id, part from line e where (select min((r.bx - r.ax) * (e.
 select distinct storm_id, part from (select * from cross_ union all select * from held)""")
 def storms_in_area_parts(spark, sf):
     return plan.storms_in_area(parted_storms(spark, sf), CENTER, RADIUS_KM * 1000, convex=False).select("storm_id", "part")
+
+
+@query("sql_grid_join", f"with {ctes('fx_addresses_edge')},\n{STORMS},\n{INSIDE} select id, cluster_id from inside")
+def sql_grid_join(spark, sf):
+    """The join of addresses_in_storm written in SQL: cells of the storms by a table function, the exact test on what meets."""
+    sql.register(spark)
+    storms(spark, sf).createOrReplaceTempView("grid_storms")
+    fx(spark, sf, "fx_addresses_edge").createOrReplaceTempView("grid_addresses")
+    return spark.sql("""
+        WITH covered AS (SELECT s.cluster_id, s.ring, c.gx, c.gy FROM grid_storms s, LATERAL sg_cells(s.xmin, s.ymin, s.xmax, s.ymax, 0.125D) c),
+        placed AS (SELECT id, lon, lat, floor(lon / 0.125D) AS gx, floor(lat / 0.125D) AS gy FROM grid_addresses)
+        SELECT p.id, c.cluster_id FROM placed p JOIN covered c ON p.gx = c.gx AND p.gy = c.gy WHERE sg_contains(c.ring, p.lon, p.lat)""")
+
+
+@query("sql_metres", f"""with {ctes('fx_addresses')}, located as (select id, lon, lat from fx_addresses where lon is not null and lat is not null),
+{geodesic_sql(-88.9, 30.5)} select id, round(d, 1) as metres, round(lon, 6) as lon, round(lat, 6) as lat from dist where d <= 40000""")
+def sql_metres(spark, sf):
+    sql.register(spark)
+    fx(spark, sf, "fx_addresses").createOrReplaceTempView("metre_addresses")
+    return spark.sql("""SELECT id, round(sg_metres(lon, lat, -88.9D, 30.5D), 1) AS metres, round(sg_lon(sg_mercator_x(lon)), 6) AS lon,
+        round(sg_lat(sg_mercator_y(lat)), 6) AS lat FROM metre_addresses WHERE sg_metres(lon, lat, -88.9D, 30.5D) <= 40000""")
+
+
+_BY_STATE = f"""{ctes('fx_hail')},
+{dbscan_sql('lab', 'fx_hail', 0.03, 6, by='state')},
+stats as materialized (select l.state, l.label as cluster_id, max(h.valid) as end_time, min(l.lon) as xmin, min(l.lat) as ymin,
+ max(l.lon) as xmax, max(l.lat) as ymax from lab l join fx_hail h on h.id = l.id where l.label >= 0 group by l.state, l.label),
+hp as (select state, label as cluster_id, lon, lat from lab where label >= 0),
+{hull_sql('edge', 'hp', ['state', 'cluster_id'])}"""
+
+
+@query("addresses_in_storm_by_state", f"""with {_BY_STATE.replace('fx_hail as', ctes('fx_addresses_edge') + ', fx_hail as', 1)}
+select a.id, e.state as storm_state, e.cluster_id from fx_addresses_edge a
+ join stats s on a.lon between s.xmin and s.xmax and a.lat between s.ymin and s.ymax join edge e on e.cluster_id = s.cluster_id and e.state = s.state
+ group by a.id, e.state, e.cluster_id having min((e.bx - e.ax) * (a.lat - e.ay) - (e.by_ - e.ay) * (a.lon - e.ax)) > 0""")
+def addresses_in_storm_by_state(spark, sf):
+    """Storms numbered per state: the same number names several, so the state is part of the key."""
+    by_state = state_storms(spark, sf).withColumnRenamed("state", "storm_state")
+    return plan.in_storms(fx(spark, sf, "fx_addresses_edge"), by_state, ("storm_state", "cluster_id")).select(
+        "id", "storm_state", "cluster_id")

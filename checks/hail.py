@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stormgrid.functions import geo
+from stormgrid.functions import geo, sql
 from stormgrid.operators.hull import convex_hulls, solid
 from stormgrid.plans import hail
 from stormgrid.session import staged
@@ -33,6 +33,14 @@ def storms(spark, sf):
     return _STORMS[key]
 
 
+def state_storms(spark, sf):
+    """The same with storms numbered per state."""
+    key = (spark.sparkContext.applicationId, sf, "state")
+    if key not in _STORMS:
+        _STORMS[key] = staged(hail.hail_boundaries(fx(spark, sf, "fx_hail"), by=["state"]), "hail_boundaries_by_state")
+    return _STORMS[key]
+
+
 @query("hail_clusters", f"with {HAIL},\n{HAIL_STATS} select * from stats")
 def hail_clusters(spark, sf):
     return hail.hail_clusters(fx(spark, sf, "fx_hail"))
@@ -107,3 +115,21 @@ def degenerate_hulls(spark, sf):
     area = F.round(1e9 * geo.area(solid()), 2).alias("area_e9")
     return flat.select(F.col("EVENT_ID").alias("id"), "hull_kind", area, F.col("ring").alias("r")).select(
         "id", "hull_kind", "area_e9", ring_text(F.col("r")).alias("ring"))
+
+
+@query("sql_hulls", f"""with {ctes("fx_storm_details")},
+ok as (select * from fx_storm_details where BEGIN_LAT is not null and BEGIN_LON is not null),
+{hull_sql("edge", "ok", ["EPISODE_ID"], "BEGIN_LON", "BEGIN_LAT")},
+{ring_sql("edge", "EPISODE_ID")}
+select o.EPISODE_ID as episode_id, coalesce(any_value(ring), printf('%.6f %.6f', min(BEGIN_LON), min(BEGIN_LAT))) as ring
+from ok o left join edge_ring r on r.EPISODE_ID = o.EPISODE_ID group by o.EPISODE_ID""")
+def sql_hulls(spark, sf):
+    """Hulls in SQL, those of parts first."""
+    sql.register(spark)
+    fx(spark, sf, "fx_storm_details").where("BEGIN_LAT is not null and BEGIN_LON is not null").createOrReplaceTempView("hull_points")
+    found = spark.sql("""
+        WITH parts AS (SELECT EPISODE_ID, sg_hull(BEGIN_LON, BEGIN_LAT) AS h FROM hull_points
+                       GROUP BY EPISODE_ID, pmod(xxhash64(BEGIN_LON, BEGIN_LAT), 4)),
+        corners AS (SELECT EPISODE_ID, inline(h) FROM parts)
+        SELECT EPISODE_ID AS episode_id, sg_hull(x, y) AS h FROM corners GROUP BY EPISODE_ID""")
+    return found.select("episode_id", ring_text(F.col("h")).alias("ring"))
