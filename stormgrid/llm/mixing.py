@@ -1,8 +1,7 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Every source gets a target size. A document of a source is expected ``target / source size`` times (times its own
-weight, if there is a weight column): the whole part is copied for certain, the rest is its inclusion probability in
-one more draw. For the draw documents are ranked by the odds of a uniform number divided by the odds of their
+Every source gets a target size. A document of a source is expected a number of times that is in proportion to its weight, at
+most ``MOST`` times: the whole part is copied for certain, the rest is its inclusion probability in one more draw. For the draw documents are ranked by the odds of a uniform number divided by the odds of their
 inclusion; the sample takes them in this order up to the size that the target leaves. Nothing is sorted
 whole: the cut in the order is found by summing sizes over bins of the rank, and over the bins of the bin that the
 target falls in, so a source with a third of all rows is a few thousand sums.
@@ -62,9 +61,42 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
                          F.least(cap.cast("double"), F.col("weight") * F.lit(level)).alias("target"))
 
 
+def weight_of(size: Column) -> Column:
+    """A document's weight where the caller gives none: 1 and one more for every doubling of its words, so that at most 64 differ."""
+    return (1 + F.floor(F.log2(1 + size))).cast("double")
+
+
+def levels(rows: DataFrame, sources: DataFrame, most: int) -> DataFrame:
+    """``sources`` plus ``level``: copies of ``least(most, level * weight)`` add up to the target's words.
+
+    Documents that reach ``most`` give their excess to the others of their source: the level rises from round to round, each an
+    aggregate over the sums per source and weight, until no further weight is full. It is infinite where the target takes
+    ``most`` of all that weigh anything.
+    """
+    classes = staged(rows.where("weight > 0").groupBy(F.col("source").alias("_s"), "weight").agg(F.sum("size").alias("n")), "mix-weights")
+    mine = F.col("source").eqNullSafe(F.col("_s"))
+    at = sources.withColumn("level", F.lit(0.0))
+    before = -1
+    while True:
+        is_full = F.col("weight") * F.col("level") >= most
+        sums = classes.join(at, mine).groupBy("_s").agg(
+            F.coalesce(F.sum(F.when(is_full, most * F.col("n"))), F.lit(0)).alias("full"),
+            F.sum(F.when(~is_full, F.col("weight") * F.col("n"))).alias("open"), F.count_if(is_full).alias("k"))
+        raised = sources.join(sums, mine, "left").withColumn("level", F.when(
+            F.coalesce("open", F.lit(0.0)) > 0, (F.col("target") - F.col("full")) / F.col("open")).otherwise(F.lit(float("inf"))))
+        at = staged(raised.select(*sources.columns, "level", F.coalesce("k", F.lit(0)).alias("k")), "mix-level")
+        full = at.agg(F.sum("k")).first()[0] or 0
+        at = at.drop("k")
+        if full == before:
+            break
+        before = full
+    # what only rounding keeps below the most is at the most
+    return at.withColumn("level", F.when(F.col("target") >= most * F.col("source_size"), F.lit(float("inf"))).otherwise(F.col("level")))
+
+
 def _with_copies(sized: DataFrame, sources: DataFrame, most: int) -> DataFrame:
     """Whole copies, and the rank of the rest as an integer of ``_RANK_BITS`` bits (null: no further draw)."""
-    copies = F.least(F.lit(float(most)), F.col("target") / F.col("weighed") * F.col("weight"))
+    copies = F.when(F.col("weight") > 0, F.least(F.lit(float(most)), F.col("level") * F.col("weight"))).otherwise(0.0)
     whole = F.floor(copies)
     rest, u = copies - whole, F.col("u")
     odds = (u / (1 - u)) / (rest / (1 - rest))
@@ -110,18 +142,16 @@ def cuts(ranked: DataFrame) -> DataFrame:
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           weight_col: str | None = None) -> DataFrame:
-    weight = F.lit(1.0) if weight_col is None else F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(0.0)), F.lit(0.0))
+    size = size_of(F.col(text_col))
+    weight = weight_of(size) if weight_col is None else F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(0.0)), F.lit(0.0))
     return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       size_of(F.col(text_col)).alias("size"), weight.alias("weight"),
+                       size.alias("size"), weight.alias("weight"),
                        uniform(row_key(id_col, text_col)).alias("u"))
 
 
 def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """``(source, source_size, target, weighed, cut)``, a row per source, for the rows of ``sized``."""
-    sources = targets(rows, weights, share, most).join(
-        rows.groupBy(F.col("source").alias("_s")).agg(F.sum(F.col("size") * F.col("weight")).alias("weighed")),
-        F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    sources = staged(sources, "mix-targets")
+    """``(source, source_size, target, level, cut)``, a row per source, for the rows of ``sized``."""
+    sources = staged(levels(rows, staged(targets(rows, weights, share, most), "mix-targets"), most), "mix-levels")
     cut = cuts(_with_copies(rows, sources, most)).withColumnRenamed("source", "_s")
     # written, so that the planner knows how small it is and need not deal documents by their source
     return staged(sources.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "mix-plan")
@@ -132,7 +162,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
           most: int = MOST) -> DataFrame:
     """``(doc_id, source, size, source_size, target, copies, taken)``, one row per row of ``docs``.
 
-    Rows that agree in id and text get the same draw. Null texts have size 0 and are never drawn; a null source is
+    A document's chance grows with its weight (``weight_of`` its words unless ``weight_col`` names one): its expected copies are
+    ``least(most, level * weight)``, whole copies are certain and Pareto order sampling draws the rest, random odds over
+    inclusion odds, up to the words that the target leaves. Rows that agree in id and text get the same draw. Null texts have size 0 and are never drawn; a null source is
     a source, the last; a null or negative weight is 0. A table without words takes nothing; an empty one
     gives an empty one.
     """
@@ -153,7 +185,7 @@ def mix_rows(docs: DataFrame, **kw) -> DataFrame:
     per = plan(rows, **kw)
     keep = [c for c in docs.columns if c != "copies"]
     wide = docs.select(F.struct(*keep).alias("_row"), F.col("source").cast("string").alias("source"),
-                       size_of(F.col("text")).alias("size"), F.lit(1.0).alias("weight"),
+                       size_of(F.col("text")).alias("size"), weight_of(size_of(F.col("text"))).alias("weight"),
                        uniform(row_key("doc_id", "text")).alias("u"))
     placed = _with_copies(wide, per, most)
     copies = F.col("whole") + F.coalesce((F.col("rank") <= F.col("cut")) & (F.col("size") > 0), F.lit(False)).cast("long")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stormgrid.llm import katz, langid, quality, runs, warc, whitening, winnowing
+from stormgrid.llm import katz, langid, mixing, quality, runs, warc, whitening, winnowing
 from stormgrid.llm.queries import QUERIES
 
 LONG = " ".join(f"w{i}" for i in range(3000))
@@ -251,3 +251,85 @@ def test_outlier_rows_are_not_dealt_by_group(spark):
     near.collect()
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("Initial Plan")[0]
+
+
+def test_least_determinant_of_the_starts(spark):
+    """Two clouds, the smaller and wider one a quarter: the estimate is that of the narrow one, and no other start ends lower."""
+    rng = np.random.default_rng(4)
+    narrow = rng.normal(size=(760, 5)) @ (np.eye(5) + 0.7 * np.eye(5, k=1)) * 0.8
+    far = rng.normal(size=(240, 5)) * 3 + np.array([9, -7, 8, 6, -9])
+    rows = spark.createDataFrame([("g", *map(float, v)) for v in np.r_[narrow, far]], "grp string, " + ", ".join(f"x{i} double" for i in range(5)))
+    got = quality.estimates(rows.repartition(4)).collect()
+    assert len(got) == 1 and got[0].n == 1000
+    assert np.abs([got[0][f"m{i}"] for i in range(5)] - narrow.mean(0)).max() < 0.2
+    inverse = quality._symmetric(got[0], "v")
+    d2 = np.einsum("ij,jk,ik->i", far - narrow.mean(0), inverse, far - narrow.mean(0))
+    assert (d2 > quality.chi2_quantile(quality.QUANTILE, 5)).mean() > 0.99
+
+
+# the mix -----------------------------------------------------------------------------------------------------------------
+
+def mix_by_hand(rows, weights=(3, 1, 2), share=1.5, most=2):
+    """Copies of every row of ``mixing.sized``: targets, levels, ranks and cuts written out."""
+    size: Counter = Counter()
+    for r in rows:
+        size[r.source] += r.size
+    names = sorted(size, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, open_ = {}, set(names)
+    while open_:
+        level = (share * sum(size.values()) - sum(target.values())) / sum(weight[s] for s in open_)
+        full = {s for s in open_ if weight[s] * level >= most * size[s]}
+        if not full:
+            target |= {s: weight[s] * level for s in open_}
+            break
+        target |= {s: float(most * size[s]) for s in full}
+        open_ -= full
+    out = []
+    for s in names:
+        mine, level, full = [r for r in rows if r.source == s], 0.0, set()
+        while True:
+            left = target[s] - most * sum(r.size for i, r in enumerate(mine) if i in full)
+            spread = sum(r.size * r.weight for i, r in enumerate(mine) if i not in full)
+            level = left / spread if spread > 0 else math.inf
+            more = {i for i, r in enumerate(mine) if r.weight > 0 and r.weight * level >= most}
+            if more <= full:
+                break
+            full |= more
+        if target[s] >= most * size[s]:
+            level = math.inf
+        drawn, taken = [], 0
+        for r in mine:
+            copies = min(float(most), level * r.weight) if r.weight > 0 else 0.0
+            whole, rest = math.floor(copies), copies - math.floor(copies)
+            taken += whole * r.size
+            rank = None
+            if rest > 0:
+                odds = (r.u / (1 - r.u)) / (rest / (1 - rest))
+                rank = math.floor(odds / (1 + odds) * (1 << mixing._RANK_BITS))
+            drawn.append([r, whole, rank])
+        upto, best, cut = 0, abs(target[s] - taken), -1
+        for rank in sorted({d[2] for d in drawn if d[2] is not None and d[0].size > 0}):
+            upto += sum(d[0].size for d in drawn if d[2] == rank)
+            if abs(target[s] - taken - upto) < best:
+                best, cut = abs(target[s] - taken - upto), rank
+        out += [(r.doc_id, whole + (rank is not None and rank <= cut and r.size > 0)) for r, whole, rank in drawn]
+    return sorted(out, key=str), target
+
+
+@pytest.mark.parametrize("case", ["own weights", "given weights"])
+def test_draw_by_brute_force(spark, case):
+    rng = random.Random(7)
+    docs = spark.createDataFrame([(i, " ".join(["w"] * rng.choice([0, 1, 3, 20, 300, 2000])), rng.choice(["a", "a", "a", "b", "c", None]),
+                                   rng.choice([0.0, 1.0, 5.0, 40.0, None])) for i in range(500)],
+                                 "doc_id bigint, text string, source string, importance double").repartition(3)
+    kw = {} if case == "own weights" else {"weight_col": "importance"}
+    want, target = mix_by_hand(mixing.sized(docs, **kw).collect())
+    got = mixing.mixed(docs, **kw).collect()
+    assert sorted(((r.doc_id, r.copies) for r in got), key=str) == want
+    assert {r.source: pytest.approx(r.target) for r in got} == target
+    by_size = defaultdict(list)
+    for r in got:
+        by_size[r.source, r.size].append(r.copies)
+    if case == "own weights":           # unequal chances: the long ones come more often
+        assert np.mean(by_size["a", 2000]) > np.mean(by_size["a", 3])

@@ -267,9 +267,9 @@ def test_moderate_outliers_in_each_feature(spark):
 
 def test_floor_is_no_addition():
     wide = np.diag(np.square([2 * f for f in quality.FLOORS]))
-    row = quality._parameters("g", 1, np.zeros(5), wide).iloc[0]
+    row = quality._parameters("g", 0, 1, np.zeros(5), wide).iloc[0]
     assert [row[f"v{i}{i}"] for i in range(5)] == pytest.approx([1 / wide[i, i] for i in range(5)])
-    flat = quality._parameters("g", 1, np.zeros(5), np.zeros((5, 5))).iloc[0]
+    flat = quality._parameters("g", 0, 1, np.zeros(5), np.zeros((5, 5))).iloc[0]
     assert [flat[f"v{i}{i}"] for i in range(5)] == pytest.approx([f ** -2 for f in quality.FLOORS])
 
 
