@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.rows import pick_per_key
 from ..session import staged
 from .common import row_ranges
 
@@ -28,7 +29,9 @@ LEAST_WORDS = 50        # fewer fail the base rules
 #: would reject the first with one.
 FLOORS = tuple(c / LEAST_WORDS ** 0.5 for c in (1, 0.5, 0.5 / 5 ** 0.5, 0.5, 0.5 * 3 ** 0.5))
 SUPPORT = 0.75          # share of a group that the estimate rests on
-STEPS = 6               # concentration steps
+STEPS = 12              # concentration steps at most; they end when no determinant falls any more
+_FALL = 1e-3            # of the determinant's logarithm
+STARTS = ("quartiles", "tanh", "signs", "moments")
 MIN_GROUP = 200         # smaller groups are judged by the estimate of their language
 QUANTILE = 0.999        # of the chi-square distribution of squared distances
 _P = len(FLOORS)
@@ -111,20 +114,21 @@ def chi2_quantile(q: float, k: int) -> float:
 
 
 _CONSISTENCY = SUPPORT / chi2_cdf(chi2_quantile(SUPPORT, _P), _P + 2)
-_PARAMS = "grp string, n bigint, " + ", ".join(f"m{i} double" for i in range(_P)) + ", " + ", ".join(
+_PARAMS = "grp string, start int, n bigint, logdet double, " + ", ".join(f"m{i} double" for i in range(_P)) + ", " + ", ".join(
     f"v{i}{j} double" for i, j in _CROSS)
 
 
-def _parameters(grp: str, n: int, mean: np.ndarray, cov: np.ndarray) -> pd.DataFrame:
+def _parameters(grp: str, start: int, n: int, mean: np.ndarray, cov: np.ndarray) -> pd.DataFrame:
     """In units of the floors a variance below 1, in whatever direction, is taken as 1; wider ones stay as they are."""
     unit = np.outer(FLOORS, FLOORS)
     spread, axes = np.linalg.eigh(cov / unit)
-    inverse = (axes / np.maximum(spread, 1.0)) @ axes.T / unit
-    return pd.DataFrame([[grp, n, *mean, *(inverse[i, j] for i, j in _CROSS)]],
+    spread = np.maximum(spread, 1.0)
+    inverse = (axes / spread) @ axes.T / unit
+    return pd.DataFrame([[grp, start, n, float(np.log(spread).sum()), *mean, *(inverse[i, j] for i, j in _CROSS)]],
                         columns=[x.split()[0] for x in _PARAMS.split(", ")])
 
 
-def _start(pdf: pd.DataFrame) -> pd.DataFrame:
+def _quartiles(pdf: pd.DataFrame) -> pd.DataFrame:
     """Centre and spread of each feature by its median and quartiles, read off the histogram of one group."""
     mean, width, n = np.zeros(_P), np.ones(_P), 0
     for k, part in pdf.groupby("k"):
@@ -132,11 +136,32 @@ def _start(pdf: pd.DataFrame) -> pd.DataFrame:
         upto, n = part["n"].cumsum().to_numpy(), int(part["n"].sum())
         low, mid, high = (part["bin"].to_numpy()[np.searchsorted(upto, q * n)] / 64 for q in (0.25, 0.5, 0.75))
         mean[k], width[k] = mid, (high - low) / 1.349
-    return _parameters(pdf["grp"].iloc[0], n, mean, np.diag(width ** 2))
+    return _parameters(pdf["grp"].iloc[0], 0, n, mean, np.diag(width ** 2))
+
+
+def _symmetric(row, name: str) -> np.ndarray:
+    out = np.zeros((_P, _P))
+    for i, j in _CROSS:
+        out[i, j] = out[j, i] = getattr(row, f"{name}{i}{j}")
+    return out
+
+
+def _starts(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The other deterministic starts of one group: correlation of the tanh of standardised features, their spatial signs (both at
+    the medians, in the widths of the quartiles), and plain moments."""
+    r = next(pdf.itertuples())
+    centre = np.array([getattr(r, f"m{i}") for i in range(_P)])
+    width = np.array([getattr(r, f"w{i}") for i in range(_P)])
+    tanh, mean = _symmetric(r, "t"), np.array([getattr(r, f"a{i}") for i in range(_P)])
+    scale = np.sqrt(np.maximum(np.diag(tanh), 1e-12))
+    found = [(centre, tanh / np.outer(scale, scale) * np.outer(width, width)),
+             (centre, _symmetric(r, "g") * _P * np.outer(width, width)),
+             (mean, _symmetric(r, "p") - np.outer(mean, mean))]
+    return pd.concat([_parameters(r.grp, k, r.n, m, c) for k, (m, c) in enumerate(found, 1)])
 
 
 def _concentrate(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Mean and covariance of the nearest bins that hold the supporting share of one group."""
+    """Mean and covariance of the nearest bins that hold the supporting share of one group, from one start."""
     pdf = pdf.sort_values("bin")
     n = int(pdf["n"].sum())
     part = pdf.iloc[: int(np.searchsorted(pdf["n"].cumsum().to_numpy(), SUPPORT * n)) + 1]
@@ -145,7 +170,7 @@ def _concentrate(pdf: pd.DataFrame) -> pd.DataFrame:
     cov = np.zeros((_P, _P))
     for i, j in _CROSS:
         cov[i, j] = cov[j, i] = part[f"c{i}{j}"].sum() / h - mean[i] * mean[j]
-    return _parameters(pdf["grp"].iloc[0], n, mean, cov * (_CONSISTENCY if h < n else 1.0))
+    return _parameters(pdf["grp"].iloc[0], int(pdf["start"].iloc[0]), n, mean, cov * (_CONSISTENCY if h < n else 1.0))
 
 
 def _with_distance(rows: DataFrame, params: DataFrame, how: str) -> DataFrame:
@@ -155,21 +180,38 @@ def _with_distance(rows: DataFrame, params: DataFrame, how: str) -> DataFrame:
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """MCD parameters per ``grp`` of ``rows(grp, x0..x4)``.
+    """MCD parameters per ``grp`` of ``rows(grp, x0..x4)``: of the ``STARTS`` the one that ends with the least determinant.
 
-    Each concentration step writes them as a small table: documents meet it as a broadcast of measured size and are not dealt by
-    group, and their sums merge by group and bin before any shuffle.
+    All starts step side by side in the same aggregates until no determinant falls any more. Each step writes the parameters as a
+    small table: documents meet it as a broadcast of measured size and are not dealt by group, and their sums merge by group,
+    start and bin before any shuffle.
     """
     bins = rows.select("grp", F.posexplode(F.array(*[F.round(64 * F.col(f"x{i}")).cast("int") for i in range(_P)]))
                        .alias("k", "bin")).groupBy("grp", "k", "bin").agg(F.count("*").alias("n"))
-    params = staged(bins.groupBy("grp").applyInPandas(_start, _PARAMS), "quality-start")
+    first = staged(bins.groupBy("grp").applyInPandas(_quartiles, _PARAMS), "quality-start")
+    widths = first.select("grp", "n", *[f"m{i}" for i in range(_P)], *[
+        (1 / F.sqrt(F.col(f"v{i}{i}"))).alias(f"w{i}") for i in range(_P)])
+    z = [(F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"w{i}") for i in range(_P)]
+    shaped = rows.join(widths.drop("n"), "grp").withColumns({f"z{i}": z[i] for i in range(_P)}).withColumn(
+        "norm", F.greatest(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(_P)), F.lit(0.0)), F.lit(1e-12)))
+    moments = shaped.groupBy("grp").agg(
+        *[F.avg(f"x{i}").alias(f"a{i}") for i in range(_P)],
+        *[F.avg(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}{j}") for i, j in _CROSS],
+        *[F.avg(F.tanh(f"z{i}") * F.tanh(f"z{j}")).alias(f"t{i}{j}") for i, j in _CROSS],
+        *[F.avg(F.col(f"z{i}") * F.col(f"z{j}") / F.col("norm")).alias(f"g{i}{j}") for i, j in _CROSS])
+    others = moments.join(widths, "grp").groupBy("grp").applyInPandas(_starts, _PARAMS)
+    params, ends = staged(first.unionByName(others), "quality-start"), None
     for _ in range(STEPS):
         near = _with_distance(rows, params, "inner").withColumn("bin", F.floor(16 * F.log2(1 + F.col("d2"))))
-        sums = near.groupBy("grp", "bin").agg(
+        sums = near.groupBy("grp", "start", "bin").agg(
             F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(_P)],
             *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"c{i}{j}") for i, j in _CROSS])
-        params = staged(sums.groupBy("grp").applyInPandas(_concentrate, _PARAMS), "quality-step")
-    return params
+        params = staged(sums.groupBy("grp", "start").applyInPandas(_concentrate, _PARAMS), "quality-step")
+        before, ends = ends, params.select("grp", "start", F.col("logdet").alias("was"))
+        if before is not None and params.join(before, ["grp", "start"]).where(F.col("logdet") < F.col("was") - _FALL).isEmpty():
+            break
+    best = pick_per_key(params, [F.col("grp")], F.struct("logdet", "start"))
+    return staged(best.drop("logdet"), "quality-best")
 
 
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
@@ -193,7 +235,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sour
     groups = sized.select("_fine", "grp")
     params = estimates(staged(_rows(judgeable, groups), "quality-groups")).where(F.col("n") >= min_group)
     limit = chi2_quantile(quantile, _P)
-    found = _with_distance(stats.join(groups, "_fine", "left"), params, "left")
+    found = _with_distance(stats.join(groups, "_fine", "left"), params.drop("start"), "left")
     verdict = F.coalesce(F.col("d2") <= limit, F.lit(True))
     seen = F.when(~F.col("base_failed") & F.col("m0").isNotNull(), F.col("d2"))
     return found.select(*[F.col(i).alias(k) for i, k in zip(ids, keep)], *COUNTS, "base_failed", seen.alias("d2"),
