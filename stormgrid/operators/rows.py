@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .numbering import ordered_index
+from .numbering import ranges
 
 
 def pick_per_key(df: DataFrame, keys: list[Column], order: Column, last: bool = False) -> DataFrame:
@@ -109,8 +109,22 @@ def union_windows(parts: list[DataFrame], key: list[str], order: Column | None =
 
 
 def batches(df: DataFrame, order: list[str], size: int, entry: Column) -> DataFrame:
-    """Rows in ``order`` cut into batches: ``(batch_id, num_rows, entries)``; a group holds ``size`` rows."""
-    numbered = ordered_index(df.select(*order, entry.alias("entry")), order)
-    return (numbered.groupBy(F.floor(F.col("idx") / size).alias("batch_id"))
-            .agg(F.count("*").alias("num_rows"), F.sort_array(F.collect_list(F.struct("idx", "entry"))).alias("e"))
-            .select("batch_id", "num_rows", F.transform("e", lambda r: r["entry"]).alias("entries")))
+    """Rows in ``order`` cut into batches: ``(batch_id, num_rows, entries)``; a group holds ``size`` rows.
+
+    Rows are dealt by range once and cut where they are sorted; only batches that lie across the border of two ranges are
+    put together afterwards.
+    """
+    rows = df.select(*order, entry.alias("entry"))
+    most = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + rows.count() // (8 * size))
+    cut = ranges(rows, order, most)
+    start, end = (F.element_at(F.lit(cut.starts).cast("array<long>"), F.col("_part") + k) for k in (1, 2))
+    numbered = rows.withColumn("_part", cut.part).withColumn(
+        "idx", start + F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1)
+    parts = numbered.groupBy("_part", F.floor(F.col("idx") / size).alias("batch_id")).agg(
+        F.count("*").alias("num_rows"), F.sort_array(F.collect_list(F.struct("idx", "entry"))).alias("e"))
+    first = F.col("batch_id") * size
+    whole = (first >= start) & ((first + size <= end) | (end == cut.starts[-1]))
+    joined = parts.where(~whole).groupBy("batch_id").agg(F.sum("num_rows").alias("num_rows"), F.sort_array(
+        F.flatten(F.collect_list("e"))).alias("e"))
+    return parts.where(whole).select("batch_id", "num_rows", "e").unionByName(joined).select(
+        "batch_id", "num_rows", F.transform("e", lambda r: r["entry"]).alias("entries"))
