@@ -354,6 +354,20 @@ def map_centroid(spark, sf):
     return maps.joint_centroid(storms(spark, sf)).select(F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
 
 
+_RECT = "(c_custkey * 37) % 100 as x, (c_custkey * 61) % 80 as y, 3 + c_custkey % 7 as w, 2 + c_custkey % 5 as h"
+
+
+@query("union_centroid", f"""with r as (select {_RECT} from customer), units as (select distinct x + i as x, y + j as y from r, unnest(range(w)) a(i), unnest(range(h)) b(j))
+select count(*)::double as area, round(avg(x + 0.5), 6) as lon, round(avg(y + 0.5), 6) as lat from units""")
+def union_centroid(spark, sf):
+    """Overlapping rectangles, counted once."""
+    from .inputs import table
+    at = lambda a, b: geo.vertex(F.expr(a).cast("double"), F.expr(b).cast("double"))
+    ring = F.array(at("x", "y"), at("x + w", "y"), at("x + w", "y + h"), at("x", "y + h"), at("x", "y"))
+    shapes = table(spark, sf, "customer").selectExpr(*_RECT.split(", ")).select(ring.alias("ring")).withColumns(geo.bounds(F.col("ring")))
+    return maps.union_centroid(shapes).select(F.round("area", 6).alias("area"), F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
+
+
 @query("map_colors", f"""with {STORMS}, n as (select cluster_id, num_points, cast(cluster_id as bigint) as c from stats)
 select cluster_id, num_points, '#' || lpad(lower(to_hex((c * 2654435761) & 16777215)), 6, '0') as color, '#' || lpad(lower(to_hex((xor(c, 5614165) * 2654435761) & 16777215)), 6, '0') as address_color from n""")
 def map_colors(spark, sf):

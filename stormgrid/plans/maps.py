@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
+from ..operators.union import union_centroid  # noqa: F401 - part of this surface
 
 
 def hail_markers(points: DataFrame, size: str = "maxsize", severity: str = "sevprob", typical: float = 5.0,
@@ -27,7 +28,7 @@ def total_bounds(shapes: DataFrame) -> DataFrame:
 
 
 def joint_centroid(shapes: DataFrame, ring: str = "ring") -> DataFrame:
-    """Area-weighted centroid of all (disjoint) polygons; one partial sum per task."""
+    """Area-weighted centroid of disjoint polygons; one partial sum per task. ``union_centroid`` counts overlaps once."""
     c, a = geo.centroid(F.col(ring)), geo.area(F.col(ring))
     return (shapes.select(c.alias("c"), a.alias("a"))
             .agg((F.sum(F.col("c.x") * F.col("a")) / F.sum("a")).alias("lon"), (F.sum(F.col("c.y") * F.col("a")) / F.sum("a")).alias("lat")))
