@@ -16,7 +16,7 @@ from stormgrid.streaming import intake, jobs
 
 from .hail import storms
 from .inputs import ctes, fx, landed
-from .oracle_parts import STORMS
+from .oracle_parts import STORMS, ring_sql, ring_text
 
 QUERIES, SQL = {}, {}
 CAP = 1_000_000
@@ -115,21 +115,24 @@ _SEARCH = """'{"externalId":"' || cast(o_orderkey as string) || '","property":{"
 
 @query("search_properties", f"""with s as (select {_SEARCH} as body from orders)
 select cast({js('externalId')} as bigint) as address_id, {js('property.parcelId')} as parcel_id, cast({js('property.sqFt')} as integer) as sq_ft,
- cast({js('property.yearBuilt')} as integer) as year_built, cast({js('property.assessedValue')} as double) as assessed_value from s""")
+ cast({js('property.yearBuilt')} as integer) as year_built, cast({js('property.assessedValue')} as double) as assessed_value,
+ {js('property.parcelId')} as raw_parcel, cast(json_array_length(body, '$.owners') as integer) as raw_owners from s""")
 def search_properties(spark, sf):
     from .inputs import table
     src = table(spark, sf, "orders").select(F.expr(_SEARCH).alias("body"))
-    return vendor.search_properties(vendor.parse_results(src)).drop("metadata")
+    raw = lambda path: F.get_json_object("metadata", path)
+    return vendor.search_properties(vendor.parse_results(src)).withColumns({
+        "raw_parcel": raw("$.property.parcelId"), "raw_owners": F.json_array_length(raw("$.owners"))}).drop("metadata")
 
 
 @query("search_owners", f"""with s as (select {_SEARCH} as body from orders),
 o as (select cast({js('externalId')} as bigint) as address_id, unnest(cast(json_extract(body, '$.owners') as json[])) as o from s)
 select address_id, json_extract_string(o, '$.name') as name, json_extract_string(o, '$.phone') as phone, json_extract_string(o, '$.email') as email,
- json_extract_string(o, '$.mailingAddress') as mailing_address from o""")
+ json_extract_string(o, '$.mailingAddress') as mailing_address, json_extract_string(o, '$.email') as raw_email from o""")
 def search_owners(spark, sf):
     from .inputs import table
     src = table(spark, sf, "orders").select(F.expr(_SEARCH).alias("body"))
-    return vendor.search_owners(vendor.parse_results(src)).drop("metadata")
+    return vendor.search_owners(vendor.parse_results(src)).withColumn("raw_email", F.get_json_object("metadata", "$.email")).drop("metadata")
 
 
 @query("leads_strict", f"""with {ctes('fx_properties')}, v as (select *, coalesce(cast(total_market_value as double), cast(total_assessed_value as double)) as value_used from fx_properties)
@@ -381,24 +384,29 @@ def _ring_sum(ring):
     return F.aggregate(ring, F.lit(0.0), lambda s, p: s + r(p[0], 1e4) + 3 * r(p[1], 1e4) + r(p[0], 1e2) * r(p[1], 1e2)).cast("long")
 
 
-@query("geojson_features", f"""with {STORMS} select s.cluster_id, 'Polygon' as kind, s.num_points, min(e.ax) as start_lon, arg_min(e.ay, (e.ax, e.ay)) as start_lat,
+@query("geojson_features", f"""with {STORMS}, {ring_sql('edge', 'cluster_id')} select s.cluster_id, 'Polygon' as kind, s.num_points, min(e.ax) as start_lon, arg_min(e.ay, (e.ax, e.ay)) as start_lat,
  count(*) as vertices, cast(round(sum(round(e.ax * 1e4) + 3 * round(e.ay * 1e4) + round(e.ax * 1e2) * round(e.ay * 1e2))) as bigint) as ring_sum,
- 'POLYGON ((' as wkt_head from stats s join edge e on e.cluster_id = s.cluster_id group by s.cluster_id, s.num_points""")
+ any_value(ring) as wkt_ring from stats s join edge e on e.cluster_id = s.cluster_id join edge_ring r on r.cluster_id = s.cluster_id
+ group by s.cluster_id, s.num_points""")
 def geojson_features(spark, sf):
     f = storms(spark, sf).select("cluster_id", maps.feature(geo.geojson_polygon(F.col("ring")), ["cluster_id", "num_points"]).alias("f"),
                                  geo.wkt_polygon(F.col("ring")).alias("w"))
     at = lambda path, kind: F.get_json_object("f", path).cast(kind)
     closed = F.from_json(F.get_json_object("f", "$.geometry.coordinates[0]"), "array<array<double>>")
     f = f.withColumn("closed", closed).withColumn("ring", F.slice("closed", 1, F.size("closed") - 1))
+    number = lambda p, i: F.split(p, " ")[i].cast("double")
+    wkt = F.transform(F.split(F.regexp_extract("w", r"^POLYGON \(\((.*)\)\)$", 1), ", "), lambda p: geo.vertex(number(p, 0), number(p, 1)))
     return f.select("cluster_id", at("$.geometry.type", "string").alias("kind"), at("$.properties.num_points", "long").alias("num_points"),
                     at("$.geometry.coordinates[0][0][0]", "double").alias("start_lon"),
                     at("$.geometry.coordinates[0][0][1]", "double").alias("start_lat"), 
-                    F.size("ring").cast("long").alias("vertices"), _ring_sum("ring").alias("ring_sum"), F.left("w", F.lit(10)).alias("wkt_head"))
+                    F.size("ring").cast("long").alias("vertices"), _ring_sum("ring").alias("ring_sum"), ring_text(wkt).alias("wkt_ring"))
 
 
-@query("address_point_features", f"""with {ctes('fx_addresses')} select id, cast(json_extract(f, '$.properties.zip') as varchar) as zip, json_extract_string(f, '$.geometry.type') as kind
- from (select id, to_json({{'geometry': {{'type': 'Point'}}, 'properties': {{'zip': cast(zip as integer)}}}}) as f from fx_addresses)""")
+@query("address_point_features", f"""with {ctes('fx_addresses')} select id, cast(json_extract(f, '$.properties.zip') as varchar) as zip, json_extract_string(f, '$.geometry.type') as kind,
+ round(lon, 6) as lon, round(lat, 6) as lat
+ from (select id, lon, lat, to_json({{'geometry': {{'type': 'Point'}}, 'properties': {{'zip': cast(zip as integer)}}}}) as f from fx_addresses)""")
 def address_point_features(spark, sf):
     f = maps.feature(geo.geojson_point("lon", "lat"), ["id", "zip"])
     return fx(spark, sf, "fx_addresses").select("id", f.alias("f")).select(
-        "id", F.get_json_object("f", "$.properties.zip").alias("zip"), F.get_json_object("f", "$.geometry.type").alias("kind"))
+        "id", F.get_json_object("f", "$.properties.zip").alias("zip"), F.get_json_object("f", "$.geometry.type").alias("kind"),
+        *[F.round(F.get_json_object("f", f"$.geometry.coordinates[{i}]").cast("double"), 6).alias(c) for i, c in enumerate(("lon", "lat"))])
