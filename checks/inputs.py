@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stormgrid.session import checkpoint_root, spread
+from stormgrid.session import checkpoint_root, for_session, spread
 
 # name -> (base table, SQL)
 FX: dict[str, tuple[str, str]] = {
@@ -99,7 +99,7 @@ def landed(spark: SparkSession, lines: DataFrame, line_sep: str = "\n") -> str:
     path = f"{checkpoint_root(spark).rstrip('/')}/derived/{uuid.uuid4().hex}"
     (lines.repartition("file").sortWithinPartitions("file", "ord").select("file", "line")
      .write.partitionBy("file").option("lineSep", line_sep).text(path))
-    return path
+    return for_session(spark, path)
 
 
 def ctes(*names: str) -> str:

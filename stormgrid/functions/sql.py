@@ -6,7 +6,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import PandasUDFType, pandas_udf, udtf
+from pyspark.sql.functions import pandas_udf, udtf
 
 from ..operators import hull
 
@@ -73,6 +73,6 @@ def register(spark: SparkSession) -> list[str]:
     """
     for head, body in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
-    spark.udf.register("sg_hull", pandas_udf(_hull, _RING.lower().replace(": ", ":"), PandasUDFType.GROUPED_AGG))
+    spark.udf.register("sg_hull", pandas_udf(_hull, _RING.lower().replace(": ", ":")))
     spark.udtf.register("sg_cells", udtf(Cells, returnType="gx bigint, gy bigint"))
     return [*[h.split("(")[0] for h in FUNCTIONS], "sg_hull", "sg_cells"]

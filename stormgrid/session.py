@@ -53,15 +53,23 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def for_session(spark: SparkSession, path: str) -> str:
+    """``path``, to be removed when the application ends: its frames read it until then."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Unlike a checkpoint the result is columnar, pruned on read, and has file statistics, so the
-    planner knows its real size when it decides about broadcasting.
+    planner knows its real size when it decides about broadcasting. The table goes when the application ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    for_session(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

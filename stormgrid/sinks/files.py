@@ -12,13 +12,15 @@ from ..plans import maps
 from . import tables
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, at_most: int | None = None) -> None:
     """CSV with a header in every file, also when there are no rows; nested columns as JSON text.
 
-    ``single_file`` is for results with a row limit.
+    With ``at_most`` the result is one file; more rows than that are an error, as one task writes them.
     """
     flat = df.select(*text.flat_text(df))
-    if single_file:
+    if at_most is not None:
+        if flat.limit(at_most + 1).count() > at_most:
+            raise ValueError(f"more than {at_most} rows for one file")
         flat = flat.coalesce(1)
     flat.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
@@ -28,19 +30,19 @@ def write_features(df: DataFrame, path: str, geometry, properties: list[str]) ->
     df.select(maps.feature(geometry, properties).alias("value")).write.mode("overwrite").text(path)
 
 
-def export_targets(targets: DataFrame, path: str, runs_path: str, run: dict) -> None:
+def export_targets(targets: DataFrame, path: str, runs_path: str, run: dict, at_most: int = 100_000) -> None:
     """Write a target list and its own run row (``run`` holds run_id, state, created_at)."""
-    write_csv(targets, path, single_file=True)
+    write_csv(targets, path, at_most)
     spark = targets.sparkSession
     row = spark.createDataFrame([(run["run_id"], run["state"], path, run["created_at"])],
                                 "run_id long, state string, output_path string, created_at string")
     rows.align(row, tables._schema(spark, schemas.RUNS)).write.mode("append").parquet(runs_path)
 
 
-def export_leads(leads: DataFrame, prefix: str) -> None:
+def export_leads(leads: DataFrame, prefix: str, at_most: int = 100_000) -> None:
     """The full list with diagnostics, and the short list for the vendor."""
-    write_csv(leads, f"{prefix}_full.csv", single_file=True)
-    write_csv(leads.select("street", "city", "state", "zip"), f"{prefix}_vendor.csv", single_file=True)
+    write_csv(leads, f"{prefix}_full.csv", at_most)
+    write_csv(leads.select("street", "city", "state", "zip"), f"{prefix}_vendor.csv", at_most)
 
 
 def split_requests(batches: DataFrame, path: str) -> None:

@@ -78,10 +78,12 @@ def test_runs_export_update_and_log(spark, tmp_path):
 
 def test_csv_header_without_rows(spark, tmp_path):
     p = str(tmp_path / "e.csv")
-    files.write_csv(spark.range(0).select("id", F.lit("x").alias("b")), p, single_file=True)
+    files.write_csv(spark.range(0).select("id", F.lit("x").alias("b")), p, at_most=5)
     assert lines(p) == ["id,b"]
     q = str(tmp_path / "f.csv")
-    files.write_csv(spark.sql("select 1 id, 'x' b").where("id > 5").orderBy("id").limit(3), q, single_file=True)
+    with pytest.raises(ValueError):
+        files.write_csv(spark.range(9), str(tmp_path / "more"), at_most=5)
+    files.write_csv(spark.sql("select 1 id, 'x' b").where("id > 5").orderBy("id").limit(3), q, at_most=5)
     assert lines(q) == ["id,b"]
 
 
