@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stormgrid.llm import langid, lines, mixing, simhash, winnowing
 from stormgrid.llm.common import table
-from stormgrid.session import checkpoint_root
+from stormgrid.session import checkpoint_root, for_session
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,5 +53,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (_, stage) in enumerate(STAGES):
         path = f"{base}/{i}"
         stage(spark, docs, sf_dir).write.parquet(path)
+        for_session(spark, path)
         docs = spark.read.parquet(path)
     return docs
