@@ -74,5 +74,5 @@ def register(spark: SparkSession) -> list[str]:
     for head, body in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
     spark.udf.register("sg_hull", pandas_udf(_hull, _RING.lower().replace(": ", ":")))
-    spark.udtf.register("sg_cells", udtf(Cells, returnType="gx bigint, gy bigint"))
+    spark.udtf.register("sg_cells", udtf(Cells, returnType="gx bigint, gy bigint", useArrow=True))
     return [*[h.split("(")[0] for h in FUNCTIONS], "sg_hull", "sg_cells"]
