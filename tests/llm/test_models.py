@@ -253,20 +253,6 @@ def test_outlier_rows_are_not_dealt_by_group(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("Initial Plan")[0]
 
 
-def test_least_determinant_of_the_starts(spark):
-    """Two clouds, the smaller and wider one a quarter: the estimate is that of the narrow one, and no other start ends lower."""
-    rng = np.random.default_rng(4)
-    narrow = rng.normal(size=(760, 5)) @ (np.eye(5) + 0.7 * np.eye(5, k=1)) * 0.8
-    far = rng.normal(size=(240, 5)) * 3 + np.array([9, -7, 8, 6, -9])
-    rows = spark.createDataFrame([("g", *map(float, v)) for v in np.r_[narrow, far]], "grp string, " + ", ".join(f"x{i} double" for i in range(5)))
-    got = quality.estimates(rows.repartition(4)).collect()
-    assert len(got) == 1 and got[0].n == 1000
-    assert np.abs([got[0][f"m{i}"] for i in range(5)] - narrow.mean(0)).max() < 0.2
-    inverse = quality._symmetric(got[0], "v")
-    d2 = np.einsum("ij,jk,ik->i", far - narrow.mean(0), inverse, far - narrow.mean(0))
-    assert (d2 > quality.chi2_quantile(quality.QUANTILE, 5)).mean() > 0.99
-
-
 # the mix -----------------------------------------------------------------------------------------------------------------
 
 def mix_by_hand(rows, weights=(3, 1, 2), share=1.5, most=2):
