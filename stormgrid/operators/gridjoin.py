@@ -26,16 +26,20 @@ def _side(level: Column) -> Column:
     return F.pow(F.lit(2.0), level.cast("double"))
 
 
-def cover(polys: DataFrame, pad_x=0.0, pad_y=0.0, box=("xmin", "ymin", "xmax", "ymax")) -> DataFrame:
-    """One row per polygon and grid cell: adds ``_lv, _gx, _gy``."""
+def ranges(polys: DataFrame, pad_x=0.0, pad_y=0.0, box=("xmin", "ymin", "xmax", "ymax")) -> DataFrame:
+    """Adds ``_lv`` and the first and last cell in either direction: ``_gx0, _gx1, _gy0, _gy1``."""
     px, py = (p if isinstance(p, Column) else F.lit(float(p)) for p in (pad_x, pad_y))
     x0, y0, x1, y1 = (F.col(c) for c in box)
     df = polys.withColumns({"_x0": x0 - px, "_x1": x1 + px, "_y0": y0 - py, "_y1": y1 + py})
     df = df.withColumn("_lv", _level(F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))))
     s = _side(F.col("_lv"))
-    return (df.withColumn("_gx", F.explode(F.sequence(F.floor(F.col("_x0") / s), F.floor(F.col("_x1") / s))))
-            .withColumn("_gy", F.explode(F.sequence(F.floor(F.col("_y0") / s), F.floor(F.col("_y1") / s))))
-            .drop("_x0", "_x1", "_y0", "_y1"))
+    return df.withColumns({f"_g{c}": F.floor(F.col(f"_{c}") / s) for c in ("x0", "x1", "y0", "y1")}).drop("_x0", "_x1", "_y0", "_y1")
+
+
+def cover(polys: DataFrame, pad_x=0.0, pad_y=0.0, box=("xmin", "ymin", "xmax", "ymax")) -> DataFrame:
+    """One row per polygon and grid cell: adds ``_lv, _gx, _gy``."""
+    return (ranges(polys, pad_x, pad_y, box).withColumn("_gx", F.explode(F.sequence("_gx0", "_gx1")))
+            .withColumn("_gy", F.explode(F.sequence("_gy0", "_gy1"))).drop("_gx0", "_gx1", "_gy0", "_gy1"))
 
 
 def levels_in_use(covered: DataFrame) -> list[int]:

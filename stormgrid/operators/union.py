@@ -32,8 +32,7 @@ def _cover(polys: DataFrame, level: int) -> DataFrame:
 
 
 def _narrowed(cells: DataFrame) -> DataFrame:
-    keep = ["_pid", "_lv", "_gx", "_gy"]
-    return cellindex._narrowed(cells, keep, cellindex._box(F.col("_lv"), F.col("_gx"), F.col("_gy")), convex=False)
+    return cellindex.narrowed(cells, ["_pid"])
 
 
 def _settled(pdf: pd.DataFrame) -> pd.DataFrame:
