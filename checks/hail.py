@@ -124,12 +124,15 @@ ok as (select * from fx_storm_details where BEGIN_LAT is not null and BEGIN_LON
 select o.EPISODE_ID as episode_id, coalesce(any_value(ring), printf('%.6f %.6f', min(BEGIN_LON), min(BEGIN_LAT))) as ring
 from ok o left join edge_ring r on r.EPISODE_ID = o.EPISODE_ID group by o.EPISODE_ID""")
 def sql_hulls(spark, sf):
-    """Hulls in SQL, those of parts first."""
+    """Hulls in SQL, those of parts first where an episode has many points; a call per group is what costs."""
     sql.register(spark)
     fx(spark, sf, "fx_storm_details").where("BEGIN_LAT is not null and BEGIN_LON is not null").createOrReplaceTempView("hull_points")
     found = spark.sql("""
-        WITH parts AS (SELECT EPISODE_ID, sg_hull(BEGIN_LON, BEGIN_LAT) AS h FROM hull_points
-                       GROUP BY EPISODE_ID, pmod(xxhash64(BEGIN_LON, BEGIN_LAT), 4)),
+        WITH large AS (SELECT EPISODE_ID AS id, count(*) AS n FROM hull_points GROUP BY EPISODE_ID HAVING count(*) > 4096),
+        parts AS (SELECT EPISODE_ID, sg_hull(BEGIN_LON, BEGIN_LAT) AS h FROM hull_points JOIN large ON EPISODE_ID <=> id
+                  GROUP BY EPISODE_ID, pmod(xxhash64(BEGIN_LON, BEGIN_LAT), CAST(ceil(n / 4096) AS BIGINT))),
         corners AS (SELECT EPISODE_ID, inline(h) FROM parts)
-        SELECT EPISODE_ID AS episode_id, sg_hull(x, y) AS h FROM corners GROUP BY EPISODE_ID""")
+        SELECT EPISODE_ID AS episode_id, sg_hull(x, y) AS h FROM corners GROUP BY EPISODE_ID
+        UNION ALL
+        SELECT EPISODE_ID, sg_hull(BEGIN_LON, BEGIN_LAT) FROM hull_points LEFT ANTI JOIN large ON EPISODE_ID <=> id GROUP BY EPISODE_ID""")
     return found.select("episode_id", ring_text(F.col("h")).alias("ring"))

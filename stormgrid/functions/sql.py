@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import pandas_udf, udtf
+from pyspark.sql.functions import arrow_udf, udtf
 
 from ..operators import hull
 
@@ -48,9 +48,9 @@ FUNCTIONS = {
 }
 
 
-def _hull(x: pd.Series, y: pd.Series) -> list[dict]:
-    points = hull.settled(hull.exact_hull((a, b) for a, b in zip(x.tolist(), y.tolist()) if a == a and b == b))
-    return [{"x": a, "y": b} for a, b in points]
+def _hull(x: pa.Array, y: pa.Array) -> list[dict]:
+    given = ((a, b) for a, b in zip(x.to_pylist(), y.to_pylist()) if a is not None and b is not None and a == a and b == b)
+    return [{"x": a, "y": b} for a, b in hull.settled(hull.exact_hull(given))]
 
 
 class Cells:
@@ -68,11 +68,11 @@ def register(spark: SparkSession) -> list[str]:
     """Create the functions in this session; returns their names.
 
     Besides the scalar forms: ``sg_hull(x, y)``, an aggregate giving the hull's vertices counter-clockwise (a group comes to one task, so
-    large groups are fed hulls of parts: ``sg_hull`` over the exploded hulls of ``GROUP BY k, pmod(hash(x, y), n)``), and the table
+    large groups, and only those, are fed hulls of parts: ``sg_hull`` over the exploded hulls of ``GROUP BY k, pmod(hash(x, y), n)``), and the table
     function ``sg_cells(xmin, ymin, xmax, ymax, side)`` for ``LATERAL``, with which a spatial join is one on cells.
     """
     for head, body in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
-    spark.udf.register("sg_hull", pandas_udf(_hull, _RING.lower().replace(": ", ":")))
+    spark.udf.register("sg_hull", arrow_udf(_hull, _RING.lower().replace(": ", ":")))
     spark.udtf.register("sg_cells", udtf(Cells, returnType="gx bigint, gy bigint", useArrow=True))
     return [*[h.split("(")[0] for h in FUNCTIONS], "sg_hull", "sg_cells"]

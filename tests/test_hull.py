@@ -58,3 +58,13 @@ def test_points_inside_are_dropped_in_the_plan(spark):
     plan = supports.sparkSession._jvm.PythonSQLUtils.explainString(left._jdf.queryExecution(), "simple")
     assert "Python" not in plan and "Arrow" not in plan
     assert {r.n for r in supports.select(F.col("n")).collect()} == {10_000}
+
+
+def test_sql_hull_of_a_group_skips_missing_points(spark):
+    from stormgrid.functions import sql
+    sql.register(spark)
+    spark.createDataFrame([(1, 0.0, 0.0), (1, 1.0, 0.0), (1, 1.0, 1.0), (1, None, 5.0), (1, float("nan"), 5.0), (None, 2.0, 3.0), (2, None, None)],
+                          "k int, x double, y double").createOrReplaceTempView("some_points")
+    found = spark.sql("SELECT k, sg_hull(x, y) AS h FROM some_points GROUP BY k")
+    assert {r.k: [tuple(p) for p in r.h] for r in found.collect()} == {1: [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)], None: [(2.0, 3.0)], 2: []}
+    assert "pandas" not in sql._hull.__annotations__["x"]    # a pandas frame per group costs four times as much
