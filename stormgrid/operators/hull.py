@@ -3,7 +3,8 @@
 Each key's extent in sixteen fixed directions is a plain aggregate (primitive buffers, merged before the shuffle). The hull touches every
 one of the sixteen lines, so whatever lies inside all chords that cut off one corner of that polygon is inside the hull;
 such points, nine of ten in an even spread, are dropped by comparisons in the JVM. The rest is deduplicated and reduced per (key, salt), then
-per key, with as many salts as the root of the key's own count asks for.
+per key, with as many salts as the root of the key's own count asks for. All this is for keys of many points only: those of at most 256
+are one short list each, and reduced once.
 
 Turns are signed exactly, so the hull does not depend on how the points were dealt. Only the finished hull loses
 vertices whose turn the rounding of the coordinates alone could explain.
@@ -25,6 +26,7 @@ from ..session import staged
 
 _DIRECTIONS = 16
 _PART = 16                              # a key of n points has sqrt(n) / _PART salts
+_FEW = _PART ** 2                       # a key of so many points would have one salt: no supports, no salt
 _MARGIN = 64 * 2.0 ** -52               # what rounding may add to a distance, in units of the largest coordinate
 _FILTER = (3 + 16 * 2.0 ** -53) * 2.0 ** -53     # relative error of a determinant of differences
 
@@ -116,11 +118,19 @@ def convex_hulls(df: DataFrame, keys: list[str], x: str = "lon", y: str = "lat")
     ``ring`` is closed, counter-clockwise from its lowest (x, y); of a point or line it repeats the one or two vertices.
     """
     points = df.select(*keys, F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py")).dropna()
+    many = staged(points.groupBy(*keys).count().where(F.col("count") > _FEW).select(*keys), "hull-many")
+    small = points.join(many, keys, "left_anti").groupBy(*keys).agg(F.collect_set(F.struct("px", "py")).alias("pts"))
+    hull = small.mapInArrow(_reducer(lambda p: settled(exact_hull(p))), small.schema)
+    if not many.isEmpty():
+        hull = hull.unionByName(_large_hulls(points.join(many, keys, "left_semi"), keys))
+    return hull.select(*keys, closed(F.col("pts")).alias("ring"), kind(F.col("pts")).alias("hull_kind"))
+
+
+def _large_hulls(points: DataFrame, keys: list[str]) -> DataFrame:
     outer = _outer(points, _supports(points, keys), keys)
     parts = outer.groupBy(*keys, "salt").agg(F.collect_set(F.struct("px", "py")).alias("pts"))
     merged = parts.mapInArrow(_reducer(exact_hull), parts.schema).groupBy(*keys).agg(F.flatten(F.collect_list("pts")).alias("pts"))
-    hull = merged.mapInArrow(_reducer(lambda p: settled(exact_hull(p))), merged.schema)
-    return hull.select(*keys, closed(F.col("pts")).alias("ring"), kind(F.col("pts")).alias("hull_kind"))
+    return merged.mapInArrow(_reducer(lambda p: settled(exact_hull(p))), merged.schema)
 
 
 def closed(pts: Column) -> Column:

@@ -60,6 +60,19 @@ def test_points_inside_are_dropped_in_the_plan(spark):
     assert {r.n for r in supports.select(F.col("n")).collect()} == {10_000}
 
 
+def test_keys_of_few_points_need_no_supports(spark, monkeypatch):
+    """Many short keys go without the sixteen directions; long ones beside them have the same hulls as before."""
+    rng = random.Random(8)
+    asked, supports = [], hull._supports
+    monkeypatch.setattr(hull, "_supports", lambda points, keys: asked.append(points.select(*keys).distinct().count()) or supports(points, keys))
+    rows = [(k, rng.randrange(9) / 1e6, rng.randrange(9) / 1e6) for k in range(30) for _ in range(1 + k % 7)]
+    ring = lambda df: {r.k: [tuple(p) for p in r.ring[:-1]] for r in hull.convex_hulls(df, ["k"]).collect()}
+    want = lambda rows, k: hull.settled(hull.exact_hull([(x, y) for j, x, y in rows if j == k]))
+    assert ring(spark.createDataFrame(rows, "k int, lon double, lat double")) == {k: want(rows, k) for k in range(30)} and asked == []
+    rows += [(k, rng.random(), rng.random()) for k in (40, 41) for _ in range(700)]
+    assert ring(spark.createDataFrame(rows, "k int, lon double, lat double")) == {k: want(rows, k) for k in [*range(30), 40, 41]} and asked == [2]
+
+
 def test_sql_hull_of_a_group_skips_missing_points(spark):
     from stormgrid.functions import sql
     sql.register(spark)
