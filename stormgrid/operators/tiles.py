@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 RIM = 2             # cells within eps lie at most this many cells away
 _BITS = 4           # 2**4 cells per tile side
+_MOST = 1 << 18     # pairs of boxes compared at once
 _HALF = [(dx, dy) for dx in range(-RIM, RIM + 1) for dy in range(-RIM, RIM + 1) if (dx, dy) > (0, 0)]
 
 FACT = "kind int, a long, b long, c long, d long, e long, x double, y double"
@@ -135,28 +136,34 @@ def cell_facts(e2: float, m: int):
 
 
 def _links(t: dict, bx: list, e2: float) -> list[dict]:
+    """Neighbouring dense cells, nearest first and all pairs of one offset at once; what is connected already is not asked again."""
     cell = t["boxes"]["cell"]
     cut = np.searchsorted(cell, np.arange(len(t["node"]) + 1))
-    dense = [i for i in range(len(t["node"])) if cut[i + 1] > cut[i]]
-    at = {(t["_cx"][i], t["_cy"][i]): i for i in dense}
-    na, nb, linked = [], [], []
-    for i in dense:
-        if not t["home"][i]:
+    dense = np.flatnonzero(np.diff(cut))
+    if not len(dense):
+        return []
+    first, size = cut[dense], np.diff(cut)[dense]
+    gx, gy = (t[c][dense] - t[c][dense].min() + RIM for c in ("_cx", "_cy"))
+    grid = np.full((gx.max() + RIM + 1, gy.max() + RIM + 1), -1)
+    grid[gx, gy] = np.arange(len(dense))
+    home, part = np.flatnonzero(t["home"][dense]), np.arange(len(dense))
+    asked = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))]
+    for dx, dy in sorted(_HALF, key=lambda d: d[0] * d[0] + d[1] * d[1]):
+        i, j = home, grid[gx[home] + dx, gy[home] + dy]
+        k = np.flatnonzero((j >= 0) & (part[i] != part[j]))
+        i, j = i[k], j[k]
+        if not len(i):
             continue
-        a = [v[cut[i]:cut[i + 1], None] for v in bx]
-        for dx, dy in _HALF:
-            j = at.get((t["_cx"][i] + dx, t["_cy"][i] + dy))
-            if j is None:
-                continue
-            b = [v[cut[j]:cut[j + 1]] for v in bx]
-            gx, gy = _gap(a[0], a[1], b[0], b[1]), _gap(a[2], a[3], b[2], b[3])
-            if (gx * gx + gy * gy).min() > e2:
-                continue
-            fx, fy = _span(a[0], a[1], b[0], b[1]), _span(a[2], a[3], b[2], b[3])
-            na.append(t["node"][i])
-            nb.append(t["node"][j])
-            linked.append((fx * fx + fy * fy).min() <= e2)
-    na, nb, linked = np.array(na, dtype=np.int64), np.array(nb, dtype=np.int64), np.array(linked, dtype=bool)
+        near, linked = _box_tests(bx, first, size, i, j, e2)
+        i, j, linked = i[near], j[near], linked[near]
+        asked.append((i, j, linked))
+        if linked.any():
+            member, root = _stars(part[i[linked]], part[j[linked]])
+            to = np.arange(len(dense))
+            to[member] = root
+            part = to[part]
+    i, j, linked = (np.concatenate(x) for x in zip(*asked))
+    na, nb = t["node"][dense[i]].astype(np.int64), t["node"][dense[j]].astype(np.int64)
     member, root = _stars(na[linked], nb[linked])
     # an open pair matters only between cells the tile does not connect already
     of = dict(zip(member.tolist(), root.tolist()))
@@ -166,8 +173,31 @@ def _links(t: dict, bx: list, e2: float) -> list[dict]:
             {"kind": np.full(loose.sum(), LINK), "a": na[loose], "b": nb[loose]}]
 
 
+def _box_tests(bx: list, first: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray, e2: float) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs of cells: some boxes come within eps, some lie within eps as a whole. ``_MOST`` pairs of boxes at a time."""
+    near, linked = np.zeros(len(i), bool), np.zeros(len(i), bool)
+    load = np.cumsum(size[i] * size[j])
+    cuts = np.searchsorted(load, np.arange(_MOST, load[-1], _MOST)).tolist()
+    for lo, hi in zip([0, *cuts], [*cuts, len(i)]):
+        if lo == hi:
+            continue
+        wide, n = size[j[lo:hi]], size[i[lo:hi]] * size[j[lo:hi]]
+        start = np.cumsum(n) - n
+        k = np.arange(n.sum()) - np.repeat(start, n)
+        wide = np.repeat(wide, n)
+        p, q = np.repeat(first[i[lo:hi]], n) + k // wide, np.repeat(first[j[lo:hi]], n) + k % wide
+        a, b = [v[p] for v in bx], [v[q] for v in bx]
+        x, y = _gap(a[0], a[1], b[0], b[1]), _gap(a[2], a[3], b[2], b[3])
+        near[lo:hi] = np.minimum.reduceat(x * x + y * y, start) <= e2
+        x, y = _span(a[0], a[1], b[0], b[1]), _span(a[2], a[3], b[2], b[3])
+        linked[lo:hi] = np.minimum.reduceat(x * x + y * y, start) <= e2
+    return near, linked
+
+
 def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nodes of a small graph with the smallest node they are connected to."""
+    if not len(a):
+        return a, a
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
     i, j = at[:len(a)], at[len(a):]
     low = np.arange(len(nodes))
@@ -191,19 +221,20 @@ def core_facts(e2: float):
         mine = np.flatnonzero(t["home"][pts["cell"]])
         if not len(core) or not len(mine):
             return out
-        ab = []
-        qx, qy, qn = pts["px"][core], pts["py"][core], t["node"][pts["cell"][core]]
+        ab, node, width = [], t["node"], len(t["node"])
+        qx, qy, qc = pts["px"][core], pts["py"][core], pts["cell"][core]
         for s in _chunks(len(mine), len(core)):
             i = mine[s]
             dx, dy = pts["px"][i, None] - qx, pts["py"][i, None] - qy
             p, q = np.nonzero(dx * dx + dy * dy <= e2)
-            p, n = i[p], qn[q]
+            pair = np.unique(p * width + qc[q])
+            p, c = i[pair // width], pair % width
             k = pts["core"][p].astype(bool)
-            own = t["node"][pts["cell"][p]]
-            ab.append(np.unique(np.column_stack([own, n])[k & (own != n)], axis=0))
-            pn = np.unique(np.column_stack([pts["pid"][p], n])[~k], axis=0)
-            out.append({"kind": np.full(len(pn), TOUCH), "a": pn[:, 0], "b": pn[:, 1]})
-        member, root = _stars(*np.concatenate(ab).T)
+            out.append({"kind": np.full((~k).sum(), TOUCH), "a": pts["pid"][p[~k]], "b": node[c[~k]]})
+            ab.append(np.unique(pts["cell"][p[k]] * width + c[k]))
+        ab = np.unique(np.concatenate(ab))
+        a, b = node[ab // width], node[ab % width]
+        member, root = _stars(a[a != b], b[a != b])
         far = member != root
         out.append({"kind": np.full(far.sum(), EDGE), "a": member[far], "b": root[far]})
         return [f for f in out if len(f["kind"])]
