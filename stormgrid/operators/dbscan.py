@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
@@ -41,7 +41,7 @@ def dbscan(points: DataFrame, eps: float, min_samples: int, *, id_col: str = "id
     by = list(by or [])
     located = _locate(points, x, y, eps)
     if by:      # one key that is never null, so that plain equality joins groups
-        located, by = located.withColumn("_by", F.to_json(F.struct(*by))), ["_by"]
+        located, by = located.withColumn("_by", _group(located, by)), ["_by"]
     table, hot_rows = _cell_labels(located.select(*by, F.col(id_col).alias("pid"), F.col(x).alias("px"),
                                         F.col(y).alias("py"), "_fx", "_fy", "_cx", "_cy")
                          .where("_cx is not null and _cy is not null"),
@@ -52,6 +52,13 @@ def dbscan(points: DataFrame, eps: float, min_samples: int, *, id_col: str = "id
             .drop("_fx", "_fy", "_cx", "_cy", "_cell", "_each", "_by"))
 
 
+def _group(df: DataFrame, by: list[str]) -> Column:
+    """Text of the group's values; a single int of 32 bits or fewer as a long, with a value of its own for null."""
+    if len(by) == 1 and df.select(*by).schema[0].dataType.simpleString() in ("tinyint", "smallint", "int"):
+        return F.coalesce(F.col(by[0]).cast("long"), F.lit(1 << 32))
+    return F.to_json(F.struct(*by))
+
+
 def _locate(df: DataFrame, x: str, y: str, eps: float) -> DataFrame:
     side = F.lit(_SIDE * eps / (1 << _BITS))
     known = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))

@@ -96,3 +96,50 @@ def test_null_groups_and_missing_coordinates(spark):
     many = [(i, "GA" if i % 3 else None, 2.0 if i % 3 == 0 else i * 0.5, 3.0) for i in range(3000)]
     got = dbscan(spark.createDataFrame(many, "id long, state string, lon double, lat double"), 0.03, 6, by=["state"])
     assert got.where("label = 0").count() == 1000 and got.where("label = -1").count() == 2000
+
+
+def test_links_are_those_of_all_pairs():
+    """Dense cells of a tile: components and open pairs as by comparing every pair, and few questions once cells are connected."""
+    from stormgrid.operators import tiles
+
+    rng, asked = np.random.default_rng(5), []
+    plain, n = tiles._box_tests, 100
+    place = rng.permutation(400)[:n]
+    cell = np.repeat(np.arange(n), rng.integers(1, 9, n))
+    x, y = (c[cell] + rng.random(len(cell)) for c in (place // 20, place % 20))
+    bx = [x, x + rng.random(len(x)) / 9, y, y + rng.random(len(x)) / 9]
+    tile = {"node": 7 * rng.permutation(n), "home": np.ones(n, bool), "_cx": place // 20, "_cy": place % 20, "boxes": {"cell": cell}}
+    tiles._box_tests = lambda *a: asked.append(len(a[3])) or plain(*a)
+    try:
+        got = tiles._links(tile, bx, 1.2)
+    finally:
+        tiles._box_tests = plain
+    group, unsure, pairs = {v: v for v in tile["node"].tolist()}, [], 0
+    for i in range(n):
+        for j in range(i):
+            if abs(place[i] // 20 - place[j] // 20) > 2 or abs(place[i] % 20 - place[j] % 20) > 2:
+                continue
+            a, b = ([v[cell == k, None] if k == i else v[cell == k] for v in bx] for k in (i, j))
+            near = tiles._gap(a[0], a[1], b[0], b[1]) ** 2 + tiles._gap(a[2], a[3], b[2], b[3]) ** 2
+            far = tiles._span(a[0], a[1], b[0], b[1]) ** 2 + tiles._span(a[2], a[3], b[2], b[3]) ** 2
+            pairs += 1
+            u, v = int(tile["node"][i]), int(tile["node"][j])
+            if far.min() <= 1.2:
+                lo, hi = sorted((group[u], group[v]))
+                group = {k: lo if r == hi else r for k, r in group.items()}
+            elif near.min() <= 1.2:
+                unsure.append((u, v))
+    star = {(a, b) for a, b in group.items() if a != b}
+    assert set(zip(got[0]["a"].tolist(), got[0]["b"].tolist())) == star
+    assert {frozenset(p) for p in zip(got[1]["a"].tolist(), got[1]["b"].tolist())} == {frozenset(p) for p in unsure if group[p[0]] != group[p[1]]}
+    assert 0 < sum(asked) < pairs
+
+
+def test_group_of_small_ints_is_a_number(spark):
+    rows = [(i, g, 0.01 * (i % 10), 0.0) for i, g in enumerate([None] * 10 + [0] * 10 + [-7] * 10 + [2**31 - 1] * 10)]
+    df = spark.createDataFrame(rows, "id long, g int, lon double, lat double")
+    plain = dbscan(df.withColumn("g", df["g"].cast("long")), 0.015, 3, by=["g"]).collect()
+    assert sorted((r.id, r.label) for r in dbscan(df, 0.015, 3, by=["g"]).collect()) == sorted((r.id, r.label) for r in plain) \
+        == [(i, 0) for i in range(40)]
+    from stormgrid.operators.dbscan import _group
+    assert df.select(_group(df, ["g"]).alias("k")).schema["k"].dataType.simpleString() == "bigint"
