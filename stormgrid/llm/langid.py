@@ -37,8 +37,8 @@ class Model(NamedTuple):
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """Code point -> lower-case letter, or a space for what is no letter."""
-    return np.array([ord(low) if (c := chr(i)).isalpha() and len(low := c.lower()) == 1 else i if c.isalpha()
-                     else 32 for i in range(0x110000)], np.uint32)
+    return np.fromiter((ord(low) if (c := chr(i)).isalpha() and len(low := c.lower()) == 1 else i if c.isalpha()
+                        else 32 for i in range(0x110000)), np.uint32, 0x110000)
 
 
 def ngrams(texts: list[str | None], bits: int = BUCKET_BITS):
@@ -163,18 +163,20 @@ def _score_long(text: str, model: Model) -> tuple[str, float]:
     return names[0], float(share[0])
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, text_col: str = "text", within: str | None = None) -> DataFrame:
     """``docs`` plus ``lang_pred`` and ``score``: one narrow pass, rows and their order unchanged.
 
-    Null, empty and letterless texts are ``und`` with score 0. A column of ``docs`` that has one of the two
+    Null, empty and letterless texts are ``und`` with score 0. ``within``: a struct column that holds the texts. A column of ``docs`` that has one of the two
     names is replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop("lang_pred", "score")
+    at = [c.lower() for c in docs.schema[within].dataType.names].index(text_col) if within else None
 
     def rows(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col))
+            texts = batch.column(batch.schema.get_field_index(within or text_col))
+            texts = texts.field(at) if within else texts
             for lo, hi in row_ranges(texts, 1 << 18):
                 part = texts[lo:hi].to_pylist()
                 if len(part) == 1 and part[0] and len(part[0]) > _PIECE:
@@ -197,5 +199,5 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """Rows whose language is told with at least ``min_score``; letterless and null texts go."""
-    found = predict(docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text")), fit(docs), "_text")
+    found = predict(docs.select(F.struct("*").alias("_row")), fit(docs), "text", within="_row")
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("_row.*")

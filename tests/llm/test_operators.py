@@ -351,3 +351,12 @@ def test_versions_and_families_are_told_apart(spark):
     for i, n in enumerate(families):
         assert got[i] == contained.get(n, {n}), n
     assert got[len(families)] == {"GPL-2.0-notice", "MIT-notice"} and got[len(families) + 1] == {"GPL-2.0", "GPL-3.0"}
+
+
+def test_language_stage_sends_each_text_once(spark):
+    texts = ["the cat and the dog are here", "der Hund und die Katze sind hier", None, "123"]
+    docs = spark.createDataFrame([(i, t, l, "s") for i, (t, l) in enumerate(zip(texts, ["en", "de", None, "en"]))],
+                                 "doc_id bigint, Text string, lang string, source string")
+    sent = langid.keep_identified(docs, 0.0)
+    assert sorted(tuple(r) for r in sent.collect()) == [(0, texts[0], "en", "s"), (1, texts[1], "de", "s")]
+    assert "_text" not in sent._jdf.queryExecution().optimizedPlan().toString()
