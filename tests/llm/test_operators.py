@@ -228,6 +228,53 @@ def test_repeats_by_brute_force(spark):
         assert got[d].n_spans == sum(i in gone and i - 1 not in gone for i in range(len(b)))
 
 
+def _surrounded(n):
+    """One passage in many surroundings, some of which begin or end alike; copies of one; an unlike text."""
+    rng = random.Random(5)
+    make = lambda k: "".join(rng.choices("abcdefgh ", k=k))                                         # noqa: E731
+    passage, ends = make(150), [make(30) for _ in range(5)]
+    texts = [make(60) + rng.choice(ends)[rng.randint(0, 29):] + passage + rng.choice(ends)[:rng.randint(0, 30)] + make(60) for _ in range(n)]
+    return texts + [texts[0], texts[0], texts[1][5:200], passage, passage[20:] + passage, make(300)]
+
+
+def test_slices_of_hot_anchors_meet_in_parts(spark, monkeypatch):
+    length, gram, hot = 60, 20, 8
+    texts, kept = _surrounded(80), []
+    monkeypatch.setattr(repeats, "dealt", lambda *a, _old=repeats.dealt: kept.extend(_old(*a)) or kept)
+    got = {r.doc_id: r for r in repeats.without_repeats(docs_of(spark, texts), length=length, gram=gram, hot=hot).collect()}
+    raw = [t.encode() for t in texts]
+    seen = Counter(b[i:i + length] for b in raw for i in range(len(b) - length + 1))
+    for d, b in enumerate(raw):
+        gone = {i + k for i in range(len(b) - length + 1) if seen[b[i:i + length]] > 1 for k in range(length)}
+        assert (got[d].n_bytes, got[d].n_removed) == (len(b), len(gone))
+        assert got[d].kept_sha256 == hashlib.sha256(bytes(c for i, c in enumerate(b) if i not in gone)).hexdigest()
+        assert got[d].n_spans == sum(i in gone and i - 1 not in gone for i in range(len(b)))
+    meet = lambda slices: max(r.n for r in slices.groupBy("h").agg(F.count_distinct("slice_id").alias("n")).collect())
+    assert len(kept) > 1 and max(meet(slices) for _, slices in kept) <= hot
+    assert meet(kept[0][0]) > 4 * hot
+
+
+def test_parts_of_slices_hold_every_window_once():
+    rng = random.Random(8)
+    for length, gram in ((60, 20), (20, 19), (9, 9), (400, 128)):
+        widths = repeats.part_widths(length, gram)
+        assert widths == sorted(set(widths), reverse=True) and (widths[-1:] or [1]) == [1]
+        for text in [bytes(rng.choices(b"ab", k=length + rng.randint(0, 300))), b"a" * (length + 40)]:
+            for at, first, last in zip(*(x.tolist() for x in repeats.text_anchors([text], length, gram)[1:4])):
+                part = text[first:last + length]
+                assert repeats.text_anchors([part], length, gram)[1].tolist() == [at - first]
+                for width in widths:
+                    windows: list = []
+                    for c, lo, sub, common in repeats.slice_parts(part, at - first, width, length):
+                        places = range(lo, lo + len(sub) - length + 1)
+                        windows += places
+                        assert sub == part[lo:lo + len(sub)] and len(common) == length - width + 1
+                        for w in places:
+                            begin = (at - first) - c * width - w
+                            assert (at - first - w) // width == c and part[w:w + length][begin:begin + len(common)] == common
+                    assert sorted(windows) == list(range(last - first + 1))
+
+
 def test_long_text_goes_by_pieces():
     data = bytes(random.Random(1).choices(range(256), k=300_000)) * 8
     pieces = repeats.text_anchors([data])
